@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cueweave.llm import line_dedup
 from cueweave.llm.common import table
 
 
@@ -29,9 +30,23 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cueweave.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents")).drop("key")
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cueweave.llm.line_dedup import dedup_lines
+
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_token_store": op2_token_store,
+    "op4_mixing": op4_mixing,
+    "op6_line_dedup": op6_line_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op6_line_dedup": line_dedup.SQL}
