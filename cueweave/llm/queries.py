@@ -42,11 +42,18 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cueweave.llm.ngram_join import ngram_join
+
+    return ngram_join(table(spark, sf_dir, "documents")).drop("th")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_token_store": op2_token_store,
     "op4_mixing": op4_mixing,
     "op6_line_dedup": op6_line_dedup,
+    "op9_ngram_join": op9_ngram_join,
 }
 
 ORACLE: dict[str, str] = {"op6_line_dedup": line_dedup.SQL}
