@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +37,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def added(df: DataFrame, ddl: str) -> StructType:
+    """The schema of df with more fields."""
+    return StructType(df.schema.fields + StructType.fromDDL(ddl).fields)
+
+
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Bound what one Arrow batch holds, so that very long texts do not add up in a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -30,6 +30,12 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op3_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cueweave.llm.bit_codes import search
+
+    return search(table(spark, sf_dir, "embeddings"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cueweave.llm.mixing import mix
 
@@ -42,18 +48,33 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cueweave.llm.matroska import features, store
+
+    return features(store(table(spark, sf_dir, "documents")))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cueweave.llm.ngram_join import ngram_join
 
     return ngram_join(table(spark, sf_dir, "documents")).drop("th")
 
 
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cueweave.llm.pieces import piece_digest
+
+    return piece_digest(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_token_store": op2_token_store,
+    "op3_bit_codes": op3_bit_codes,
     "op4_mixing": op4_mixing,
     "op6_line_dedup": op6_line_dedup,
+    "op7_matroska": op7_matroska,
     "op9_ngram_join": op9_ngram_join,
+    "op10_pieces": op10_pieces,
 }
 
 ORACLE: dict[str, str] = {"op6_line_dedup": line_dedup.SQL}
