@@ -285,3 +285,11 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6,
         "doc_id", F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), kept_row.alias("kept"), "th",
     )
+
+
+def distinct_documents(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that ngram_join keeps, with all their columns; of rows that repeat id and text, one."""
+    keys = ngram_join(docs, threshold, id_col=id_col, text_col=text_col).filter("kept").select(F.col("doc_id").alias("_id"), F.col("th").alias("_kept")).distinct()
+    hashed = docs.withColumn("_th", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    found = hashed.join(keys, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_kept")), "left_semi")
+    return found.dropDuplicates([id_col, "_th"]).select(*docs.columns)

@@ -42,6 +42,12 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("key")
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cueweave.llm.main_text import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cueweave.llm.line_dedup import dedup_lines
 
@@ -54,6 +60,14 @@ def op7_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features(store(table(spark, sf_dir, "documents")))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cueweave.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cueweave.llm.ngram_join import ngram_join
 
@@ -71,8 +85,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_store": op2_token_store,
     "op3_bit_codes": op3_bit_codes,
     "op4_mixing": op4_mixing,
+    "op5_main_text": op5_main_text,
     "op6_line_dedup": op6_line_dedup,
     "op7_matroska": op7_matroska,
+    "op8_toxicity": op8_toxicity,
     "op9_ngram_join": op9_ngram_join,
     "op10_pieces": op10_pieces,
 }
