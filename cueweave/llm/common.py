@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 from pyspark.sql.types import StructType
@@ -42,6 +42,15 @@ def added(df: DataFrame, ddl: str) -> StructType:
     return StructType(df.schema.fields + StructType.fromDDL(ddl).fields)
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def packed(df: DataFrame, name: str = "_row") -> Column:
+    """All columns as one struct: rows travel whole and no name of theirs can clash with an operator's own."""
+    return F.struct(*[F.col(quoted(c)).alias(c) for c in df.columns]).alias(name)
+
+
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Bound what one Arrow batch holds, so that very long texts do not add up in a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

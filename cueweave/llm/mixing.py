@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cueweave.llm.common import materialize, with_prefix
+from cueweave.llm.common import materialize, packed, with_prefix
 
 WORD = r"[^\x20\x09-\x0D]+"
 _FIXED = 1 << 20  # rates are summed as whole numbers of this unit, so that no order of addition changes a result
@@ -146,6 +146,6 @@ def _moves(cut: DataFrame, cap: int) -> DataFrame:
 def mixed(docs: DataFrame) -> DataFrame:
     """The documents themselves, each as often as its copies; rows that agree in id, text and source pool theirs."""
     copies = mix(docs).groupBy("doc_id", "key").agg(F.sum("copies").cast("int").alias("_copies")).filter("_copies > 0")
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text", "source")).dropDuplicates(["doc_id", "_key"])
-    joined = keyed.alias("d").join(copies.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("_key") == F.col("key")))
-    return joined.select(*[F.col(f"d.`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
+    keyed = docs.select(F.col("doc_id").alias("_d"), F.xxhash64("doc_id", "text", "source").alias("_key"), packed(docs)).dropDuplicates(["_d", "_key"])
+    joined = keyed.join(copies, F.col("_d").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("key")))
+    return joined.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_row.*")

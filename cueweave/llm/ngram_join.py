@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cueweave.llm.common import materialize, small_batches
+from cueweave.llm.common import materialize, packed, quoted, small_batches
 from cueweave.llm.components import components
 
 BANDS, ROWS = 24, 4
@@ -290,6 +290,6 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6,
 def distinct_documents(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that ngram_join keeps, with all their columns; of rows that repeat id and text, one."""
     keys = ngram_join(docs, threshold, id_col=id_col, text_col=text_col).filter("kept").select(F.col("doc_id").alias("_id"), F.col("th").alias("_kept")).distinct()
-    hashed = docs.withColumn("_th", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    found = hashed.join(keys, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_kept")), "left_semi")
-    return found.dropDuplicates([id_col, "_th"]).select(*docs.columns)
+    rows = docs.select(F.col(quoted(id_col)).cast("long").alias("_d"), F.xxhash64(F.coalesce(F.col(quoted(text_col)), F.lit(""))).alias("_h"), packed(docs))
+    found = rows.join(keys, F.col("_d").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_kept")), "left_semi")
+    return found.dropDuplicates(["_d", "_h"]).select("_row.*")
