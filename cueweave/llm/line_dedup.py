@@ -5,22 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cueweave.llm.common import materialize
+from cueweave.llm.common import materialize, packed, quoted
 
 
-def _windows(lines: Column) -> Column:
-    """One (h1, h2) a window of three consecutive trimmed lines; 96 bits keep chance matches away at any size."""
-    at = lambda i, k: F.trim(F.get(lines, i + k))
-    starts = F.when(F.size(lines) >= 3, F.sequence(F.lit(0), F.size(lines) - 3)).otherwise(F.array().cast("array<int>"))
-    return F.transform(
-        starts,
-        lambda i: F.struct(
-            i.alias("pos"),
-            F.xxhash64(at(i, 0), at(i, 1), at(i, 2)).alias("h1"),
-            F.hash(at(i, 2), at(i, 0), at(i, 1)).alias("h2"),
-            (F.length(at(i, 0)) + F.length(at(i, 1)) + F.length(at(i, 2)) > 0).alias("full"),
-        ),
-    )
+def _windows(docs: DataFrame, text: Column) -> DataFrame:
+    """_id, _th, pos, h1, h2: one row a window of three consecutive trimmed lines; 96 bits keep chance matches away at any size.
+
+    The lines are a column of their own, so that a text is split once.
+    """
+    lines = docs.select("_id", "_th", F.transform(F.split(text, "\n"), F.trim).alias("_lines"))
+    n = F.greatest(F.size("_lines") - 2, F.lit(0))
+    three = F.arrays_zip(*[F.slice("_lines", F.lit(1 + k), n).alias(f"l{k}") for k in range(3)])
+    rows = lines.select("_id", "_th", F.posexplode(three).alias("pos", "w")).select("_id", "_th", "pos", "w.l0", "w.l1", "w.l2")
+    full = rows.filter("l0 != '' or l1 != '' or l2 != ''")
+    return full.select("_id", "_th", "pos", F.xxhash64("l0", "l1", "l2").alias("h1"), F.hash("l2", "l0", "l1").alias("h2"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -37,30 +35,25 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows lie on one side only, where adaptive execution splits them.
     """
     docs = docs.drop("n_lines", "n_removed")
-    doc_id, text = F.col(id_col), F.col(text_col)
-    key = [doc_id.alias("_id"), F.xxhash64(text).alias("_th")]
-    windows = materialize(
-        docs.select(*key, F.explode(_windows(F.split(text, "\n"))).alias("w"))
-        .filter("w.full")
-        .select("_id", "_th", "w.pos", "w.h1", "w.h2"),
-        "line-windows",
-    )
+    names, text = docs.columns, F.col("_text")
+    docs = docs.select(F.col(quoted(id_col)).alias("_id"), F.col(quoted(text_col)).alias("_text"), packed(docs.drop(text_col))).withColumn("_th", F.xxhash64(text))
+    windows = materialize(_windows(docs.select("_id", "_th", "_text"), text), "line-windows")
     place = F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_th", "pos")
     firsts = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first != last").select("h1", "h2", "first")
     later = windows.hint("merge").join(firsts, ["h1", "h2"]).filter(place != F.col("first"))
     marks = later.groupBy("_id", "_th").agg(F.collect_set("pos").alias("_starts"))
 
-    joined = docs.select("*", *key).alias("d").join(
-        marks.alias("m"), F.col("d._id").eqNullSafe(F.col("m._id")) & (F.col("d._th") == F.col("m._th")), "left"
-    )
-    lines = F.split(text, "\n")
-    n_lines = F.when(text.isNull(), F.lit(0)).otherwise(F.size(lines))
+    joined = docs.alias("d").join(marks.alias("m"), F.col("d._id").eqNullSafe(F.col("m._id")) & (F.col("d._th") == F.col("m._th")), "left")
+    joined = joined.withColumn("_lines", F.split(text, "\n"))
+    n = F.size("_lines")
     covered = F.flatten(F.transform("m._starts", lambda p: F.array(p, p + 1, p + 2)))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), covered)
-    new = F.when(F.col("m._starts").isNull(), text).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
-    removed = F.when(F.col("m._starts").isNull(), F.lit(0)).otherwise(F.size(lines) - F.size(kept))
+    joined = joined.withColumn("_kept", F.array_except(F.sequence(F.lit(0), n - 1), covered))
+    changed = F.col("_starts").isNotNull()
+    new = F.when(changed, F.array_join(F.transform("_kept", lambda i: F.get("_lines", i)), "\n")).otherwise(text)
+    n_lines = F.when(text.isNull(), F.lit(0)).otherwise(n)
+    removed = F.when(changed, n - F.size("_kept")).otherwise(F.lit(0))
     return joined.select(
-        *[new.alias(c) if c == text_col else F.col(f"d.`{c}`") for c in docs.columns],
+        *[new.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in names],
         n_lines.cast("long").alias("n_lines"),
         removed.cast("long").alias("n_removed"),
     )
