@@ -8,6 +8,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 
 def markdown_rows(lines: DataFrame) -> DataFrame:
@@ -51,10 +52,8 @@ def parse_answer(answer: str | None) -> list[str] | None:
     tries = [body[start : stop + 1]] if stop > start else []
     cut = body[start:]
     tries += [re.sub(r",\s*([\]}])", r"\1", tries[0])] if tries else []
-    for end in ('"', "}"):
-        at = cut.rfind(end)
-        if at > 0:
-            tries.append(cut[: at + 1] + "]")
+    ends = [i for i, ch in enumerate(cut) if ch in '"}'][:-8:-1]  # a cut answer ends within its last few strings
+    tries += [cut[: i + 1] + "]" for i in ends]
     for t in tries:
         try:
             got = json.loads(t)
@@ -65,7 +64,7 @@ def parse_answer(answer: str | None) -> list[str] | None:
     return None
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def answers(s: pd.Series) -> pd.Series:
     return s.map(parse_answer)
 
