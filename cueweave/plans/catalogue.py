@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from cueweave.functions import lexicon as lex
 from cueweave.functions import text as T
 from cueweave.functions import timecode as C
-from cueweave.operators import fixes, nouns, oped, regions, report, setops, similarity, temporal
+from cueweave.operators import files, fixes, nouns, oped, regions, report, review, setops, similarity, styled, temporal
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -641,3 +641,126 @@ SELECT ep, idx, 1 AS tier FROM a UNION ALL SELECT ep, idx, 2 AS tier FROM b WHER
 def tier_union(spark, sf):
     c = cues(timeline(spark, sf)).filter("is_garbled").select("ep", "idx")
     return setops.tiers(c.filter("idx % 2 = 0").withColumn("tier", F.lit(1)), c.withColumn("tier", F.lit(2)), "idx")
+
+
+# review, styled lines, files
+
+
+@query(f"""WITH {TIMELINE}, s AS (SELECT *, (start_ms + end_ms) // 2 AS mid FROM speech)
+SELECT ep, idx, slot FROM (SELECT s.ep, s.idx, c.idx AS slot, row_number() OVER (PARTITION BY s.idx ORDER BY c.start_ms, c.idx) AS k FROM s JOIN cues c ON s.ep = c.ep AND s.mid BETWEEN c.start_ms AND c.end_ms) WHERE k = 1""")
+def midpoint_slots(spark, sf):
+    t = timeline(spark, sf)
+    return review.midpoint_join(speech(t), cues(t), ["ep"]).select("ep", "idx", F.col("r_idx").alias("slot"))
+
+
+@query(f"""WITH {TIMELINE}, p AS (SELECT c.idx, s.idx AS s, s.start_ms, row_number() OVER (PARTITION BY c.idx ORDER BY abs(s.start_ms + s.end_ms - c.start_ms - c.end_ms), s.idx) AS k
+  FROM (SELECT * FROM cues WHERE is_garbled) c JOIN speech s ON c.ep = s.ep AND least(c.end_ms + 30000, s.end_ms) - greatest(c.start_ms - 30000, s.start_ms) >= 0)
+SELECT idx, string_agg('s' || CAST(s AS VARCHAR), ' ' ORDER BY start_ms, s) AS heard FROM p WHERE k <= 3 GROUP BY idx""")
+def heard_around(spark, sf):
+    t = timeline(spark, sf)
+    asr = speech(t).withColumn("text", F.concat(F.lit("s"), F.col("idx").cast("string")))
+    h = review.heard_around(cues(t).filter("is_garbled"), asr, ["ep"], most=3)
+    return h.filter(F.size("heard") > 0).select("idx", F.array_join("heard", " ").alias("heard"))
+
+
+@query(f"""WITH {TIMELINE}, c AS (SELECT * FROM cues WHERE is_garbled) SELECT c.idx, max((n.start_ms, n.idx)) FILTER (n.start_ms < c.start_ms - 1000)[2] AS before, min((n.start_ms, n.idx)) FILTER (n.start_ms > c.start_ms + 1000)[2] AS after
+FROM c JOIN cues n ON c.ep = n.ep AND abs(c.start_ms - n.start_ms) <= 120000 GROUP BY c.idx""".replace("max((n.start_ms, n.idx)) FILTER (n.start_ms < c.start_ms - 1000)[2]", "arg_max(n.idx, (n.start_ms, n.idx)) FILTER (n.start_ms < c.start_ms - 1000)").replace("min((n.start_ms, n.idx)) FILTER (n.start_ms > c.start_ms + 1000)[2]", "arg_min(n.idx, (n.start_ms, n.idx)) FILTER (n.start_ms > c.start_ms + 1000)"))
+def review_context(spark, sf):
+    t = timeline(spark, sf)
+    return review.beside(cues(t).filter("is_garbled"), cues(t), ["ep"]).select("idx", "before", "after")
+
+
+@query(f"""WITH {TIMELINE}, p AS (SELECT c.idx, 1 + c.idx % 3 AS n_lines, s.start_ms, s.end_ms, row_number() OVER (PARTITION BY c.idx ORDER BY s.start_ms, s.idx) AS line, count(*) OVER (PARTITION BY c.idx) AS n
+  FROM (SELECT * FROM cues WHERE is_garbled) c JOIN speech s ON c.ep = s.ep AND least(c.end_ms, s.end_ms) - greatest(c.start_ms, s.start_ms) > 300)
+SELECT idx, CAST(line AS INTEGER) AS line, start_ms, end_ms FROM p WHERE n = 1 OR n = n_lines""")
+def align_to_speech(spark, sf):
+    t = timeline(spark, sf)
+    c = cues(t).filter("is_garbled").withColumn("n_lines", 1 + F.col("idx") % 3)
+    return review.align_to_speech(c, speech(t), ["ep"]).select(F.col("_id").alias("idx"), "line", "start_ms", "end_ms")
+
+
+@query(f"""WITH {TIMELINE}, x AS (SELECT ep, max(end_ms) AS total_ms FROM t GROUP BY ep), s AS (SELECT ep, sum(end_ms - start_ms)::BIGINT AS speech_ms FROM speech GROUP BY ep)
+SELECT ep, total_ms, coalesce(speech_ms, 0) AS speech_ms, coalesce(speech_ms, 0) / greatest(total_ms, 1) AS share FROM x LEFT JOIN s USING (ep)""")
+def speech_share(spark, sf):
+    t = timeline(spark, sf)
+    return review.speech_share(speech(t), t.groupBy("ep").agg(F.max("end_ms").alias("total_ms")), ["ep"])
+
+
+@query(f"""WITH {TIMELINE} SELECT c.idx, coalesce(sum(least(c.end_ms, s.end_ms) - greatest(c.start_ms, s.start_ms)) FILTER (s.idx IS NOT NULL), 0)::BIGINT AS covered_ms
+FROM cues c LEFT JOIN speech s ON c.ep = s.ep AND least(c.end_ms, s.end_ms) - greatest(c.start_ms, s.start_ms) >= 1 GROUP BY c.idx""")
+def covered_time(spark, sf):
+    t = timeline(spark, sf)
+    return review.covered_by(cues(t), speech(t), ["ep"]).select(F.col("_id").alias("idx"), "covered_ms")
+
+
+@query(f"""WITH {TURNS}, cut AS (SELECT * FROM cues WHERE file % 3 = 0 AND idx = 1), fix AS (SELECT file, start_ms, end_ms, 'fixed' AS text FROM cues WHERE file % 2 = 0 AND idx IN (0, 1)),
+l AS (SELECT * FROM cues WHERE NOT (file % 3 = 0 AND idx = 1))
+SELECT l.file, l.start_ms, coalesce(f.text, l.text) AS text FROM l LEFT JOIN fix f USING (file, start_ms) UNION ALL SELECT f.file, f.start_ms, f.text FROM fix f ANTI JOIN l USING (file, start_ms)""")
+def apply_recognised(spark, sf):
+    t = turns(spark, sf)
+    fix = t.filter("file % 2 = 0 and idx in (0, 1)").withColumn("replacement", F.lit("fixed"))
+    cut = t.filter("file % 3 = 0 and idx = 1")
+    return review.apply_recognised(t, fix, cut, cut.limit(0), ["file"]).select("file", "start_ms", "text")
+
+
+@query(f"""WITH {TURNS} SELECT review_verdict AS verdict, count(*) AS n FROM (SELECT CASE WHEN idx % 5 = 0 THEN 'delete' WHEN idx % 5 = 1 THEN 'replace'
+  WHEN len(list_filter(regexp_extract_all(text, '[a-zA-Z]{{2,}}'), lambda w: lower(w) NOT IN ({', '.join(f"'{w}'" for w in lex.EXCLAMATION_EN)}))) < 2 OR idx % 2 = 0 OR file % 10 >= 6 THEN 'cut' ELSE 'mark' END AS review_verdict FROM cues) GROUP BY 1""")
+def fragment_decisions(spark, sf):
+    answer = F.when(F.col("idx") % 5 == 0, "__DELETE__").when(F.col("idx") % 5 == 1, "better")
+    verdict = review.decision(answer, F.col("text"), F.col("idx") % 2 != 0, F.col("file") % 10 / 10.0, "en")
+    return turns(spark, sf).groupBy(verdict.alias("verdict")).agg(F.count("*").alias("n"))
+
+
+def styled_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Turns as styled lines: the role is the style, the source of the first word the name."""
+    return turns(spark, sf).select("file", F.col("idx").alias("line"), F.lit("dialogue").alias("kind"), F.col("role").alias("style"), F.split_part("text", F.lit(" "), F.lit(1)).alias("name"), "start_ms", "idx", "text")
+
+
+@query(r"""SELECT role AS style, count(*) AS n, count(DISTINCT conv_id) AS n_files, arg_min(substr(regexp_replace(text, '^\s+|\s+$', '', 'g'), 1, 30), (conv_id, turn)) FILTER (trim(text) <> '') AS sample FROM conversations GROUP BY role""")
+def style_statistics(spark, sf):
+    return styled.statistics(styled_lines(spark, sf), "style")
+
+
+@query("""WITH n AS (SELECT DISTINCT split_part(text, ' ', 1) AS name FROM conversations) SELECT CASE WHEN regexp_matches(name, '[a-zA-Z]') THEN 'latin' ELSE 'other' END AS language, count(*) AS n FROM n GROUP BY 1""")
+def name_languages(spark, sf):
+    return styled.name_languages(styled_lines(spark, sf))
+
+
+@query("""SELECT conv_id AS file, count(*) FILTER (role = 'user') AS n_a, count(*) FILTER (role = 'assistant') AS n_b FROM conversations GROUP BY conv_id HAVING count(*) FILTER (role = 'user') <> count(*) FILTER (role = 'assistant')""")
+def style_mismatches(spark, sf):
+    return styled.count_mismatches(styled_lines(spark, sf), "user", "assistant")
+
+
+@query("""WITH v AS (SELECT 6000 * turn AS start_ms, split_part(text, ' ', 1) AS text, count(*) AS n FROM conversations GROUP BY 1, 2) SELECT start_ms, text, n, n_texts FROM (SELECT *, count(*) OVER (PARTITION BY start_ms) AS n_texts FROM v) WHERE n_texts > 1""")
+def variants_at_times(spark, sf):
+    return styled.variants_at(styled_lines(spark, sf).withColumn("text", F.col("name")))
+
+
+@query("""WITH e AS (SELECT 'EP' || lpad(CAST(conv_id AS VARCHAR), 3, '0') AS ep, conv_id AS n FROM conversations) SELECT ep, count(*) AS n FROM e WHERE n IN (1, 3) OR n BETWEEN 7 AND 40 GROUP BY ep""")
+def episode_filter(spark, sf):
+    c = turns(spark, sf).withColumn("ep", F.concat(F.lit("EP"), F.lpad(F.col("file").cast("string"), 3, "0")))
+    return c.filter(files.episode_filter(F.col("ep"), "1, 3,7-40")).groupBy("ep").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT lang, CASE WHEN regexp_matches(text, '[А-Яа-яЁё]') THEN 'cyrillic' WHEN regexp_matches(text, '[぀-ヿ]') THEN 'kana' WHEN regexp_matches(text, '[一-鿿]') AND regexp_matches(text, '[a-zA-Z]{2,}') THEN 'bilingual' ELSE 'foreign' END AS issue, count(*) AS n FROM documents GROUP BY 1, 2""")
+def issue_types(spark, sf):
+    return table(spark, sf, "documents").groupBy("lang", files.issue_type(F.col("text")).alias("issue")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT 'sub ' || CAST(c AS VARCHAR) || '.srt' AS file, CASE WHEN c % 2 = 0 THEN 'video_E' || lpad(CAST(c AS VARCHAR), 4, '0') || '.mkv' END AS video FROM (SELECT DISTINCT conv_id % 300 + 1 AS c FROM conversations)""")
+def video_match(spark, sf):
+    c = table(spark, sf, "conversations").select((F.col("conv_id") % 300 + 1).alias("c")).distinct()
+    s = c.select(F.concat(F.lit("sub "), F.col("c").cast("string"), F.lit(".srt")).alias("file"))
+    v = c.filter("c % 2 = 0").select(F.concat(F.lit("video_E"), F.lpad(F.col("c").cast("string"), 4, "0"), F.lit(".mkv")).alias("file"))
+    return files.match_videos(s, v)
+
+
+@query(f"""WITH {TIMELINE}, done AS (SELECT ep, start_ms FROM cues WHERE idx % 3 = 0) SELECT ep, idx FROM cues c WHERE NOT EXISTS (SELECT 1 FROM done d WHERE d.ep = c.ep AND d.start_ms = c.start_ms)""")
+def resume_anti(spark, sf):
+    c = cues(timeline(spark, sf))
+    return c.join(c.filter("idx % 3 = 0").select("ep", "start_ms"), ["ep", "start_ms"], "left_anti").select("ep", "idx")
+
+
+@query(rf"WITH {CORPUS}, f AS (SELECT term, count(*) AS n FROM w GROUP BY term) SELECT term, n FROM f ORDER BY n DESC, term LIMIT 50")
+def top_terms(spark, sf):
+    return nouns.term_frequencies(corpus(spark, sf)).withColumnRenamed("freq", "n").orderBy(F.col("n").desc(), "term").limit(50)
