@@ -97,80 +97,68 @@ class FileReader:
             before += self.entries[k][2] // 4
 
 
-def encode(docs: DataFrame, path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One zstandard frame a document: doc_id, frame, size (bytes of ids), check, tie. Null and empty texts hold end_id alone."""
-    small_batches(docs.sparkSession)
+def write_files(docs: DataFrame, path: str, end_id: int = 2, file_bytes: int = FILE_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Encode whole texts and write files in ascending id order: part, seq, n_docs, n_tokens, first_id, last_id, data.
+
+    Rows are dealt into ranges of (id, text hash, row number), so that repeated rows need not stay together; each task
+    encodes its range and closes a file whenever it holds file_bytes. Null ids come first. Only whole texts are shuffled,
+    once, and nothing but the files is written.
+    """
+    small_batches(docs.sparkSession, 1024)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         coder = _ENCODERS.get(path) or _ENCODERS.setdefault(path, bpe.Encoder(path))
         end, zip_ = struct.pack("<I", end_id), zstandard.ZstdCompressor(level=1)
-        for b in batches:
-            ids = [x + end for x in coder.encode(b.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([zip_.compress(x) for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64()),
-                 pa.array([checksum(x) for x in ids], pa.int64())],
-                names=["doc_id", "frame", "size", "check"],
-            )
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    return rows.mapInArrow(work, "doc_id long, frame binary, size long, check long")
-
-
-def write_files(frames: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Files in ascending id order: part, seq, n_docs, n_tokens, first_id, last_id, start (ids in all files before), data.
-
-    Rows are dealt into ranges of (doc_id, check, size); null ids come first. Only one row a file meets in one task.
-    """
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, w = TaskContext.get().partitionId(), 0, FileWriter()
         first = last = None
+        kind = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("first_id", pa.int64()), ("last_id", pa.int64()), ("data", pa.binary())])
 
         def done() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist(
-                [{"part": part, "seq": seq, "n_docs": len(w.ids), "n_tokens": w.tokens, "first_id": first, "last_id": last, "data": w.bytes()}],
-                schema=pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("first_id", pa.int64()), ("last_id", pa.int64()), ("data", pa.binary())]),
-            )
+            return pa.RecordBatch.from_pylist([{"part": part, "seq": seq, "n_docs": len(w.ids), "n_tokens": w.tokens, "first_id": first, "last_id": last, "data": w.bytes()}], schema=kind)
 
         for b in batches:
-            for doc_id, frame, size, check in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for doc_id, raw in zip(b.column(0).to_pylist(), coder.encode(b.column(1).to_pylist()), strict=True):
+                ids = raw + end
                 first = doc_id if not w.ids else first
                 last = doc_id
-                w.add(doc_id, frame, size, check)
+                w.add(doc_id, zip_.compress(ids), len(ids), checksum(ids))
                 if w.size >= file_bytes:
                     yield done()
                     seq, w = seq + 1, FileWriter()
         if w.ids:
             yield done()
 
-    order = ["doc_id", "check", "size"]
-    files = materialize(
-        frames.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-            pack, "part int, seq int, n_docs long, n_tokens long, first_id long, last_id long, data binary"
-        ),
-        "token-files",
-    )
-    before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    starts = files.select("part", "seq", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("start"))
-    return files.join(starts, ["part", "seq"])
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    order = ["doc_id", "_hash", "_row"]
+    dealt = rows.withColumn("_hash", F.xxhash64("_text")).withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+    files = dealt.select("doc_id", "_text").mapInArrow(work, "part int, seq int, n_docs long, n_tokens long, first_id long, last_id long, data binary")
+    return materialize(files, "token-files")
 
 
 def read_files(files: DataFrame, wanted: list[int] | None = None) -> DataFrame:
-    """Documents read back from files: doc_id, start, n_tokens, ids_crc32. With `wanted`, only their frames are decompressed."""
+    """Documents read back from files: doc_id, start (ids of all documents before), n_tokens, ids_crc32.
+
+    With `wanted`, only the frames of those ids are decompressed. Only one row a file meets in one task.
+    """
     small_batches(files.sparkSession, 1)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for data, start in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                out = [(d, start + before, len(ids) // 4, zlib.crc32(ids)) for d, before, ids in FileReader(data).documents(wanted)]
-                cols = list(zip(*out, strict=True)) or [()] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+            for part, seq, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                out = [(part, seq, d, before, len(ids) // 4, zlib.crc32(ids)) for d, before, ids in FileReader(data).documents(wanted)]
+                cols = list(zip(*out, strict=True)) or [()] * 6
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
 
+    kinds, names = [pa.int32()] * 2 + [pa.int64()] * 4, ["part", "seq", "doc_id", "before", "n_tokens", "ids_crc32"]
+    some = files
     if wanted is not None and wanted:
-        files = files.filter((F.col("first_id") <= max(wanted)) & (F.col("last_id") >= min(wanted)))
-    return files.select("data", "start").mapInArrow(work, "doc_id long, start long, n_tokens long, ids_crc32 long")
+        some = files.filter((F.col("first_id") <= max(wanted)) & (F.col("last_id") >= min(wanted)))
+    rows = some.select("part", "seq", "data").mapInArrow(work, "part int, seq int, doc_id long, before long, n_tokens long, ids_crc32 long")
+    before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select("part", "seq", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("_start"))
+    return rows.join(starts, ["part", "seq"]).select("doc_id", (F.col("_start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def store(docs: DataFrame, path: str, end_id: int = 2) -> DataFrame:
@@ -179,5 +167,4 @@ def store(docs: DataFrame, path: str, end_id: int = 2) -> DataFrame:
     Null and empty texts hold end_id alone; null ids sort first; repeated ids stay apart, ordered by content; other
     columns are ignored; an empty table gives no row.
     """
-    frames = materialize(encode(docs, path, end_id), "token-frames")
-    return read_files(write_files(frames))
+    return read_files(write_files(docs, path, end_id))
