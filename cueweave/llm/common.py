@@ -37,6 +37,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*stored: DataFrame) -> None:
+    """Delete materialized tables that nothing reads any more."""
+    for df in stored:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/cueweave/" in folder:
+                spark = df.sparkSession
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def added(df: DataFrame, ddl: str) -> StructType:
     """The schema of df with more fields."""
     return StructType(df.schema.fields + StructType.fromDDL(ddl).fields)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cueweave.llm.common import materialize
+from cueweave.llm.common import discard, materialize
 
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
@@ -25,7 +25,8 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         down = large.filter("b <= a")
         low = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
-        e = materialize(small.distinct(), "cc")
+        e, old = materialize(small.distinct(), "cc"), e
+        discard(old)
         now = tuple(e.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first())
         if now == before:
             break

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cueweave.llm.common import materialize, packed, quoted
+from cueweave.llm.common import discard, materialize, packed, quoted
 
 
 def _windows(docs: DataFrame, text: Column) -> DataFrame:
@@ -41,7 +41,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     place = F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_th", "pos")
     firsts = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first != last").select("h1", "h2", "first")
     later = windows.hint("merge").join(firsts, ["h1", "h2"]).filter(place != F.col("first"))
-    marks = later.groupBy("_id", "_th").agg(F.collect_set("pos").alias("_starts"))
+    marks = materialize(later.groupBy("_id", "_th").agg(F.collect_set("pos").alias("_starts")), "line-marks")
+    discard(windows)
 
     joined = docs.alias("d").join(marks.alias("m"), F.col("d._id").eqNullSafe(F.col("m._id")) & (F.col("d._th") == F.col("m._th")), "left")
     joined = joined.withColumn("_lines", F.split(text, "\n"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cueweave.llm.common import materialize, packed, with_prefix
+from cueweave.llm.common import discard, materialize, packed, with_prefix
 
 WORD = r"[^\x20\x09-\x0D]+"
 _FIXED = 1 << 20  # rates are summed as whole numbers of this unit, so that no order of addition changes a result
@@ -71,7 +71,8 @@ def multipliers(hist: DataFrame, cap: float, tolerance: float = 1e-5, steps: int
         inside = newton.isNotNull() & (newton > F.coalesce(F.col("lo"), F.col("lam") - 4)) & (newton < F.coalesce(F.col("hi"), F.col("lam") + 4))
         gap = F.when(F.col("full"), F.lit(0.0)).otherwise(F.abs(F.col("f") - F.col("target")) / F.greatest(F.col("target"), F.lit(1.0)))
         sums = sums.withColumn("gap", gap).withColumn("lam", F.when(F.col("gap") <= tolerance, F.col("lam")).otherwise(F.when(inside, newton).otherwise(half)))
-        state = materialize(sums.drop("f", "df"), "mix-state")
+        state, old = materialize(sums.drop("f", "df"), "mix-state"), state
+        discard(old)
         if (state.agg(F.max("gap")).first()[0] or 0.0) <= tolerance:
             break
     return state

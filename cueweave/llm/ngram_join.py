@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cueweave.llm.common import materialize, packed, quoted, small_batches
+from cueweave.llm.common import discard, materialize, packed, quoted, small_batches
 from cueweave.llm.components import components
 
 BANDS, ROWS = 24, 4
@@ -269,6 +269,7 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6,
         units.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "f1", "f2").mapInArrow(settle, "f1 long, f2 long, links long, g1 long, g2 long"),
         "ngram-links",
     )
+    discard(full, kept)
     links = found.groupBy("f1", "f2").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.struct("f1", "f2").alias("a"), F.struct(F.col("g1").alias("f1"), F.col("g2").alias("f2")).alias("b")))
     grouped = (

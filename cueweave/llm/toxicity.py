@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -46,19 +47,35 @@ def parts(word: str) -> list[str]:
     return out
 
 
-def evidence(docs: list[set[str]], labels: list[int]) -> dict[str, float]:
-    """Log-odds of each part, less one standard error, where that is over 0."""
-    counts = (Counter(), Counter())
-    for ws, y in zip(docs, labels, strict=True):
-        counts[y].update({p for w in ws for p in parts(w)})
+def evidence(bags: list[np.ndarray], labels: list[int], vocabulary: list[str]) -> dict[str, float]:
+    """Log-odds of each part, less one standard error, where that is over 0. bags: distinct word numbers of each document.
+
+    Parts are first counted in documents of label 1; only those seen twice there are looked for in the others, so the
+    tables stay small.
+    """
+    ones: Counter = Counter()
+    for bag, y in zip(bags, labels, strict=True):
+        if y:
+            ones.update({p for i in bag.tolist() for p in parts(vocabulary[i])})
+    kept = {p: k for k, p in enumerate(p for p, t in ones.items() if t >= 2)}
+    numbers, edges = array("i"), array("q", [0])
+    for w in vocabulary:
+        numbers.extend(kept[p] for p in parts(w) if p in kept)
+        edges.append(len(numbers))
+    flat, ends = np.array(numbers, np.int64), np.array(edges, np.int64)
+    zeros = np.zeros(len(kept), np.int64)
+    for bag, y in zip(bags, labels, strict=True):
+        if not y:
+            n = ends[bag + 1] - ends[bag]
+            starts = np.repeat(ends[bag] - (np.cumsum(n) - n), n)
+            zeros[np.unique(flat[starts + np.arange(int(n.sum()))])] += 1
     total = [max(1, len(labels) - sum(labels)), max(1, sum(labels))]
     out = {}
-    for p, t in counts[1].items():
-        if t >= 2:
-            c = counts[0][p]
-            e = math.log((t + 0.5) / (total[1] + 1)) - math.log((c + 0.5) / (total[0] + 1)) - math.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
-            if e > 0.05:
-                out[p] = min(e, 6.0) / 3
+    for p, k in kept.items():
+        t, c = ones[p], int(zeros[k])
+        e = math.log((t + 0.5) / (total[1] + 1)) - math.log((c + 0.5) / (total[0] + 1)) - math.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
+        if e > 0.05:
+            out[p] = min(e, 6.0) / 3
     return out
 
 
@@ -220,45 +237,51 @@ class Model:
         return np.where(np.isfinite(raw), np.round(_sigmoid(self.scale[0] * np.where(np.isfinite(raw), raw, 0.0) + self.scale[1]), 6), 0.0)
 
 
-def _distinct(cut: list[list[str]]) -> list[int]:
+def _distinct(docs: list[np.ndarray], hashes: np.ndarray) -> list[int]:
     """Places of texts that are not near copies of earlier ones, so that copies don't count as so many witnesses."""
     seen: set[tuple[int, int]] = set()
     keep = []
-    for i, ws in enumerate(cut):
-        grams = {hash_words(ws[j : j + 5]) for j in range(max(1, len(ws) - 4))}
-        mins = [(k, min(g * m & 0xFFFFFFFF for g in grams)) for k, m in enumerate((0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F))]
+    mults = np.array((0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F), np.uint64)
+    for i, d in enumerate(docs):
+        k = min(5, len(d))
+        if not k:
+            continue
+        grams = np.zeros(len(d) - k + 1, np.uint64)
+        for j in range(k):
+            grams = grams * np.uint64(0x100000001B3) + hashes[d[j : len(d) - k + 1 + j]]
+        mins = [(m, int(x)) for m, x in enumerate(((grams[:, None] ^ (grams[:, None] >> np.uint64(29))) * mults[None, :] & np.uint64(0xFFFFFFFF)).min(0))]
         if sum(m in seen for m in mins) < 2:
             keep.append(i)
         seen.update(mins)
     return keep
 
 
-def hash_words(ws: list[str]) -> int:
-    import xxhash
-
-    return xxhash.xxh32_intdigest(" ".join(ws)) | 1
-
-
 def fit(texts: list[str], labels: list[int], epochs: int = 8, batch: int = 128, rate: float = 0.01) -> Model:
     """Train on labelled texts; with one label only, every text scores near that label's share."""
-    cut = [words(t) for t in texts]
-    keep = [i for i in _distinct(cut) if cut[i]]
-    cut, y = [cut[i] for i in keep], [labels[i] for i in keep]
+    import xxhash
+
+    ids: dict[str, int] = {}
+    docs = [np.fromiter((ids.setdefault(w, len(ids)) for w in words(t)), np.int32) for t in texts]
+    vocabulary = list(ids)
+    keep = _distinct(docs, np.fromiter((xxhash.xxh64_intdigest(w) for w in vocabulary), np.uint64, len(vocabulary)))
+    cut, y = [docs[i] for i in keep], [labels[i] for i in keep]
+    del docs, ids
     net = new_network()
-    bags = [set(c) for c in cut]
     if not any(y):
         return Model(net, {}, (0.0, -8.0))
+    bags = [np.unique(c) for c in cut]
     g = np.random.default_rng(11)
     # halves hold as many of each label
     half = np.zeros(len(y), np.int64)
     for label in (0, 1):
         at = np.flatnonzero(np.array(y) == label)
         half[g.permutation(at)[::2]] = 1
-    known = [evidence([b for b, h in zip(bags, half, strict=True) if h != k], [v for v, h in zip(y, half, strict=True) if h != k]) for k in (0, 1)]
-
-    ids: dict[tuple[str, int], int] = {}
-    flat = np.fromiter((ids.setdefault((w, int(h)), len(ids)) for c, h in zip(cut, half, strict=True) for w in c), np.int64, sum(map(len, cut)))
-    rows = np.array([inputs(w, known[h]) for w, h in ids], np.float32)
+    rows = np.zeros((2 * len(vocabulary), INPUTS), np.float32)  # of each word, from the half that its reader is not in
+    for k in (0, 1):
+        known = evidence([b for b, h in zip(bags, half, strict=True) if h != k], [v for v, h in zip(y, half, strict=True) if h != k], vocabulary)
+        for i in np.unique(np.concatenate([b for b, h in zip(bags, half, strict=True) if h == k] or [np.zeros(0, np.int32)])).tolist():
+            rows[k * len(vocabulary) + i] = inputs(vocabulary[i], known)
+    flat = np.concatenate([c.astype(np.int64) + h * len(vocabulary) for c, h in zip(cut, half, strict=True)])
     doc, start, size = windows([len(c) for c in cut])
     first = start + np.concatenate(([0], np.cumsum([len(c) for c in cut])[:-1]))[doc]
     told = np.concatenate(([0.0], np.cumsum(rows[flat, :7].sum(1))))
@@ -299,7 +322,7 @@ def fit(texts: list[str], labels: list[int], epochs: int = 8, batch: int = 128,
         o = order[at : at + 1024]
         x, live = _stack(rows, flat, first[o], size[o])
         np.maximum.at(high, doc[o], forward(net, {d: x @ net[f"W{d}"] + net[f"c{d}"] for d in "fb"}, live)[0])
-    return Model(net, evidence(bags, y), _scale(high, np.array(y, np.float64)))
+    return Model(net, evidence(bags, y, vocabulary), _scale(high, np.array(y, np.float64)))
 
 
 def _scale(raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -325,10 +348,11 @@ def held_out(doc_id: str = "doc_id"):
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit on at most `sample` labelled rows, taken in the order of a hash of their id; held-out rows are left aside.
 
-    Rows with a null id, text or label are left out. Fewer rows than `sample` are all used.
+    Rows with a null id, text or label are left out; of labels that disagree the higher counts. Fewer rows than `sample` are
+    all used.
     """
     rows = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).filter("_id is not null and _y in (0, 1)").filter(~held_out("_id"))
-    few = rows.dropDuplicates(["_id"]).orderBy(F.xxhash64("_id"), "_id").limit(sample)
+    few = rows.groupBy("_id").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(sample)
     texts = docs.select(F.col(id_col).alias("_d"), F.col(text_col).alias("_text")).filter("_text is not null")
     got = texts.join(F.broadcast(few), F.col("_d") == F.col("_id")).groupBy("_id").agg(F.min(F.struct("_text", "_y")).alias("r"))  # at most `sample` rows
     table = got.select("_id", "r._text", "r._y").toArrow().sort_by("_id")
