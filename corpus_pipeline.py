@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cueweave.llm import line_dedup, mixing, ngram_join, pieces, toxicity
-from cueweave.llm.common import materialize, table
+from cueweave.llm.common import discard, materialize, table
 from cueweave.llm.queries import tokenizer
 
 
@@ -52,6 +52,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+    for k, (name, stage) in enumerate(STAGES[:-1]):
+        docs, old = materialize(stage(spark, docs, sf_dir), f"stage-{name}"), docs
+        if k:
+            discard(old)
     return STAGES[-1][1](spark, docs, sf_dir)
