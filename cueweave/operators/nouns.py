@@ -95,26 +95,46 @@ def glossary_reject_reason(term: Column, common: Column, lang: str = "ja") -> Co
     )
 
 
+def _folded(items: Column, empty: Column, at: Column, step) -> Column:
+    """Array of what `step` keeps, in order: step(at, item) gives (keep, out, next at); empty is an empty array of outs.
+    What is kept fills chunks that are joined at the end, so that a long array is not copied for each item."""
+    size = 128
+
+    def merge(a: Column, x: Column) -> Column:
+        keep, out, after = step(a["at"], x)
+        room = F.size(a["part"]) < size
+        full, part = F.when(room, a["full"]).otherwise(F.array_append(a["full"], a["part"])), F.when(room, F.array_append(a["part"], out)).otherwise(F.array(out))
+        return F.when(keep, F.struct(after.alias("at"), full.alias("full"), part.alias("part"))).otherwise(a)
+
+    zero = F.struct(at.alias("at"), F.slice(F.array(empty), 1, 0).alias("full"), empty.alias("part"))
+    return F.aggregate(items, zero, merge, lambda a: F.concat(F.flatten(a["full"]), a["part"]))
+
+
+def _once(c: Column, f) -> Column:
+    """f(c), with c evaluated once however often f names it."""
+    return F.transform(F.array(c), f)[0]
+
+
 def keep_disjoint(spans: Column) -> Column:
     """Of an array of spans (start, len, ...) those that overlap none kept before, in the order of start and then falling
-    length; one fold inside the JVM."""
-    in_order = F.array_sort(spans, lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["len"] - a["len"]))
-    return F.aggregate(
-        in_order, F.slice(spans, 1, 0),
-        lambda kept, s: F.when(F.exists(kept, lambda k: (s["start"] < k["start"] + k["len"]) & (k["start"] < s["start"] + s["len"])), kept).otherwise(F.array_append(kept, s)),
-    )
+    length; one fold inside the JVM. Starts rise, so the end of the last kept span decides."""
+    in_order = lambda xs: F.array_sort(xs, lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["len"] - a["len"]))
+    return _once(spans, lambda xs: _folded(in_order(xs), F.slice(xs, 1, 0), F.lit(None).cast("int"), lambda end, s: (end.isNull() | (s["start"] >= end), s, (s["start"] + s["len"]).cast("int"))))
 
 
 def candidate_spans(c: Column, lang: str = "en") -> Column:
     """Spans (start, len, text, kind) that look like names, without overlaps. Starts are found by cutting the text at each
-    match, so that no position is lost to the array of matches."""
+    match and adding up the lengths, so that no position is lost to the array of matches."""
     patterns = {"en": [("full_name", "\\b[A-Z][a-z]+ [A-Z][a-z]+\\b"), ("name", "\\b[A-Z][a-z]{2,}\\b")], "ja": [("katakana", "[\\u30A0-\\u30FF]{2,}"), ("han", "[\\u4E00-\\u9FFF]{2,4}")], "zh": [("han", "[\\u4E00-\\u9FFF]{2,4}")]}
-    total = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + F.length(x))
 
     def spans(kind: str, p: str) -> Column:
+        def step(at: Column, x: Column) -> tuple[Column, Column, Column]:
+            start = at + F.length(x["before"])
+            return F.lit(True), F.struct(start.alias("start"), F.length(x["hit"]).alias("len"), x["hit"].alias("text"), F.lit(kind).alias("kind")), start + F.length(x["hit"])
+
         hits, between = F.regexp_extract_all(c, F.lit(p), F.lit(0)), F.split(c, p)
-        start = lambda i: total(F.slice(between, F.lit(1), i + 1)) + total(F.slice(hits, F.lit(1), i))
-        return F.transform(hits, lambda h, i: F.struct(start(i).alias("start"), F.length(h).alias("len"), h.alias("text"), F.lit(kind).alias("kind")))
+        pairs = F.filter(F.arrays_zip(between.alias("before"), hits.alias("hit")), lambda x: x["hit"].isNotNull())  # after the last hit there is only text
+        return _folded(pairs, F.array().cast("array<struct<start:int,len:int,text:string,kind:string>>"), F.lit(0), step)
 
     found = [spans(kind, p) for kind, p in patterns.get(lang, patterns["zh"])]
     return keep_disjoint(F.concat(*found))

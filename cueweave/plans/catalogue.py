@@ -494,7 +494,7 @@ def candidate_verdicts(spark, sf):
 
 @query()
 def name_spans(spark, sf):
-    s = corpus(spark, sf).select("idx", F.explode(nouns.candidate_spans(F.substring("text", 1, 400))).alias("s")).select("idx", "s.*")
+    s = corpus(spark, sf).select("idx", F.explode(nouns.candidate_spans(F.col("text"))).alias("s")).select("idx", "s.*")
     return s.groupBy("kind").agg(F.count("*").alias("n"), F.countDistinct("text").alias("n_texts"))
 
 

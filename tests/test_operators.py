@@ -94,6 +94,27 @@ def test_variant_groups(spark):
     assert got == {"アトム": (12, ["アトムー"]), "ウラン": (4, [])}
 
 
+def test_name_spans_against_fold(spark, tmp_path):
+    import re
+
+    from cueweave.plans import catalogue
+
+    r = random.Random(5)
+    words = ["Ann", "Bob Lee", "Al", "the", "x", "Mc", "Zoe.", "DeF", "Kim\nRoe", "a1"]
+    texts = [" ".join(r.choice(words) for _ in range(n)) for n in (0, 1, 40, 300, 2500)] + ["w" * 500 + " Late Name here", "Ada " * 300]
+    spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = {}
+    for t in texts:
+        found = [(m.start(), -len(m[0]), m[0], kind) for kind, p in (("full_name", r"\b[A-Z][a-z]+ [A-Z][a-z]+\b"), ("name", r"\b[A-Z][a-z]{2,}\b")) for m in re.finditer(p, t)]
+        kept = []
+        for s, n, text, kind in sorted(found):
+            if all(s >= b or s - n <= a for a, b in kept):
+                kept.append((s, s - n))
+                want.setdefault(kind, []).append(text)
+    got = {x["kind"]: (x["n"], x["n_texts"]) for x in catalogue.QUERIES["name_spans"](spark, str(tmp_path)).collect()}
+    assert got == {k: (len(v), len(set(v))) for k, v in want.items()}
+
+
 def test_merge_related(spark):
     df = spark.createDataFrame([("ab", ["x", "y"]), ("abc", ["z"]), ("q", ["w"])], "key string, words array<string>")
     assert sorted((r["key"], sorted(r["words"])) for r in nouns.merge_related(df).collect()) == [("ab", ["x", "y", "z"]), ("q", ["w"])]
