@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from cueweave.functions import text
 from cueweave.operators.temporal import best_overlap
 
 
@@ -44,22 +45,56 @@ def similar_runs(cues: DataFrame, keys: list[str], threshold: float = 0.85, leas
     return runs.groupBy(*keys, "run").agg(F.min("idx").alias("first_idx"), F.max("idx").alias("last_idx"), F.count("*").alias("n")).filter(F.col("n") >= least)
 
 
+def blocked(texts: DataFrame, names: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (text, name) of which the ratio of the lower-case strings can reach the threshold; each once, from distinct
+    texts and names.
+
+    A ratio of t needs M >= t * (len a + len b) / 2 characters in common, counted as often as they occur, and as M is at most
+    the shorter length, neither is shorter than t / (2 - t) times the other. So M >= len * t / (2 - t) for both, and in any
+    order of (character, occurrence number) their first len - M + 1 meet. The order is rare first, and a pair is taken at the
+    first one that meets.
+    """
+    if not 0 < threshold <= 1:
+        raise ValueError(f"threshold {threshold} is not above 0 and at most 1")
+    least, eps = threshold / (2 - threshold), 1e-9
+
+    def tokens(df: DataFrame, column: str) -> DataFrame:
+        low = F.lower(F.col(column))
+        times = lambda c: F.length(low) - F.length(F.replace(low, c, F.lit("")))
+        every = F.flatten(F.transform(F.array_distinct(text.characters(low)), lambda c: F.transform(F.sequence(F.lit(1), times(c)), lambda i: F.concat(c, i.cast("string")))))
+        return df.select(column, F.length(low).alias("_len"), F.explode(every).alias("_t"))
+
+    a, b = tokens(texts, "text"), tokens(names, "name")
+    often = a.select("_t").unionAll(b.select("_t")).groupBy("_t").agg(F.count("*").alias("_often"))
+
+    def prefixes(t: DataFrame, column: str, as_: str) -> DataFrame:
+        ordered = F.transform(F.sort_array(F.collect_list(F.struct("_often", "_t"))), lambda x: x["_t"])
+        g = t.join(often, "_t").groupBy(column).agg(F.max("_len").alias(f"_len{as_}"), ordered.alias(f"_all{as_}"))
+        g = g.withColumn(f"_first{as_}", F.slice(f"_all{as_}", F.lit(1), (F.col(f"_len{as_}") - F.ceil(F.col(f"_len{as_}") * least - eps) + 1).cast("int")))
+        return g.withColumn("_t", F.explode(f"_first{as_}"))
+
+    both = prefixes(a, "text", "a").join(prefixes(b, "name", "b"), "_t")
+    near = F.least("_lena", "_lenb") >= F.greatest("_lena", "_lenb") * least - eps
+    once = F.array_intersect("_firsta", "_firstb")[0] == F.col("_t")
+    enough = F.size(F.array_intersect("_alla", "_allb")) >= (F.col("_lena") + F.col("_lenb")) * (threshold / 2) - eps
+    return both.filter(near & once & enough).select("text", "name")
+
+
 def fuzzy_join(candidates: DataFrame, nouns: DataFrame, threshold: float = 0.7) -> DataFrame:
     """Each candidate (text, norm) with its best noun (name, name_norm): exact 1.0, equal after normalising 0.95, else the
     ratio if it reaches the threshold; status exact, variant, mismatch or unknown.
 
-    The equal cases are equi-joins. What is left is compared within blocks of a shared character pair, so a pair without
-    one, whose ratio cannot be high, is never looked at and no cross join is made.
+    The equal cases are equi-joins. What is left is compared in the blocks of `blocked`, which lose no pair of the threshold.
     """
     names = nouns.select(F.col("name"), F.col("name_norm")).distinct()
     exact = candidates.join(names, candidates.text == names.name).select(candidates["*"], "name", F.lit(1.0).alias("similarity"))
     rest = candidates.join(exact.select("text"), "text", "left_anti")
     same = rest.join(names, rest.norm == names.name_norm).groupBy(*rest.columns).agg(F.min("name").alias("name")).withColumn("similarity", F.lit(0.95))
     rest = rest.join(same.select("text"), "text", "left_anti")
-    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substring(F.lower(c), i, F.lit(2))))
-    pairs = rest.withColumn("_g", F.explode(grams(F.col("text")))).join(names.withColumn("_g", F.explode(grams(F.col("name")))), "_g").select(*rest.columns, "name").distinct()
+    pairs = blocked(rest.select("text").distinct(), names.select("name").distinct(), threshold)
     scored = pairs.withColumn("similarity", ratio(F.col("text"), F.col("name"), "lower")).filter(F.col("similarity") >= threshold)
     best = scored.withColumn("_n", F.row_number().over(Window.partitionBy("text").orderBy(F.col("similarity").desc(), "name"))).filter("_n = 1").drop("_n")
+    best = rest.distinct().join(best, "text")
     found = exact.unionByName(same.select(*exact.columns)).unionByName(best.select(*exact.columns))
     unknown = candidates.join(found.select("text"), "text", "left_anti")
     status = F.when(F.col("similarity") == 1.0, "exact").when(F.col("similarity") >= 0.95, "variant").when(F.col("similarity").isNotNull(), "mismatch").otherwise("unknown")

@@ -126,6 +126,23 @@ def test_fuzzy_join(spark):
     assert {r["text"]: r["status"] for r in similarity.fuzzy_join(c, n).collect()} == {"Astro": "exact", "ASTRO": "variant", "Astra": "mismatch", "zzz": "unknown"}
 
 
+def test_fuzzy_join_without_common_pair(spark):
+    import difflib
+
+    r = random.Random(2)
+    some = ["ab", "山田", "abc", "abcd", "Axb", "AB"] + ["".join(r.choice("abcd ") for _ in range(r.randint(1, 9))) for _ in range(60)]
+    names = ["axb", "山本田", "a b c", "axbxcxd"] + ["".join(r.choice("abcde") for _ in range(r.randint(1, 9))) for _ in range(40)]
+    c = spark.createDataFrame([(x, f"c{x}") for x in sorted(set(some))], "text string, norm string")
+    n = spark.createDataFrame([(x, f"n{x}") for x in names], "name string, name_norm string")
+    for t in (0.3, 0.7, 0.8):
+        got = {x["text"]: (x["name"], x["similarity"]) for x in similarity.fuzzy_join(c, n, t).collect()}
+        for x in some:
+            scored = [(-difflib.SequenceMatcher(None, x.lower(), y.lower()).ratio(), y) for y in names]
+            score, name = min(scored)
+            want = (x, 1.0) if x in names else (name, -score) if -score >= t else (None, None)
+            assert got[x] == want
+
+
 def test_first_wins_and_mappings(spark):
     df = spark.createDataFrame([(1, "a"), (0, "a"), (2, None), (3, None)], "o int, k string")
     assert sorted(r["o"] for r in setops.first_wins(df, ["k"], ["o"]).collect()) == [0, 2]
