@@ -117,22 +117,23 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     steps = lambda c: F.floor((c + _FIXED // 2) / _FIXED)
     cut = materialize(run.withColumn("copies", (steps(F.col("before") + F.col("fixed")) - steps(F.col("before"))).cast("long")).drop("before", "fixed"), "mix-copies")
 
-    moves = _moves(cut, cap)
-    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"m.{k}")) for k in ("source", "doc_id", "key")]
+    moves = _moves(cut, cap).withColumnRenamed("copies", "of_copies")
+    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"m.{k}")) for k in ("source", "doc_id", "key")] + [F.col("c.copies") == F.col("of_copies")]
     return (
-        cut.alias("c").join(moves.alias("m"), same[0] & same[1] & same[2], "left")
+        cut.alias("c").join(moves.alias("m"), same[0] & same[1] & same[2] & same[3], "left")
         .withColumn("copies", F.col("copies") + F.coalesce(F.col("move"), F.lit(0)))
         .select("c.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "rate", "copies", "c.key")
     )
 
 
 def _moves(cut: DataFrame, cap: int) -> DataFrame:
-    """Copies to add or take away so that each source comes nearest its target: source, doc_id, key, move."""
+    """Copies to add or take away so that each source comes nearest its target: source, doc_id, key, copies, move. Repeated rows can
+    differ in copies; a move is for those of them with the copies that it names."""
     rows = cut.filter("size > 0").groupBy("source", "doc_id", "key", "size", "copies").agg(F.count("*").alias("n"))
     words = F.col("n") * F.col("size")
     both = rows.withColumn("move", F.explode(F.array(F.lit(1), F.lit(-1)))).filter((F.col("copies") + F.col("move")).between(0, cap))
-    best = both.groupBy("source", F.floor(F.log2(words.cast("double"))).alias("class"), "move").agg(F.min(F.struct("n", "size", "key", "doc_id")).alias("b"))
-    picks = best.groupBy("source").agg(F.sort_array(F.collect_list(F.struct((F.col("b.n") * F.col("b.size")).alias("words"), "move", F.col("b.doc_id").alias("doc_id"), F.col("b.key").alias("key"))), asc=False).alias("list"))
+    best = both.groupBy("source", F.floor(F.log2(words.cast("double"))).alias("class"), "move").agg(F.min(F.struct("n", "size", "key", "doc_id", "copies")).alias("b"))
+    picks = best.groupBy("source").agg(F.sort_array(F.collect_list(F.struct((F.col("b.n") * F.col("b.size")).alias("words"), "move", F.col("b.doc_id").alias("doc_id"), F.col("b.key").alias("key"), F.col("b.copies").alias("copies"))), asc=False).alias("list"))
     lack = cut.groupBy("source").agg((F.max("target") - F.sum(F.col("copies") * F.col("size"))).alias("lack"))
     both_ = picks.alias("p").join(lack.alias("l"), F.col("p.source").eqNullSafe(F.col("l.source")))
     # at most two rows for each power of two, from the largest down; a move is made if it brings the source nearer
@@ -140,8 +141,8 @@ def _moves(cut: DataFrame, cap: int) -> DataFrame:
         "aggregate(list, named_struct('lack', lack, 'made', array_repeat(list[0], 0)), (a, m) -> "
         "if(abs(a.lack - m.words * m.move) < abs(a.lack), named_struct('lack', a.lack - m.words * m.move, 'made', array_append(a.made, m)), a), a -> a.made)"
     )
-    moves = both_.select(F.col("p.source").alias("source"), F.explode(made).alias("m")).select("source", "m.doc_id", "m.key", "m.move")
-    return moves.groupBy("source", "doc_id", "key").agg(F.sum("move").alias("move"))
+    moves = both_.select(F.col("p.source").alias("source"), F.explode(made).alias("m")).select("source", "m.doc_id", "m.key", "m.copies", "m.move")
+    return moves.groupBy("source", "doc_id", "key", "copies").agg(F.sum("move").alias("move"))
 
 
 def mixed(docs: DataFrame) -> DataFrame:

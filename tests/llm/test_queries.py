@@ -120,6 +120,19 @@ def test_op4(spark):
     assert sorted(map(str, got)) == sorted(map(str, queries.op4_mixing(spark, SF).collect()))
 
 
+def test_op4_repeated_rows(spark):
+    docs = [(d, "a " * (1 + (s * d) % 5), f"s{s:02}") for s in range(40) for d in range(1 + s % 3) for _ in range(3 + (7 * s + 5 * d) % 23)]
+    got = mixing.mix(spark.createDataFrame(docs, "doc_id long, text string, source string"), share=1.3).collect()
+    assert len(got) == len(docs) and all(0 <= r["copies"] <= 2 and r["taken"] == r["copies"] * r["size"] for r in got)
+
+
+def test_op4_moves_of_repeated_rows(spark):
+    rows = [(7, "s", 5, 1, 21.0, 0)] * 2 + [(7, "s", 5, 1, 21.0, 1), (7, "s", 5, 1, 21.0, 2)]
+    cut = spark.createDataFrame(rows, "doc_id long, source string, size long, key long, target double, copies long")
+    moves = {r["copies"]: r["move"] for r in mixing._moves(cut, 2).collect()}
+    assert moves == {0: 1, 1: -1}  # 5 + 5 + 0 + 10 words for 21
+
+
 def test_op4_odd_rows(spark):
     assert mixing.mix(odd(spark)).count() == 12
     assert mixing.mix(none(spark)).count() == 0
