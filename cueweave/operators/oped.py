@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cueweave.functions import text
 from cueweave.operators.setops import first_wins
-from cueweave.operators.similarity import ratio
+from cueweave.operators.similarity import reaches
 
 REGION_MS = 180_000  # the first and last three minutes
+BLOCK = 4096  # character sets that are compared in one matrix
 
 
 def with_region(cues: DataFrame, keys: list[str], lead_ms: int = REGION_MS, tail_ms: int = REGION_MS, lang: str = "ja") -> DataFrame:
@@ -69,13 +71,52 @@ def clusters(bucketed: DataFrame, min_eps: int = 3, lang: str = "ja") -> DataFra
 
 
 def pairwise_jaccard(bucketed: DataFrame, keys: list[str]) -> DataFrame:
-    """Mean character-set similarity of the distinct texts of each key; 1.0 where there is one text."""
+    """Mean character-set similarity of the distinct texts of each key; 1.0 where there is one text.
+
+    Texts of one character set are one row with a count. The sets of a key are dealt by hash into blocks of about `BLOCK`;
+    each two blocks are one group, whose similarities are added up in matrices, so that no row is made for a pair of texts.
+    """
     d = bucketed.select(*keys, "text").distinct()
-    pairs = d.alias("a").join(d.alias("b"), [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys] + [F.col("a.text") < F.col("b.text")])
-    sims = pairs.groupBy(*[F.col(f"a.{k}").alias(k) for k in keys]).agg(F.avg(text.char_jaccard(F.col("a.text"), F.col("b.text"))).alias("mean_jaccard"))
+    chars = F.array_join(F.array_sort(F.array_distinct(text.characters(text.strip(F.col("text"))))), "")
+    sets = d.filter(F.col("text").isNotNull()).groupBy(*keys, chars.alias("_set")).agg(F.count("*").alias("_n"))
+    sizes = sets.groupBy(*keys).agg(F.sum("_n").alias("_texts"), F.ceil(F.count("*") / BLOCK).alias("_blocks"))
+    dealt = sets.join(sizes, keys).withColumn("_block", F.pmod(F.xxhash64("_set"), F.col("_blocks")))
+    blocks = dealt.groupBy(*keys, "_texts", "_blocks", "_block").agg(F.sort_array(F.collect_list(F.struct("_set", "_n"))).alias("_l"))
+    other = blocks.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
+    tiles = other.select(*keys, "_texts", F.least("_block", "_other").alias("_lo"), F.greatest("_block", "_other").alias("_hi"), F.col("_l._set").alias("_sets"), F.col("_l._n").alias("_ns"))
+
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        one = pdf.iloc[:1]
+        inner = one["_lo"].iloc[0] == one["_hi"].iloc[0]
+        total = similarity_sum(pdf["_sets"].iloc[0], pdf["_ns"].iloc[0], pdf["_sets"].iloc[-1], pdf["_ns"].iloc[-1], inner) if inner or len(pdf) == 2 else 0.0
+        return one[[*keys, "_texts"]].assign(_sum=total)
+
+    schema = tiles.select(*keys, "_texts", F.lit(0.0).alias("_sum")).schema
+    sums = tiles.groupBy(*keys, "_lo", "_hi").applyInPandas(work, schema).groupBy(*keys, "_texts").agg(F.sum(F.col("_sum").cast("decimal(38,6)")).cast("double").alias("_sum"))
+    sims = sums.filter("_texts > 1").select(*keys, (F.col("_sum") * 2 / (F.col("_texts") * (F.col("_texts") - 1))).alias("mean_jaccard"))
     return d.select(*keys).distinct().join(sims, keys, "left").withColumn("mean_jaccard", F.coalesce("mean_jaccard", F.lit(1.0)))
 
 
+def similarity_sum(a: list[str], n_a: list[int], b: list[str], n_b: list[int], inner: bool, slab: int = 256) -> float:
+    """Sum of the Jaccard similarities of all pairs of texts, given as character sets with counts; 0 if a set is empty.
+    inner: a and b are the same sets, and each pair of different texts counts once."""
+    place = {c: i for i, c in enumerate(sorted(set().union(*a, *b)))}
+
+    def ones(sets: list[str]) -> np.ndarray:
+        x = np.zeros((len(sets), len(place)), np.float32)
+        for row, s in zip(x, sets, strict=True):
+            row[[place[c] for c in s]] = 1
+        return x
+
+    x, y, n, m = ones(a), ones(b), np.asarray(n_a, float), np.asarray(n_b, float)
+    size, total = y.sum(1), 0.0
+    for i in range(0, len(x), slab):
+        shared = x[i : i + slab] @ y.T
+        alike = shared.astype(float) / np.maximum(x[i : i + slab].sum(1)[:, None] + size - shared, 1)
+        total += float(n[i : i + slab] @ alike @ m)
+    return (total - float(n[x.any(1)].sum())) / 2 if inner else total
+
+
 def cluster_kind(c: DataFrame) -> DataFrame:
     """kind from n_noise, n_valid, variants and mean_jaccard: instrumental, dialogue, vocal or none."""
     share, one = F.col("n_noise") / F.greatest(F.col("n_noise") + F.col("n_valid"), F.lit(1)), F.size(F.map_keys("variants")) <= 1
@@ -98,7 +139,7 @@ def consistency(bucketed: DataFrame, lang: str = "ja", threshold: float = 0.7) -
     keys = ["region", "bucket_ms"]
     top = majority(bucketed, keys, "text", ["file", "idx"]).filter((F.col("n_distinct") >= 2) & text.is_valid_for_votes(F.col("text"), lang)).select(*keys, F.col("text").alias("replacement"))
     rows = bucketed.join(top, keys).filter(F.col("text") != F.col("replacement"))
-    alike = (text.normalise(F.col("text"), lang) == text.normalise(F.col("replacement"), lang)) | (ratio(F.col("text"), F.col("replacement"), "lower") >= threshold)
+    alike = (text.normalise(F.col("text"), lang) == text.normalise(F.col("replacement"), lang)) | reaches(F.lower("text"), F.lower("replacement"), threshold)
     return rows.filter(alike).select("file", "idx", F.col("text").alias("original"), "replacement")
 
 

@@ -7,7 +7,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import BooleanType, DoubleType
 
 from cueweave.functions import text
 from cueweave.operators.temporal import best_overlap
@@ -28,6 +28,22 @@ def ratio(a: Column, b: Column, mode: str = "plain") -> Column:
     return _ratio(a, b)
 
 
+def reaches(a: Column, b: Column, threshold: float) -> Column:
+    """Whether the ratio reaches the threshold; difflib's two upper bounds go first."""
+
+    @F.pandas_udf(BooleanType())
+    def reached(a: pd.Series, b: pd.Series) -> pd.Series:
+        def one(x: str | None, y: str | None) -> bool | None:
+            if x is None or y is None:
+                return None
+            m = difflib.SequenceMatcher(None, x, y)
+            return m.real_quick_ratio() >= threshold and m.quick_ratio() >= threshold and m.ratio() >= threshold
+
+        return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype="object")
+
+    return reached(a, b)
+
+
 def compare(left: DataFrame, right: DataFrame, keys: list[str], threshold: float = 0.4) -> DataFrame:
     """Each left cue (by `_id`) against the right cue it overlaps most: similarity and verdict match, suspicious, mismatch,
     or unmatched where nothing overlaps."""
@@ -39,7 +55,7 @@ def compare(left: DataFrame, right: DataFrame, keys: list[str], threshold: float
 def similar_runs(cues: DataFrame, keys: list[str], threshold: float = 0.85, least: int = 2) -> DataFrame:
     """Maximal runs of neighbouring cues that are alike: run (from 1), first_idx, last_idx, n."""
     w = Window.partitionBy(*keys).orderBy("idx")
-    alike = cues.withColumn("_next", F.lead("text").over(w)).withColumn("_same", F.coalesce(ratio(F.col("text"), F.col("_next")) >= threshold, F.lit(False)))
+    alike = cues.withColumn("_next", F.lead("text").over(w)).withColumn("_same", F.coalesce(reaches(F.col("text"), F.col("_next"), threshold), F.lit(False)))
     linked = alike.withColumn("_prev", F.coalesce(F.lag("_same").over(w), F.lit(False)))
     runs = linked.withColumn("run", F.sum(F.when(F.col("_prev"), 0).otherwise(1)).over(w))
     return runs.groupBy(*keys, "run").agg(F.min("idx").alias("first_idx"), F.max("idx").alias("last_idx"), F.count("*").alias("n")).filter(F.col("n") >= least)

@@ -363,10 +363,15 @@ def even_sample(spark, sf):
 # openings and endings
 
 
-def regioned(spark: SparkSession, sf: str) -> DataFrame:
-    """Turns as cues of openings (the first three) and endings, with a short text that recurs."""
+def whole_regioned(spark: SparkSession, sf: str) -> DataFrame:
+    """Turns as cues of openings (the first three) and endings, with their whole texts."""
     t = turns(spark, sf).withColumn("region", F.when(F.col("idx") < 3, "OP").otherwise("ED"))
-    return t.withColumn("start_ms", F.col("start_ms") + F.col("file") % 5 * 400).withColumn("text", F.split_part("text", F.lit(" "), F.lit(1)))
+    return t.withColumn("start_ms", F.col("start_ms") + F.col("file") % 5 * 400)
+
+
+def regioned(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with the first word as text, as in the SQL below."""
+    return whole_regioned(spark, sf).withColumn("text", F.split_part("text", F.lit(" "), F.lit(1)))
 
 
 REGIONED = TURNS + ", r AS (SELECT file, ep, idx, CASE WHEN idx < 3 THEN 'OP' ELSE 'ED' END AS region, start_ms + file % 5 * 400 AS start_ms, split_part(text, ' ', 1) AS text FROM cues), b AS (SELECT *, start_ms // 2000 * 2000 AS bucket_ms FROM r)"
@@ -379,7 +384,7 @@ def grid_buckets(spark, sf):
 
 @query()
 def greedy_buckets(spark, sf):
-    return oped.greedy_buckets(regioned(spark, sf)).groupBy("region", "bucket_ms").agg(F.count("*").alias("n"), F.countDistinct("file").alias("n_files"))
+    return oped.greedy_buckets(whole_regioned(spark, sf)).groupBy("region", "bucket_ms").agg(F.count("*").alias("n"), F.countDistinct("file").alias("n_files"))
 
 
 @query(f"""WITH {REGIONED}, c AS (SELECT region, bucket_ms, text, count(*) AS n, min((file, idx)) AS first FROM b GROUP BY ALL)
@@ -398,14 +403,14 @@ def time_clusters(spark, sf):
 
 @query()
 def cluster_kinds(spark, sf):
-    b = oped.grid_buckets(regioned(spark, sf).filter("idx < 2"))
+    b = oped.grid_buckets(whole_regioned(spark, sf))
     c = oped.clusters(b, lang="en").join(oped.pairwise_jaccard(b, ["region", "bucket_ms"]), ["region", "bucket_ms"])
     return oped.cluster_kind(c).select("region", "bucket_ms", "n_entries", "n_valid", "n_noise", "kind")
 
 
 @query()
 def oped_slips(spark, sf):
-    return oped.consistency(oped.grid_buckets(regioned(spark, sf)), "en")
+    return oped.consistency(oped.grid_buckets(whole_regioned(spark, sf)), "en")
 
 
 @query(f"""WITH {REGIONED}, l AS (SELECT 'song' || CAST(item_id % 4 AS VARCHAR) AS song_id, CASE WHEN item_id % 2 = 0 THEN 'OP' ELSE 'ED' END AS region, item_id % 5 * 100 AS lo, item_id % 5 * 100 + 150 AS hi, item_id % 8 * 6000 AS time_ms FROM (SELECT item_id FROM benchmark WHERE item_id < 40))
@@ -552,8 +557,7 @@ def compare_verdict(spark, sf):
 
 @query()
 def similar_runs(spark, sf):
-    t = turns(spark, sf).withColumn("text", F.substring("text", 1, 4))
-    return similarity.similar_runs(t, ["file"], 0.5).groupBy("n").agg(F.count("*").alias("n_runs"))
+    return similarity.similar_runs(turns(spark, sf), ["file"]).groupBy("n").agg(F.count("*").alias("n_runs"))
 
 
 REPORT = """old AS (SELECT '3' AS layer, 'EP' || CAST(doc_id % 50 AS VARCHAR) AS ep, CAST(doc_id AS VARCHAR) AS time, 'o' AS original, CASE WHEN doc_id % 4 = 0 THEN '' ELSE 'c' END AS corrected, CASE WHEN quality = 1 THEN '✅' ELSE '⬜' END AS status FROM labels),

@@ -190,3 +190,29 @@ def test_empty_tables(spark):
 def test_similar_runs(spark):
     df = spark.createDataFrame([("f", i, t) for i, t in enumerate(["hello there", "hello therе", "bye", "hello there!", "hello there"])], "file string, idx int, text string")
     assert [(r["first_idx"], r["last_idx"]) for r in similarity.similar_runs(df, ["file"]).orderBy("first_idx").collect()] == [(0, 1), (3, 4)]
+
+
+def test_pairwise_jaccard_against_loop(spark, monkeypatch):
+    r = random.Random(4)
+    rows = [(k, "".join(r.choice("abcde山 ") for _ in range(r.randint(0, 7)))) for k in "xy" for _ in range(70)] + [("z", "one"), ("z", "one")]
+    df = spark.createDataFrame(rows, "k string, text string")
+    for block in (4096, 7):
+        monkeypatch.setattr(oped, "BLOCK", block)
+        got = {x["k"]: x["mean_jaccard"] for x in oped.pairwise_jaccard(df, ["k"]).collect()}
+        for k in "xyz":
+            some = sorted({t for g, t in rows if g == k})
+            sims = [len(a & b) / len(a | b) if a and b else 0.0 for i, x in enumerate(some) for y in some[:i] for a, b in [(set(x.strip()), set(y.strip()))]]
+            assert abs(got[k] - (sum(sims) / len(sims) if sims else 1.0)) < 1e-6
+
+
+def test_opening_and_run_queries_read_whole_turns(spark, tmp_path):
+    from cueweave.plans import catalogue
+
+    same = "a line that is sung again "
+    rows = [(f, t, "user", same + ("x" if t < 4 else str(f) * 90)) for f in range(4) for t in range(6)]
+    rows = [(f, t, role, "a" + text[1:] if (f, t) != (3, 2) else "a line that is sunk again x") for f, t, role, text in rows]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    run = lambda name: catalogue.QUERIES[name](spark, str(tmp_path)).collect()
+    assert sorted((x["region"], x["bucket_ms"]) for x in run("cluster_kinds")) == [("ED", 18000), ("ED", 24000), ("ED", 30000), ("OP", 0), ("OP", 6000), ("OP", 12000)]
+    assert [(x["file"], x["idx"], x["original"], x["replacement"]) for x in run("oped_slips")] == [(3, 2, "a line that is sunk again x", same + "x")]
+    assert sorted((x["n"], x["n_runs"]) for x in run("similar_runs")) == [(2, 4), (4, 4)]  # 4 alike, then 2 with another ending
