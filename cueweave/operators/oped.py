@@ -35,28 +35,30 @@ def grid_buckets(cues: DataFrame, width_ms: int = 2000) -> DataFrame:
 
 def greedy_buckets(cues: DataFrame, tolerance_ms: int = 2000, by: str = "region") -> DataFrame:
     """bucket_ms by anchors: in the order of (file, idx) a cue joins the first anchor of its region within the tolerance, or
-    becomes one. Order matters, so each (region, stretch) is one pandas group, where a stretch is a run of starts without a
-    gap wider than the tolerance: no anchor reaches across such a gap, so the parts are independent."""
-    w = Window.partitionBy(by).orderBy("start_ms")
-    starts = cues.select(by, "start_ms").distinct()  # one row a millisecond of a region, however many episodes there are
-    jump = F.when(F.col("start_ms") - F.lag("start_ms").over(w) > tolerance_ms, 1).otherwise(0)
-    starts = starts.withColumn("_jump", jump).withColumn("_stretch", F.sum("_jump").over(w)).select(F.col(by).alias("_by"), F.col("start_ms").alias("_at"), "_stretch")
-    stretches = cues.join(starts, F.col(by).eqNullSafe(F.col("_by")) & (F.col("start_ms") == F.col("_at"))).drop("_by", "_at")
+    becomes one. Later cues of a start get what its first one got, so only (region, start, first (file, idx)) is dealt out,
+    a row a millisecond of a region at most, and joined back. Order matters, so each (region, stretch) is one pandas group,
+    where a stretch is a run of starts without a gap wider than the tolerance: no anchor reaches across such a gap, so the
+    parts are independent."""
+    w = Window.partitionBy("_by").orderBy("_at")
+    starts = cues.groupBy(F.col(by).alias("_by"), F.col("start_ms").alias("_at")).agg(F.min(F.struct("file", "idx")).alias("_first"))
+    jump = F.when(F.col("_at") - F.lag("_at").over(w) > tolerance_ms, 1).otherwise(0)
+    starts = starts.withColumn("_jump", jump).withColumn("_stretch", F.sum("_jump").over(w)).select("_by", "_at", "_stretch", "_first.file", "_first.idx")
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["file", "idx"], kind="stable")
-        anchors: list[int] = []
+        pdf = pdf.sort_values(["file", "idx", "_at"], kind="stable")
+        cells: dict[int, tuple[int, int]] = {}  # (rank, anchor) by cell; anchors are wider apart than a cell
         out = []
-        for s in pdf["start_ms"]:
-            a = next((x for x in anchors if abs(x - s) <= tolerance_ms), None)
-            if a is None:
-                a = s
-                anchors.append(s)
-            out.append(a)
-        return pdf.assign(bucket_ms=out).drop(columns="_stretch")
-
-    schema = cues.withColumn("bucket_ms", F.lit(0).cast("long")).schema
-    return stretches.groupBy(by, "_stretch").applyInPandas(work, schema)
+        for s in pdf["_at"]:
+            c = s // (tolerance_ms + 1)
+            near = [cells[k] for k in (c - 1, c, c + 1) if k in cells and abs(cells[k][1] - s) <= tolerance_ms]
+            if not near:
+                near = [cells.setdefault(c, (len(cells), s))]
+            out.append(min(near)[1])
+        return pdf.assign(bucket_ms=out)[["_by", "_at", "bucket_ms"]]
+
+    schema = starts.select("_by", "_at").withColumn("bucket_ms", F.lit(0).cast("long")).schema
+    found = starts.groupBy("_by", "_stretch").applyInPandas(work, schema)
+    return cues.join(found, F.col(by).eqNullSafe(F.col("_by")) & (F.col("start_ms") == F.col("_at"))).drop("_by", "_at")
 
 
 def clusters(bucketed: DataFrame, min_eps: int = 3, lang: str = "ja") -> DataFrame:

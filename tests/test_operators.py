@@ -72,6 +72,20 @@ def test_greedy_buckets_against_loop(spark):
     assert got == want
 
 
+def test_greedy_buckets_deals_out_one_row_a_start(spark):
+    df = spark.createDataFrame([(f, i, "OP" if i < 40 else None, (f % 3) * 700 + i * 900, "x") for f in range(30) for i in range(50)], "file long, idx long, region string, start_ms long, text string")
+    out = oped.greedy_buckets(df)
+    anchors, want = {}, {}
+    for r in sorted(df.collect(), key=lambda r: (r["file"], r["idx"])):
+        here = anchors.setdefault(r["region"], [])
+        want[r["file"], r["idx"]] = next((a for a in here if abs(a - r["start_ms"]) <= 2000), r["start_ms"])
+        if want[r["file"], r["idx"]] not in here:
+            here.append(r["start_ms"])
+    assert {(r["file"], r["idx"]): r["bucket_ms"] for r in out.collect()} == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "text" not in plan[plan.index("FlatMapGroupsInPandas") :].split("Project")[0]
+
+
 def test_majority_and_slips(spark):
     df = spark.createDataFrame([("f1", 0, "OP", 0, "hello world"), ("f2", 0, "OP", 0, "hello world"), ("f3", 0, "OP", 0, "hello wurld"), ("f4", 0, "OP", 0, "zzzz")], "file string, idx int, region string, bucket_ms long, text string")
     assert [(r["file"], r["replacement"]) for r in oped.consistency(df, "en").collect()] == [("f3", "hello world")]
