@@ -44,7 +44,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     marks = materialize(later.groupBy("_id", "_th").agg(F.collect_set("pos").alias("_starts")), "line-marks")
     discard(windows)
 
-    joined = docs.alias("d").join(marks.alias("m"), F.col("d._id").eqNullSafe(F.col("m._id")) & (F.col("d._th") == F.col("m._th")), "left")
+    # texts are dealt by document at every size; left to a size check, a small table of marks would be broadcast and a larger one not
+    joined = docs.alias("d").join(marks.hint("merge").alias("m"), F.col("d._id").eqNullSafe(F.col("m._id")) & (F.col("d._th") == F.col("m._th")), "left")
     joined = joined.withColumn("_lines", F.split(text, "\n"))
     n = F.size("_lines")
     covered = F.flatten(F.transform("m._starts", lambda p: F.array(p, p + 1, p + 2)))
