@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -17,24 +20,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset a local session gets a temporary
+    one; on a cluster no folder of the driver's would do, so that is an error."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not folder:
-        jsc = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if jsc.isDefined():
-            folder = jsc.get()
-        else:
-            folder = tempfile.mkdtemp(prefix="cueweave-")
-            spark.sparkContext.setCheckpointDir(folder)
+    if folder:
+        return folder
+    there = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if there.isDefined():
+        return there.get()
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and the executors share")
+    folder = tempfile.mkdtemp(prefix="cueweave-")
+    spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+_open_scratch: list[list[DataFrame]] = []
+
+
+@contextlib.contextmanager
+def scratch() -> Iterator[None]:
+    """Tables materialized inside are deleted at the end, once their readers are done. Operators give lazy results that read
+    such tables, so what shall stay is written inside and read again: `materialize(result, name, keep=True)`."""
+    _open_scratch.append([])
+    try:
+        yield
+    finally:
+        discard(*_open_scratch.pop())
+
+
+def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write df to the shared folder and read it back: lineage is cut and lost executors cost only reads."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cueweave/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    if _open_scratch and not keep:
+        _open_scratch[-1].append(stored)
+    return stored
 
 
 def discard(*stored: DataFrame) -> None:
@@ -61,10 +84,26 @@ def packed(df: DataFrame, name: str = "_row") -> Column:
     return F.struct(*[F.col(quoted(c)).alias(c) for c in df.columns]).alias(name)
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Bound what one Arrow batch holds, so that very long texts do not add up in a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the bytes of one Arrow batch, so that very long texts do not add up in a Python worker.
+
+    Lazy plans read the setting when they run, so it stays; every operator sets the same value and never raises a lower one.
+    How many rows a function takes at a time is its own matter: see `sliced`.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key)
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most `rows`."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
 
 
 def with_prefix(df: DataFrame, order: list[str], value: str, out: str, name: str) -> DataFrame:

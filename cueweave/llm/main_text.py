@@ -1,10 +1,13 @@
 """Main text of web pages by minimum-cut labelling of their blocks.
 
-A page is cut into blocks of text at block-level tags. A classifier turns what is known of a block (its words, links,
-tag, and what the elements around it are called) into costs: a block that looks like content has a capacity from the
-source, another one a capacity to the sink. Neighbours on the page and blocks near each other in the document tree are
-joined by smoothness edges, so that a short paragraph follows the article around it. The maximum flow through this graph
-separates content (still reached from the source) from boilerplate at the least total cost.
+A page is cut into blocks of text at block-level tags. A classifier turns what is known of a block alone (its words, links,
+ending and tag) into costs: a block that looks like content has a capacity from the source, another one a capacity to the
+sink. Elements are nodes too: what an element is called (nav, article, class="sidebar") is a capacity of its own, as large
+as the blocks in it are many. Smoothness edges join each node with the element around it, in proportion to its blocks, and
+neighbours on the page by their distance in the document tree. Ties below an element that is called something hold more
+than a block's own costs can, so a long comment goes with its comment section and a short line with its article; ties of
+nameless elements are weak. The maximum flow through this graph separates content (still reached from the source) from
+boilerplate at the least total cost.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cueweave.llm.common import added, small_batches
+from cueweave.llm.common import added, sliced, small_batches
 
 # fixed values: HTML's element classes
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -30,13 +33,15 @@ CLOSES_P = frozenset("address article aside blockquote details div dl fieldset f
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 FENCES = frozenset("table td th ul ol dl div section article aside nav main header footer form body html".split())
 
-# the classifier: log-odds that a block is content
-BASE, PER_WORD, MOST_WORDS, SENTENCE, LINKS = -0.5, 0.08, 40, 0.8, -4.0
+# the classifier: log-odds that a block is content, from the block alone and from the names of elements
+BASE, PER_WORD, MOST_WORDS, SENTENCE, LINKS = -0.5, 0.07, 40, 0.8, -4.0
 TAG = {"p": 0.7, "blockquote": 0.5, "pre": 0.5, "h1": 0.5, "h2": 0.5, "h3": 0.5, "h4": 0.3, "h5": 0.3, "h6": 0.3, "li": -0.5, "td": -0.3, "th": -0.3, "dt": -0.3, "button": -8.0, "label": -4.0, "legend": -4.0}
 ELEMENT = {"article": 2.5, "main": 2.5, "nav": -8.0, "aside": -8.0, "footer": -8.0, "form": -8.0, "menu": -8.0, "dialog": -8.0, "fieldset": -8.0, "button": -8.0}
 ROLE = {"main": 2.5, "article": 2.5, "navigation": -8.0, "banner": -8.0, "contentinfo": -8.0, "complementary": -8.0, "search": -8.0, "dialog": -8.0, "alert": -8.0, "alertdialog": -8.0, "menu": -8.0, "menubar": -8.0, "form": -8.0, "toolbar": -8.0}
 HEADER, GOOD_NAME, BAD_NAME, HIDDEN, MOST = -8.0, 1.5, -8.0, -8.0, 10.0
-NEXT, KIN, UNIT = 2.0, 1.0, 1000  # smoothness of neighbours and of blocks of one container; whole units a log-odds
+# smoothness: of page neighbours, and for each block below an element that is (in) a named one, or in none; UNIT whole units a log-odds.
+# NAMED is more than the 3.8 that a block's own words can count for content, and less than the cost of a list of bare links.
+NEXT, NAMED, NAMELESS, UNIT = 1.0, 4.0, 1.0, 1000
 
 _BAD = re.compile(
     r"^(?:ads?|adv|adbox|adslot|adsense|adunit|advert\w*|sponsor\w*|promo\w*|banner\w*|cookie\w*|consent\w*|gdpr|notice\w*|notification\w*|alert\w*|popup\w*|modal\w*|overlay|newsletter\w*|subscri\w+|signup|signin|login|register"
@@ -51,12 +56,21 @@ _ends = {t: re.compile(f"</{t}", re.I) for t in RAW}
 
 
 class Element:
-    """An open element: what its own and its ancestors' names tell, and its place in the tree."""
+    """An element: its place in the list of elements, its parent's, what its names tell, and whether it is in a named one."""
 
-    __slots__ = ("tag", "cue", "inside", "path")
+    __slots__ = ("at", "tag", "up", "cue", "inside", "named")
 
-    def __init__(self, tag: str, cue: float, inside: bool, path: tuple[int, ...]):
-        self.tag, self.cue, self.inside, self.path = tag, cue, inside, path
+    def __init__(self, at: int, tag: str, up: int, cue: float, inside: bool, named: bool):
+        self.at, self.tag, self.up, self.cue, self.inside, self.named = at, tag, up, cue, inside, named
+
+
+class Block:
+    """A text block: its own log-odds, its element, and its distance in the tree from the block before it."""
+
+    __slots__ = ("text", "odds", "home", "far")
+
+    def __init__(self, text: str, odds: float, home: int, far: int):
+        self.text, self.odds, self.home, self.far = text, odds, home, far
 
 
 def _cue(tag: str, attrs: str, inside: bool) -> float:
@@ -88,35 +102,53 @@ def _cue(tag: str, attrs: str, inside: bool) -> float:
     return cue
 
 
-def blocks(page: str) -> list[tuple[str, float, tuple[int, ...]]]:
-    """(text, log-odds that it is content, path of its container) of the text blocks in page order."""
-    out: list[tuple[str, float, tuple[int, ...]]] = []
-    stack = [Element("", 0.0, False, ())]
+def blocks(page: str) -> tuple[list[Block], list[Element]]:
+    """The text blocks in page order, and all elements, each after its parent; element 0 is the page."""
+    out: list[Block] = []
+    elements = [Element(0, "", 0, 0.0, False, False)]
+    stack = [elements[0]]
+    open_tags: dict[str, int] = {}
     text: list[str] = []
-    home, links, in_link, nodes, at, n = stack[0], 0, 0, 0, 0, len(page)
+    home, links, in_link, at, n = stack[0], 0, 0, 0, len(page)
+    depth = low = last = 1  # of the block that is being read; the least since the last block; the last block's
     search = _TOKEN.search
 
     def flush() -> None:
-        nonlocal links
+        nonlocal links, low, last
         if text:
             whole = " ".join(html.unescape("".join(text)).split())
             if whole:
                 words = whole.count(" ") + 1
-                odds = BASE + PER_WORD * min(words, MOST_WORDS) + LINKS * min(1.0, links / len(whole)) + TAG.get(home.tag, 0.0) + home.cue
+                odds = BASE + PER_WORD * min(words, MOST_WORDS) + LINKS * min(1.0, links / len(whole)) + TAG.get(home.tag, 0.0)
                 if whole.endswith(_END):
                     odds += SENTENCE
-                out.append((whole, max(-MOST, min(MOST, odds)), home.path))
+                far = last + depth - 2 * min(low, depth)
+                out.append(Block(whole, max(-MOST, min(MOST, odds)), home.at, far))
+                low = last = depth
             text.clear()
         links = 0
 
+    def push(tag: str, cue: float, inside: bool) -> None:
+        up = stack[-1]
+        e = Element(len(elements), tag, up.at, max(-MOST, min(MOST, cue)), up.inside or inside, up.named or cue != 0)
+        elements.append(e)
+        stack.append(e)
+        open_tags[tag] = open_tags.get(tag, 0) + 1
+
+    def pop(keep: int) -> None:
+        nonlocal low
+        for e in stack[keep:]:
+            open_tags[e.tag] -= 1
+        del stack[keep:]
+        low = min(low, keep)
+
     while at < n:
         m = search(page, at)
         end = m.start() if m else n
         if end > at:
             piece = page[at:end]
             if not text:
-                # the block belongs to the nearest element that is no inline one
-                home = next((e for e in reversed(stack) if e.tag not in INLINE), stack[0])
+                home, depth = stack[-1], len(stack)
             text.append(piece)
             if in_link:
                 links += len(piece.strip())
@@ -136,11 +168,10 @@ def blocks(page: str) -> list[tuple[str, float, tuple[int, ...]]]:
                 cue = _cue(tag, attrs, stack[-1].inside)
                 if cue < 0:  # an inline advert or hidden text is a block of its own
                     flush()
-                    nodes += 1
-                    stack.append(Element("*" + tag, stack[-1].cue + cue, stack[-1].inside, (*stack[-1].path, nodes)))
+                    push("*" + tag, cue, False)
             elif close and stack[-1].tag == "*" + tag:
                 flush()
-                stack.pop()
+                pop(len(stack) - 1)
             continue
         if tag in RAW:
             if not close and not attrs.endswith("/"):
@@ -153,53 +184,57 @@ def blocks(page: str) -> list[tuple[str, float, tuple[int, ...]]]:
             continue
         flush()
         if close:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    in_link = 0
-                    break
-                if stack[k].tag in FENCES and tag not in FENCES:
-                    break
+            if open_tags.get(tag):
+                for k in range(len(stack) - 1, 0, -1):
+                    if stack[k].tag == tag:
+                        pop(k)
+                        in_link = 0
+                        break
+                    if stack[k].tag in FENCES and tag not in FENCES:
+                        break
             continue
         if tag in VOID:
             continue
         if tag in CLOSES_P and stack[-1].tag.lstrip("*") in ("p", "span"):
-            while len(stack) > 1 and stack[-1].tag.lstrip("*") in ("p", "span"):
-                stack.pop()
+            k = len(stack)
+            while k > 1 and stack[k - 1].tag.lstrip("*") in ("p", "span"):
+                k -= 1
+            pop(k)
         elif tag in SIBLINGS:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag in SIBLINGS[tag]:
-                    del stack[k:]
+                    pop(k)
                     break
                 if stack[k].tag in FENCES:
                     break
-        up = stack[-1]
-        nodes += 1
         if not attrs.endswith("/"):
-            stack.append(Element(tag, up.cue + _cue(tag, attrs, up.inside), up.inside or tag in ("article", "main"), (*up.path, nodes)))
-            if len(stack) > 200:  # depth is bounded; what lies deeper counts with its ancestors there
-                stack.pop()
+            push(tag, _cue(tag, attrs, stack[-1].inside), tag in ("article", "main"))
     flush()
-    return out
-
-
-def edges(found: list[tuple[str, float, tuple[int, ...]]]) -> list[tuple[int, int, int]]:
-    """Smoothness edges (i, j, capacity): page neighbours by their distance in the tree, and the next block of one container."""
-    out, last = [], {}
-    for j, (_, _, path) in enumerate(found):
-        if j:
-            before = found[j - 1][2]
-            common = 0
-            for a, b in zip(before, path):
-                if a != b:
-                    break
-                common += 1
-            out.append((j - 1, j, int(UNIT * NEXT / max(1, len(before) + len(path) - 2 * common))))
-        parent = path[:-1]
-        if (i := last.get(parent)) is not None and i < j - 1:
-            out.append((i, j, int(UNIT * KIN / 2)))
-        last[parent] = j
-    return out
+    return out, elements
+
+
+def graph(found: list[Block], elements: list[Element]) -> tuple[list[int], list[tuple[int, int, int]]]:
+    """Terminal capacities of all nodes, blocks first, and smoothness edges (i, j, capacity).
+
+    An element without a name and with one node in it stands for that node; the page, html and body tie nothing together.
+    """
+    odds = [round(UNIT * b.odds) for b in found]
+    links = [(j - 1, j, round(UNIT * NEXT / max(1, b.far))) for j, b in enumerate(found) if j]
+    inner: list[list[tuple[int, int]]] = [[] for _ in elements]  # (node, blocks in it)
+    for j, b in enumerate(found):
+        inner[b.home].append((j, 1))
+    for e in reversed(elements):
+        nodes = inner[e.at]
+        if not nodes or e.at == 0 or e.tag in ("html", "body"):
+            continue
+        if e.cue or len(nodes) > 1:
+            n = sum(k for _, k in nodes)
+            tie = NAMED if e.named else NAMELESS
+            links += [(i, len(odds), round(UNIT * tie * k)) for i, k in nodes]
+            nodes = [(len(odds), n)]
+            odds.append(round(UNIT * e.cue * n))
+        inner[e.up] += nodes
+    return odds, links
 
 
 def minimum_cut(odds: list[int], links: list[tuple[int, int, int]]) -> list[bool]:
@@ -301,25 +336,25 @@ def _max_flow(odds: list[int], near: list[list[tuple[int, int]]]) -> list[bool]:
 
 def main_text(page: str | None) -> str:
     """The content blocks of a page, joined by newlines; empty if it has none."""
-    found = blocks(page) if page else []
+    found, elements = blocks(page) if page else ([], [])
     if not found:
         return ""
-    keep = minimum_cut([round(UNIT * odds) for _, odds, _ in found], edges(found))
-    return "\n".join([text for (text, _, _), k in zip(found, keep, strict=True) if k])
+    keep = minimum_cut(*graph(found, elements))
+    return "\n".join([b.text for b, k in zip(found, keep) if k])
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars of every page, from its whole html.
 
     Null, empty and contentless pages have an empty text. Repeated rows stay repeated, null ids and urls stay null, other
-    columns are dropped, an empty table gives no row. Nothing is shuffled.
+    columns are dropped, an empty table gives no row. Pages of any length and depth are read whole. Nothing is shuffled.
     """
-    small_batches(pages.sparkSession, 128)
+    small_batches(pages.sparkSession)
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("_html"))
     schema = added(rows.drop("_html"), "text string, n_chars long")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches, 128):
             texts = [main_text(h) for h in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cueweave.llm.common import added, small_batches
+from cueweave.llm.common import added, sliced, small_batches
 
 # fixed values of the format: element ids
 EBML, VERSION, READ_VERSION, MAX_ID, MAX_SIZE, DOC_TYPE, DOC_VERSION, DOC_READ = 0x1A45DFA3, 0x4286, 0x42F7, 0x42F2, 0x42F3, 0x4282, 0x4287, 0x4285
@@ -312,7 +312,7 @@ def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     small_batches(docs.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             raw = b.column(1).to_pylist()
             media = [mux(t.ljust(max(64, -(-len(t) // 64) * 64), b"\0")) for t in raw]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(t) for t in raw], pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
@@ -334,7 +334,7 @@ def packets(media: DataFrame, id_col: str = "doc_id", media_col: str = "media")
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
-        for b in batches:
+        for b in sliced(batches):
             for i, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 try:
                     if data is None:
@@ -371,7 +371,7 @@ def features(media: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-        for b in batches:
+        for b in sliced(batches):
             cols = list(zip(*map(digest, b.column(2).to_pylist()), strict=True)) or [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=schema.names)
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cueweave.llm.common import discard, materialize, packed, quoted, small_batches
+from cueweave.llm.common import discard, materialize, packed, quoted, sliced, small_batches
 from cueweave.llm.components import components
 
 BANDS, ROWS = 24, 4
@@ -94,7 +94,7 @@ def _sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         band_mult = _odd(ROWS, 5)
-        for b in batches:
+        for b in sliced(batches):
             texts = b.column(2).to_pylist()
             for at in range(0, len(texts), 64):
                 sets = [shingles(t) for t in texts[at : at + 64]]
@@ -128,7 +128,7 @@ def _with_sets(near: DataFrame, docs: DataFrame, id_col: str, text_col: str) ->
     keep = ["f1", "f2", "n_docs", "sig", "keys"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             sets = pa.array([shingles(t).tobytes() for t in b.column(0).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns[1:], sets], names=[*keep, "set"])
 
@@ -255,7 +255,7 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6,
             pick = lambda k, at: pa.array([rows[x][k] for x in at], pa.int64())
             return pa.RecordBatch.from_arrays([pick(0, some), pick(1, some), pa.array(links[some]), pick(0, root[some]), pick(1, root[some])], names=["f1", "f2", "links", "g1", "g2"])
 
-        for b in batches:
+        for b in sliced(batches):
             for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if r[:3] != unit:
                     if rows:

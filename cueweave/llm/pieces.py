@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cueweave.llm.common import added, small_batches
+from cueweave.llm.common import added, sliced, small_batches
 
 SPACE = "▁"
 CACHE_ENTRIES, SEARCHED_ENTRIES = 300_000, 30_000
@@ -273,7 +273,7 @@ def encode_pieces(docs: DataFrame, path: str, n_best: int = 4, id_col: str = "do
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder(path, n_best)
-        for b in batches:
+        for b in sliced(batches):
             for at in range(0, b.num_rows, 16):  # ids of long texts are larger than the texts
                 part = b.slice(at, 16)
                 best = [[{"score": s, "n_pieces": n, "ids": array("I", ids).tolist()} for s, n, ids in ways] for ways in c.encode_all(part.column(1).to_pylist())]
@@ -290,7 +290,7 @@ def decode_pieces(rows: DataFrame, path: str, id_col: str = "doc_id", ids_col: s
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder(path, 1)
-        for b in batches:
+        for b in sliced(batches):
             texts = [None if ids is None else c.decode(array("I", ids).tobytes()) for ids in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
@@ -309,7 +309,7 @@ def piece_digest(docs: DataFrame, path: str, n_best: int = 4, id_col: str = "doc
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder(path, n_best)
-        for b in batches:
+        for b in sliced(batches):
             cols: list[list] = [[] for _ in range(8)]
             texts = b.column(1).to_pylist()
             for t, ways in zip(texts, c.encode_all(texts), strict=True):

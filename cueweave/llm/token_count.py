@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cueweave.llm import bpe
-from cueweave.llm.common import small_batches
+from cueweave.llm.common import sliced, small_batches
 
 _COUNTERS: dict[tuple[str, str], bpe.Counter] = {}  # lives as long as the Python worker; each holds a bounded cache
 
@@ -26,7 +26,7 @@ def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = 1024, id
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = (path, pattern)
         counter = _COUNTERS.get(key) or _COUNTERS.setdefault(key, bpe.Counter(path, pattern))
-        for b in batches:
+        for b in sliced(batches):
             n = [counter.count(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())],

@@ -1,7 +1,9 @@
 """The training-data operators on the smallest tables, on planted rows and on odd ones."""
 
 import hashlib
+import html
 import random
+import re
 import zlib
 
 import duckdb
@@ -54,11 +56,14 @@ def test_op2(spark, docs):
         ids = [*t.encode(x or "", add_special_tokens=False).ids, 2]
         want[i] = (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
-    files = token_store.write_files(queries.table(spark, SF, "documents"), PATH, file_bytes=20_000)
-    assert files.count() > 4
-    assert {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in token_store.read_files(files).collect()} == want
-    some = token_store.read_files(files, [3, 150]).collect()
+    folder = token_store.write_files(queries.table(spark, SF, "documents"), PATH, file_bytes=20_000)
+    files = [r["path"] for r in spark.read.format("binaryFile").load(folder).withColumn("part", token_store.file_place()[0]).withColumn("seq", token_store.file_place()[1]).orderBy("part", "seq").select("path").collect()]
+    assert len(files) > 4
+    assert {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in token_store.read_files(spark, folder).collect()} == want
+    some = token_store.read_files(spark, folder, [3, 150]).collect()
     assert {r["doc_id"]: r["start"] for r in some} == {3: want[3][0], 150: want[150][0]}
+    read = [(i, zlib.crc32(ids)) for f in files for i, _, ids in token_store.open_file(f.replace("file:/", "file:///")).documents()]
+    assert read == [(i, want[i][2]) for i, _ in docs]
     got = token_store.store(odd(spark), PATH).collect()
     assert len(got) == 12 and sorted(r["start"] for r in got)[0] == 0 and sum(r["n_tokens"] for r in got) == max(r["start"] + r["n_tokens"] for r in got)
     assert token_store.store(none(spark), PATH).count() == 0
@@ -94,8 +99,6 @@ def test_op3_odd_rows(spark):
 def test_op4(spark):
     got = queries.op4_mixing(spark, SF).collect()
     sizes = {r["doc_id"]: r["size"] for r in got}
-    import re
-
     assert sizes == {i: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in rows(f"select doc_id, text from '{SF}/documents.parquet'")}
     src = dict(rows(f"select doc_id, source from '{SF}/documents.parquet'"))
     by = {}
@@ -140,17 +143,20 @@ def test_op4_odd_rows(spark):
     assert mixed.columns == odd(spark).columns and mixed.filter("doc_id = 2").count() == 1
 
 
+def article_of(page):
+    """The known article of a page of the test tables: its h1 and p elements, without their inline tags."""
+    body = page[page.index("<article>") + 9 : page.index("</article>")]
+    parts = [" ".join(html.unescape(re.sub("</?b>", "", p).replace("<br>", " ")).split()) for p in re.split("</?(?:h1|p)>", body)]
+    return "\n".join(p for p in parts if p)
+
+
 def test_op5(spark):
     got = {r["page_id"]: (r["text"], r["n_chars"]) for r in queries.op5_main_text(spark, SF).collect()}
-    for i, h in rows(f"select page_id, html from '{SF}/pages.parquet'"):
-        text, n = got[i]
-        assert n == len(text) > 0 and "</" not in text
-        title = h[h.index("<h1>") + 4 : h.index("</h1>")]
-        assert text.split("\n")[0].split() == __import__("html").unescape(title).split()
-        foot = h[h.index("<footer>") + 8 : h.index("</footer>")]
-        assert __import__("html").unescape(foot) not in text
-    df = spark.createDataFrame([(1, "u", None, 1), (None, None, "", 2), (3, "u", "<p>x", 3)], "page_id long, url string, html string, text int")
-    assert sorted((r["page_id"] or 0, r["n_chars"]) for r in main_text.extract(df).collect())[:2] == [(0, 0), (1, 0)]
+    want = {i: article_of(h) for i, h in rows(f"select page_id, html from '{SF}/pages.parquet'")}
+    assert got == {i: (t, len(t)) for i, t in want.items()} and all(want.values())
+    df = spark.createDataFrame([(1, "u", None, 1), (None, None, "", 2), (3, "u", "<p>x", 3), (3, "u", "<p>x", 3), (4, "u", "<article>" + "<p>A line of some words.</p>" * 20_000, 4)], "page_id long, url string, html string, text int")
+    out = sorted((r["page_id"] or 0, r["n_chars"]) for r in main_text.extract(df).collect())
+    assert out[:2] == [(0, 0), (1, 0)] and out[2] == out[3] and out[4] == (4, 20_000 * 22 - 1) and len(out) == 5
     assert main_text.extract(df.limit(0)).count() == 0
 
 

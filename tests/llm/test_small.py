@@ -93,6 +93,21 @@ def test_page():
         main_text.main_text(broken)
 
 
+def test_page_depth_and_cut():
+    words = "Some words that could be an article, as there are many of them and they end like a sentence."
+    for depth in (3, 300, 1000, 20_000):
+        side = "<div class=sidebar>" + "<div>" * depth + f"<p>{words}</p>" + "</div>" * depth + "</div>"
+        assert main_text.main_text(f"<body>{side}<article><h1>Title</h1><p>{words}</p></article>{side}</body>") == f"Title\n{words}"
+        assert main_text.main_text("<div>" * depth + f"<p>{words}</p>" + "</p></nav></div>" * 3 * depth + f"<p>{words}</p>") == f"{words}\n{words}"
+    page = f"<article><p>{words}</p><p>Short</p><section id=comments><p>{words}</p><p>{words}</p></section></article><nav><p>{words}</p></nav>"
+    found, elements = main_text.blocks(page)
+    keep = main_text.minimum_cut(*main_text.graph(found, elements))
+    assert [b.odds > 0 for b in found] == [True, False, True, True, True]  # each block by itself
+    assert keep[: len(found)] == [True, True, False, False, False]  # what the cut makes of them
+    long = "<article>" + f"<p>{words}</p>" * 5000 + "</article><ul>" + "<li><a href=x>link</a>" * 5000 + "</ul>"
+    assert main_text.main_text(long) == "\n".join([words] * 5000)
+
+
 def test_matroska():
     for n in (64, 1024, 1088, 8192, 8256, 24576, 24640, 60_032):
         payload = os.urandom(n)
