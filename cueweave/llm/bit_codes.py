@@ -24,12 +24,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
-from cueweave.llm.common import materialize
+from cueweave.llm.common import materialize, sliced, small_batches
 
 SEED = 20_240_521
 PLANES = 4  # bits of a query component
-GROUP_ROWS, BLOCK_QUERIES = 8192, 4096
+GROUP_ROWS, BLOCK_QUERIES = 4096, 8192  # a vector is shipped once for each query block, so these are the larger
 
 
 @functools.lru_cache(maxsize=4)
@@ -89,10 +90,11 @@ def nearest(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: n
 
 
 def _coded(vectors: DataFrame, expand: int) -> DataFrame:
-    """vec_id, vec (little-endian doubles), code, s, norm of all rows that take part."""
+    """vec_id, vec (little-endian, as wide as the column's own numbers), code, s, norm of all rows that take part."""
+    single = isinstance(vectors.schema["e"].dataType.elementType, FloatType)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches, 2048):
             lists = b.column(1)
             flat = np.asarray(lists.flatten(), np.float64)
             sizes = np.diff(np.asarray(lists.offsets))
@@ -102,15 +104,15 @@ def _coded(vectors: DataFrame, expand: int) -> DataFrame:
                 x = flat[starts[at][:, None] + np.arange(dim)]
                 codes, s, norms = encode(x, expand)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(at)), pa.array([r.tobytes() for r in x], pa.binary()), pa.array([r.tobytes() for r in codes], pa.binary()), pa.array(s), pa.array(norms)],
+                    [b.column(0).take(pa.array(at)), pa.array([r.tobytes() for r in (x.astype(np.float32) if single else x)], pa.binary()), pa.array([r.tobytes() for r in codes], pa.binary()), pa.array(s), pa.array(norms)],
                     names=["vec_id", "vec", "code", "s", "norm"],
                 )
 
-    vectors.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2048")
+    small_batches(vectors.sparkSession)
     return vectors.mapInArrow(work, "vec_id long, vec binary, code binary, s double, norm double")
 
 
-def search(table: DataFrame, query_filter: str = "vec_id % 20 = 0", k: int = 20, eps: float = 3.0, expand: int = 4, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def search(table: DataFrame, query_filter: str = "vec_id % 20 = 0", k: int = 20, eps: float = 1.9, expand: int = 8, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """The k rows of largest inner product for each query: query_id, rank (from 1), vec_id, score.
 
     query_filter is an SQL condition on vec_id. Nearest first, ties to the smaller vec_id; all candidates if they are
@@ -118,7 +120,10 @@ def search(table: DataFrame, query_filter: str = "vec_id % 20 = 0", k: int = 20,
     take no part. Rows that repeat both id and vector count once; a query meets only vectors of its own number of
     components, and never its own id. Extra columns are ignored; an empty table gives no row.
     """
-    rows = table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("e")).filter(
+    of = table.schema[vec_col].dataType
+    kind = "float" if isinstance(of, ArrayType) and isinstance(of.elementType, FloatType) else "double"
+    wide = np.float32 if kind == "float" else np.float64
+    rows = table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast(f"array<{kind}>").alias("e")).filter(
         "vec_id is not null and size(e) > 0 and forall(e, x -> x is not null and abs(x) < double('Infinity')) and exists(e, x -> x != 0)"
     )
     coded = materialize(_coded(rows, expand).distinct(), "bit-codes")
@@ -139,11 +144,11 @@ def search(table: DataFrame, query_filter: str = "vec_id % 20 = 0", k: int = 20,
             at_q, at_r = np.flatnonzero(asks & (sizes == size)), np.flatnonzero(~asks & (sizes == size))
             if not len(at_r):
                 continue
-            load = lambda at, kind: np.frombuffer(b"".join(vec[i] for i in at), kind).reshape(len(at), -1)  # noqa: B023, E731
+            load = lambda at: np.frombuffer(b"".join(vec[i] for i in at), wide).astype(np.float64).reshape(len(at), -1)  # noqa: B023, E731
             code = t.column("code").take(pa.array(at_r)).to_pylist()
             s, norms = (t.column(c).to_numpy()[at_r] for c in ("s", "norm"))
-            q = load(at_q, np.float64)
-            for i, place, score in nearest(q, ids[at_q], load(at_r, np.float64), ids[at_r], np.frombuffer(b"".join(code), np.uint64).reshape(len(at_r), -1), s, norms, k, eps):
+            q = load(at_q)
+            for i, place, score in nearest(q, ids[at_q], load(at_r), ids[at_r], np.frombuffer(b"".join(code), np.uint64).reshape(len(at_r), -1), s, norms, k, eps):
                 out[0].append(np.full(len(place), ids[at_q[i]]))
                 out[1].append(np.full(len(place), _key(vec[at_q[i]])))
                 out[2].append(ids[at_r[place]])

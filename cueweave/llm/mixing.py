@@ -74,8 +74,8 @@ def multipliers(hist: DataFrame, cap: float, tolerance: float = 1e-5, steps: int
         state, old = materialize(sums.drop("f", "df"), "mix-state"), state
         discard(old)
         if (state.agg(F.max("gap")).first()[0] or 0.0) <= tolerance:
-            break
-    return state
+            return state
+    raise ValueError(f"after {steps} Newton steps a source is still off its target by more than {tolerance} of it")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: int = 2, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:

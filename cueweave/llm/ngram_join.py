@@ -5,9 +5,11 @@ prior, the posterior of the similarity is Beta(m + 1, n - m + 1), and a pair is
 it reaches the threshold falls below a tolerance. All that stay are verified exactly on their shingle sets.
 
 Texts with equal shingle sets are one representative with a count, so copies are never expanded. Buckets with the same
-members count once; a pair that meets in several buckets is settled in the least. A large bucket is cut into blocks, and
-each pair of blocks is one unit of work that returns one row a representative: its links there and the least
-representative it hangs together with.
+members count once; a pair that meets in several buckets is settled in the least. A large bucket is cut into blocks of
+bounded rows and bytes, and each pair of blocks is one unit of work that returns one row a representative: its links there
+and the least representative it hangs together with. Exact link counts ask for every pair of different texts in a bucket,
+so a family of c near copies costs c / BLOCK copies of each of its sets and c^2 / 2 comparisons, spread over
+(c / BLOCK)^2 / 2 tasks; nothing less would count them.
 """
 
 from __future__ import annotations
@@ -24,10 +26,9 @@ from pyspark.sql import functions as F
 from cueweave.llm.common import discard, materialize, packed, quoted, sliced, small_batches
 from cueweave.llm.components import components
 
-BANDS, ROWS = 24, 4
-HASHES = BANDS * ROWS
+HASHES = 96
 STEP = 16  # MinHash values compared at a time
-BLOCK = 256  # representatives in a block
+BLOCK, BLOCK_BYTES = 512, 8 << 20  # representatives in a block, and bytes of their shingle sets
 CACHE_ENTRIES = 300_000
 
 _WORD = re.compile(r"\w+")
@@ -73,6 +74,14 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def band_rows(threshold: float) -> int:
+    """MinHash values in a band: the most at which a pair of the threshold shares none of the bands with a chance of 1e-5 at most."""
+    for rows in (4, 3, 2):
+        if (1 - threshold**rows) ** (HASHES // rows) <= 1e-5:
+            return rows
+    raise ValueError(f"{HASHES} MinHash values do not find all pairs of a similarity of {threshold}")
+
+
 @functools.lru_cache(maxsize=8)
 def least_matches(threshold: float, tolerance: float) -> tuple[int, ...]:
     """For each number n of values compared, the least number of equal ones at which a pair stays a candidate."""
@@ -88,12 +97,12 @@ def least_matches(threshold: float, tolerance: float) -> tuple[int, ...]:
     return tuple(out)
 
 
-def _sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _sketch(docs: DataFrame, id_col: str, text_col: str, band: int) -> DataFrame:
     """doc_id, th (text hash), f1, f2 (fingerprint of the shingle set, 0 and 0 if empty), n, bands, sig."""
     small_batches(docs.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        band_mult = _odd(ROWS, 5)
+        band_mult, n_bands = _odd(band, 5), HASHES // band
         for b in sliced(batches):
             texts = b.column(2).to_pylist()
             for at in range(0, len(texts), 64):
@@ -105,7 +114,7 @@ def _sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     sig[full] = signatures([sets[i] for i in full])
                 for i in full:
                     f[i] = _mix(sets[i]).sum(), _mix(sets[i] ^ np.uint64(0x5BF03635)).sum()
-                keys = _mix((sig.reshape(len(sets), BANDS, ROWS).astype(np.uint64) * band_mult).sum(2) + np.arange(BANDS, dtype=np.uint64)).astype(np.int64)
+                keys = _mix((sig.reshape(len(sets), n_bands, band).astype(np.uint64) * band_mult).sum(2) + np.arange(n_bands, dtype=np.uint64)).astype(np.int64)
                 there = set(full)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(at, len(sets)), b.column(1).slice(at, len(sets)), pa.array(f[:, 0].astype(np.int64)), pa.array(f[:, 1].astype(np.int64)),
@@ -220,24 +229,24 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6,
     document (all repeats of it) of least id (nulls last), then least th, of its class. Words are lower-case runs of
     word characters; a text of fewer than five has one shingle of all its words; null texts and texts without a word
     have no link, are kept and are classes of their own. Repeated rows count as documents each. Extra columns are
-    dropped; an empty table gives no row.
+    dropped; an empty table gives no row. Thresholds under 0.5 are refused, as the bands could not serve them.
     """
-    sketch = materialize(_sketch(docs, id_col, text_col), "ngram-sketch")
+    sketch = materialize(_sketch(docs, id_col, text_col, band_rows(threshold)), "ngram-sketch")
     rep = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")
     reps = materialize(
-        sketch.filter("n > 0").groupBy("f1", "f2").agg(F.count("*").alias("n_docs"), F.min(rep).alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")),
+        sketch.filter("n > 0").groupBy("f1", "f2").agg(F.count("*").alias("n_docs"), F.min(rep).alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.first("n").alias("n")),
         "ngram-reps",
     )
-    slim = reps.select("f1", "f2", F.explode("bands").alias("key"))
-    buckets = slim.groupBy("key").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("f1", "f2")).alias("m1"), F.bit_xor(F.xxhash64("f2", "f1")).alias("m2")).filter("c > 1")
-    kept = materialize(buckets.groupBy("c", "m1", "m2").agg(F.min("key").alias("key")).select("key", "c"), "ngram-buckets")
+    slim = reps.select("f1", "f2", "n", F.explode("bands").alias("key"))
+    buckets = slim.groupBy("key").agg(F.count("*").alias("c"), (8 * F.sum("n")).alias("bytes"), F.bit_xor(F.xxhash64("f1", "f2")).alias("m1"), F.bit_xor(F.xxhash64("f2", "f1")).alias("m2")).filter("c > 1")
+    kept = materialize(buckets.groupBy("c", "m1", "m2").agg(F.min(F.struct("key", "bytes")).alias("k")).select("k.key", "k.bytes", "c"), "ngram-buckets")
     members = slim.join(kept, "key").groupBy("f1", "f2").agg(F.sort_array(F.collect_list("key")).alias("keys"))
     near = members.join(reps.select("f1", "f2", "n_docs", "rep", "sig"), ["f1", "f2"])
     near = near.select("f1", "f2", "n_docs", "sig", "keys", F.col("rep.doc_id").alias("rep_id"), F.col("rep.th").alias("rep_th"))
     full = materialize(_with_sets(near, docs, id_col, text_col), "ngram-sets")
 
     placed = full.select("*", F.explode("keys").alias("key")).join(kept, "key")
-    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
+    blocks = F.greatest(F.ceil(F.col("c") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
     own = F.pmod(F.xxhash64("f1", "f2"), blocks).cast("int")
     units = (
         placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))

@@ -1,6 +1,6 @@
 """SentencePiece encoding and decoding with N-best segmentation.
 
-The lattice of a text has an edge for each vocabulary piece that matches; a character in no piece is one edge that stands
+The lattice of a text has an edge for each vocabulary piece that matches, weighed by its log-probability; a character in no piece is one edge that stands
 for its byte pieces. Forward Viterbi scores give the best way from the start to every position. They are exact heuristics
 for the search that runs backward from the end: the agenda is ordered by the score of the path so far plus the Viterbi
 score of what is left, so complete segmentations leave it best first.
@@ -14,6 +14,7 @@ the N least sums of losses are the N best of the whole. The result is that of on
 from __future__ import annotations
 
 import heapq
+import math
 import re
 import zlib
 from array import array
@@ -29,6 +30,8 @@ from cueweave.llm.common import added, sliced, small_batches
 SPACE = "▁"
 CACHE_ENTRIES, SEARCHED_ENTRIES = 300_000, 30_000
 KEPT_PART = 64  # longer parts are too rare to keep
+UNIT = 1_000_000
+ZIPF = 100  # offset of the Zipf-Mandelbrot law
 _PIECE = 1 << 20  # a piece costs one unit below the scores, so that fewer pieces win ties
 _NONE = np.int64(-(1 << 61))
 _MASK = (1 << 64) - 1
@@ -37,8 +40,23 @@ _BASE, _SPREAD = np.uint64(0x9E3779B97F4A7C55), np.uint64(0xD6E8FEB86659FD93)
 _CODERS: dict[tuple[str, int], Coder] = {}  # lives as long as the Python worker; each holds a bounded cache
 
 
+def log_probabilities(scores: list[float]) -> list[float]:
+    """What the pieces of a model cost. A unigram model gives log-probabilities, which stay.
+
+    The scores of a BPE model are ranks of merges with a minus, whose sum over a segmentation means nothing: two early
+    pieces would beat the whole word. Pieces are ranked by how common they are, so ranks are turned into probabilities by
+    the Zipf-Mandelbrot law, p ~ 1 / (rank + ZIPF). Scores under -1e8 (runs of spaces that were added by hand) rank last.
+    """
+    if any(s != int(s) or s > 0 for s in scores):
+        return scores
+    known = [-s for s in scores if s > -1e8]
+    ranks = [-s if s > -1e8 else max(known) for s in scores]
+    total = math.log(sum(1 / (r + ZIPF) for r in ranks))
+    return [-math.log(r + ZIPF) - total for r in ranks]
+
+
 class Coder:
-    """N-best segmentation under one model file. Scores are whole numbers, as BPE ranks are; others are rounded to 1e-6."""
+    """N-best segmentation under one model file. Scores are log-probabilities of pieces, in whole units of 1e-6."""
 
     def __init__(self, path: str, n_best: int = 4):
         import sentencepiece
@@ -47,13 +65,12 @@ class Coder:
         self.n_best = n_best
         ids = range(sp.get_piece_size())
         plain = [i for i in ids if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
-        scores = [sp.get_score(i) for i in plain]
-        self.unit = 1 if all(s == int(s) for s in scores) else 1_000_000
-        self.pieces = {sp.id_to_piece(i): (i, round(s * self.unit) * _PIECE - 1) for i, s in zip(plain, scores, strict=True)}
+        scores = log_probabilities([sp.get_score(i) for i in plain])
+        self.pieces = {sp.id_to_piece(i): (i, round(s * UNIT) * _PIECE - 1) for i, s in zip(plain, scores, strict=True)}
         self.longest = max(map(len, self.pieces))
         self.byte_ids = {int(sp.id_to_piece(i)[3:-1], 16): i for i in ids if sp.is_byte(i)}
-        least = min(s for s in scores if s > -1e8)  # pieces under that are kept for user-defined runs of spaces
-        self.unknown = round((least - 10) * self.unit) * _PIECE
+        least = min(scores)
+        self.unknown = round((least - 10) * UNIT) * _PIECE
         self.unknown_id = sp.unk_id()
         if any(SPACE in p.lstrip(SPACE) for p in self.pieces):
             raise ValueError("a piece has a space inside it")
@@ -248,7 +265,7 @@ class Coder:
                 now[at] = raw
             ids = b"".join(now)
             total, n = score - loss, len(ids) // 4
-            out.append(((total + n) // _PIECE / self.unit, n, ids))
+            out.append(((total + n) // _PIECE / UNIT, n, ids))
         return out
 
     def decode(self, ids: bytes) -> str:

@@ -141,7 +141,7 @@ def test_n_best_against_all_segmentations():
     r = random.Random(1)
     for t in ["a b", "  two  sp", "x\ny\n\nz", "aa aa aa", "日本 ①é", "▁q r", "　"] + ["".join(r.choice("ab c\nthe") for _ in range(r.randint(1, 9))) for _ in range(150)]:
         got, want = c.encode(t), every(c.sp.normalize(t))
-        assert [(s, n) for s, n, _ in got] == [((s + len(i)) // pieces._PIECE, len(i)) for s, i in want[:4]]
+        assert [(s, n) for s, n, _ in got] == [((s + len(i)) // pieces._PIECE / pieces.UNIT, len(i)) for s, i in want[:4]]
         assert len({i for _, _, i in got}) == len(got) and {i for _, _, i in got} <= {array("I", i).tobytes() for _, i in want}
         assert all(c.decode(i) == t.replace("▁", " ") == c.sp.decode(list(array("I", i))) for _, _, i in got)
     assert c.encode("") == [(0.0, 0, b"")]
@@ -179,6 +179,19 @@ def test_windows_cover_all_words():
         assert set().union(*(range(s, s + k) for s, k in zip(start.tolist(), size.tolist(), strict=True)), set()) == set(range(n))
 
 
+def test_whole_words_beat_their_parts():
+    c = pieces.Coder(public_tokenizers.path("piece_bpe_32k.model"), 4)
+    text = "the quick brown fox jumps over the lazy dog and they were not happy about that"
+    assert list(array("I", c.encode(text)[0][2])) == c.sp.encode(text)
+    assert pieces.log_probabilities([-1.5, -2.0]) == [-1.5, -2.0]
+
+
+def test_bands_serve_the_threshold():
+    assert [ngram_join.band_rows(t) for t in (0.9, 0.8, 0.7, 0.5)] == [4, 4, 3, 2]
+    with pytest.raises(ValueError):
+        ngram_join.band_rows(0.3)
+
+
 def test_least_matches_rise():
     least = ngram_join.least_matches(0.8, 1e-6)
     assert len(least) == ngram_join.HASHES + 1 and list(least) == sorted(least)
