@@ -196,6 +196,9 @@ def test_op8(spark):
     assert len(got) == 1000 and all(r["held_out"] == (zlib.crc32(str(i).encode()) % 4 == 2) and 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for i, r in got.items())
     held = [(labels[i], r["predicted"]) for i, r in got.items() if r["held_out"] and i in labels]
     assert sum(y == p for y, p in held) / len(held) >= 0.93
+    caught, toxic = sum(y == p == 1 for y, p in held), sum(y for y, _ in held)
+    assert caught / toxic >= 0.7 and caught / max(1, sum(p for _, p in held)) >= 0.7
+    assert not any(r["held_out"] for r in odd(spark).filter("doc_id is null").select(toxicity.held_out().alias("held_out")).collect())
     model = toxicity.fit(["you idiot", "a fine day", "such an idiot he is", "what a fine day it is"] * 3, [1, 0, 1, 0] * 3, epochs=2)
     scored = toxicity.score(odd(spark), model)
     assert scored.count() == 12 and scored.filter("doc_id = 2").first()["score"] == 0.0

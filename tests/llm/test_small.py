@@ -161,16 +161,50 @@ def test_gradients():
     g = np.random.default_rng(0)
     x, live, out = g.standard_normal((5, 3, toxicity.INPUTS)), np.array([3, 3, 2, 1, 1]), np.array([1, -2, 0.5])
     loss = lambda: float((toxicity.forward(net, {d: x @ net[f"W{d}"] + net[f"c{d}"] for d in "fb"}, live)[0] * out).sum())
-    grad = toxicity.backward(net, x, toxicity.forward(net, {d: x @ net[f"W{d}"] + net[f"c{d}"] for d in "fb"}, live, keep=True)[1], out)
-    for k in net:
-        i = tuple(g.integers(0, n) for n in net[k].shape)
-        was = net[k][i]
-        net[k][i] = was + 1e-3
+    grad, dx = toxicity.backward(net, x, toxicity.forward(net, {d: x @ net[f"W{d}"] + net[f"c{d}"] for d in "fb"}, live, keep=True)[1], out)
+    for table, slope in [(net[k], grad[k]) for k in net] + [(x, dx)] * 9:
+        i = tuple(g.integers(0, n) for n in table.shape)
+        was = table[i]
+        table[i] = was + 1e-3
         up = loss()
-        net[k][i] = was - 1e-3
+        table[i] = was - 1e-3
         down = loss()
-        net[k][i] = was
-        assert abs((up - down) / 2e-3 - grad[k][i]) < 1e-3
+        table[i] = was
+        assert abs((up - down) / 2e-3 - slope[i]) < 1e-3
+
+
+def test_scores_equal_a_plain_loop():
+    """The batched forward pass against one window, one word and one unit at a time."""
+    m = toxicity.fit(["you idiot", "a fine day it is", "such an idiot he is", "what a fine day it is", "some other words stand here"] * 4, [1, 0, 1, 0, 0] * 4, epochs=2, steps=4)
+    sig = lambda v: 1 / (1 + np.exp(-v))
+
+    def word_input(w):
+        own = m.by_word[m.word_at.get(w, 0)]
+        chars = sum((m.by_run[m.run_at[r]] for r in toxicity.runs(w) if r in m.run_at), np.zeros(toxicity.CHAR_DIM))
+        return np.concatenate([own, chars, [min(len(w), 16) / 16]])
+
+    def window_score(ws):
+        k, states = toxicity.UNITS, []
+        for d in "fb":
+            h, out = np.zeros(k), []
+            for w in ws if d == "f" else ws[::-1]:
+                x, hu = word_input(w) @ m.net["W" + d] + m.net["c" + d], h @ m.net["U" + d]
+                z, r = sig(x[:k] + hu[:k]), sig(x[k : 2 * k] + hu[k : 2 * k])
+                new = np.tanh(x[2 * k :] + r * (hu[2 * k :] + m.net["k" + d]))
+                h = z * h + (1 - z) * new
+                out.append(h)
+            states.append(out if d == "f" else out[::-1])
+        both = [np.concatenate(s) for s in zip(*states, strict=True)]
+        e = np.array([np.tanh(s @ m.net["A"] + m.net["a"]) @ m.net["v"] for s in both])
+        p = np.exp(e - e.max()) / np.exp(e - e.max()).sum()
+        return sum(p[i] * both[i] for i in range(len(both))) @ m.net["w"] + m.net["o"][0]
+
+    r = random.Random(5)
+    some = [" ".join(r.choice(["you", "idiot", "fine", "day", "idiots", "other", "zzz"]) for _ in range(n)) for n in (1, 5, 64, 65, 130, 300)]
+    for t, got in zip(some, m.raw(some), strict=True):
+        ws = t.split()
+        starts = [s for s in range(0, len(ws), toxicity.STRIDE) if s == 0 or s + toxicity.WINDOW - toxicity.STRIDE < len(ws)]
+        assert abs(got - max(window_score(ws[s : s + toxicity.WINDOW]) for s in starts)) < 1e-4
 
 
 def test_windows_cover_all_words():
