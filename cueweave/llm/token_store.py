@@ -156,7 +156,7 @@ def write_files(docs: DataFrame, path: str, folder: str | None = None, end_id: i
 def file_place() -> list:
     """part, seq of the file in the column `path`: files in their order are those of part 0, then of part 1, and so on."""
     name = F.regexp_extract("path", "[^/]*$", 0)
-    return [F.regexp_extract(name, p, 1).cast("int").alias(c) for c, p in (("part", "^part-(\\d+)"), ("seq", "-c(\\d+)"))]
+    return [F.regexp_extract(name, p, 1).cast("int").alias(c) for c, p in (("part", "^part-(\\d+)"), ("seq", "-c(\\d+)[^-]*$"))]
 
 
 def read_files(spark: SparkSession, folder: str, wanted: list[int] | None = None) -> DataFrame:

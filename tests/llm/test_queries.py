@@ -59,6 +59,8 @@ def test_op2(spark, docs):
     folder = token_store.write_files(queries.table(spark, SF, "documents"), PATH, file_bytes=20_000)
     files = [r["path"] for r in spark.read.format("binaryFile").load(folder).withColumn("part", token_store.file_place()[0]).withColumn("seq", token_store.file_place()[1]).orderBy("part", "seq").select("path").collect()]
     assert len(files) > 4
+    name = spark.createDataFrame([("file:/x/part-00007-4b1c2d3e-c123-4c56-c789-0123456789ab-c012.txt",)], "path string")
+    assert tuple(name.select(*token_store.file_place()).first()) == (7, 12)
     assert {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in token_store.read_files(spark, folder).collect()} == want
     some = token_store.read_files(spark, folder, [3, 150]).collect()
     assert {r["doc_id"]: r["start"] for r in some} == {3: want[3][0], 150: want[150][0]}
