@@ -113,8 +113,8 @@ def meaningful_count(c: Column, lang: str = "ja") -> Column:
     if lang == "zh":
         return F.greatest(F.lit(0), count_chars(t, HAN) - count_chars(t, lex.EXCLAMATION_HAN))
     if lang == "en":
-        words = F.regexp_extract_all(t, F.lit("[a-zA-Z]{2,}"), F.lit(0))
-        return F.size(F.filter(words, lambda w: ~F.lower(w).isin(lex.EXCLAMATION_EN)))
+        sounds = "|".join(sorted(lex.EXCLAMATION_EN, key=len, reverse=True))
+        return F.regexp_count(t, F.lit("[a-zA-Z]{2,}")) - F.regexp_count(t, F.lit(f"(?i)(?<![a-z])(?:{sounds})(?![a-z])"))
     return count_chars(t, KANA_FROM_A + HAN) - count_chars(t, lex.EXCLAMATION_KANA)
 
 
@@ -259,24 +259,30 @@ def file_id(name: Column) -> Column:
     return F.when(ep == "???", F.regexp_replace(F.regexp_extract(name, "([^/\\\\]*)$", 1), "\\.[^.]*$", "")).otherwise(ep)
 
 
-# fixed values: small and large kana, voiced and clear kana
+# fixed values: small and large kana; vowels with tones and without
 SMALL, LARGE = "ァィゥェォッャュョヮぁぃぅぇぉっゃゅょゎ", "アイウエオツヤユヨワあいうえおつやゆよわ"
-VOICED, CLEAR = "ガギグゲゴザジズゼゾダヂヅデドバビブベボパピプペポがぎぐげござじずぜぞだぢづでどばびぶべぼぱぴぷぺぽ", "カキクケコサシスセソタチツテトハヒフヘホハヒフヘホかきくけこさしすせそたちつてとはひふへほはひふへほ"
 TONES, VOWELS = "āáǎàēéěèīíǐìōóǒòūúǔùǖǘǚǜ", "aaaaeeeeiiiioooouuuuvvvv"
 
 
-def normalise(c: Column, lang: str = "ja", level: str = "medium") -> Column:
-    """Spelling variants made alike. ja: strict drops spaces and middle dots, medium also lengthens small kana and drops long
-    marks, lenient also clears voiced kana. zh: medium drops tones, lenient also a final 儿. en: lower case."""
-    t = F.regexp_replace(strip(c), "[\\s・·=＝]", "")
+# fixed values: katakana after which a long mark is dropped, their small forms, and voiced against clear ones
+LENGTHENED = "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモラリルレロガギグゲゴザジズゼゾダバビブベボパピプペポ"
+SMALL_KATAKANA, LARGE_KATAKANA = "ァィゥェォャュョッヵヶ", "アイウエオヤユヨツカケ"
+VOICED_KATAKANA, CLEAR_KATAKANA = "ガギグゲゴザジズゼゾダヂヅデドバビブベボパピプペポ", "カキクケコサシスセソタチツテトハヒフヘホハヒフヘホ"
+
+
+def normalise(c: Column, lang: str = "ja", level: str = "medium", traditional: str = "", simple: str = "") -> Column:
+    """Spelling variants made alike. ja: strict drops a long mark after a katakana that can be lengthened, medium also enlarges
+    small katakana, lenient also clears voiced ones. zh: strict simplifies by the given characters, medium also drops
+    tones, lenient also a 儿 at a word's end. en: lower case without outer spaces."""
     if lang == "en":
         return F.lower(strip(c))
     if lang == "zh":
+        t = F.translate(c, traditional, simple) if traditional else c
         t = F.translate(t, TONES, VOWELS) if level != "strict" else t
         return F.regexp_replace(t, "(?U)儿\\b", "") if level == "lenient" else t
-    if level != "strict":
-        t = F.translate(F.regexp_replace(t, "[ー〜]", ""), SMALL, LARGE)
-    return F.translate(t, VOICED, CLEAR) if level == "lenient" else t
+    t = F.regexp_replace(c, f"([{LENGTHENED}])ー", "$1")
+    t = F.translate(t, SMALL_KATAKANA, LARGE_KATAKANA) if level != "strict" else t
+    return F.translate(t, VOICED_KATAKANA, CLEAR_KATAKANA) if level == "lenient" else t
 
 
 def grouping_key(c: Column) -> Column:

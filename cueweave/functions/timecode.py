@@ -22,6 +22,11 @@ def to_ms(c: Column) -> Column:
     return F.when(ok, seconds * 1000 + F.rpad(F.substring(fraction, 1, 3), 3, "0").cast("long"))
 
 
+def to_seconds(c: Column) -> Column:
+    """Seconds as a double, in any of the notations of to_ms; 0.0 for other text."""
+    return F.coalesce(to_ms(c) / F.lit(1000.0), F.lit(0.0))
+
+
 def ass_to_ms(c: Column) -> Column:
     """A dot before the fraction means hundredths, a comma thousandths."""
     seconds, fraction = _parts(c)

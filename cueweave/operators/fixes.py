@@ -68,12 +68,48 @@ def apply_in_order(cues: DataFrame, fixes: DataFrame) -> DataFrame:
                     del rows[at + 1 : at + len(part)]
         return pd.DataFrame(rows, columns=left.columns)
 
-    files = cues.select("file").distinct()
-    everywhere = files.join(fixes.filter("file is null").drop("file"), F.lit(True)).select(*fixes.columns)
-    mine = fixes.filter("file is not null").unionByName(everywhere)
+    # fixes for every file are a list that a person made; each file gets it as one array, by an equi-join on a constant that is broadcast
+    columns = F.struct(*fixes.columns)
+    own = fixes.filter("file is not null").groupBy("file").agg(F.collect_list(columns).alias("_own"))
+    every = fixes.filter("file is null").agg(F.collect_list(columns).alias("_every"))
+    lists = cues.select("file").distinct().join(own, "file", "left").join(F.broadcast(every), F.lit(True), "left")
+    all_ = F.concat(F.coalesce("_own", F.array().cast(every.schema["_every"].dataType)), F.coalesce("_every", F.array().cast(every.schema["_every"].dataType)))
+    mine = lists.select("file", F.explode(all_).alias("f")).select("file", *[F.col(f"f.{c}").alias(c) for c in fixes.columns if c != "file"])
     return cues.groupBy("file").cogroup(mine.groupBy("file")).applyInPandas(work, schema)
 
 
+def outcomes(fixes: DataFrame, cues: DataFrame) -> DataFrame:
+    """What each fix (by seq) of replace_text or delete_line would do: idx of its cue and outcome.
+
+    applied: its cue is there and changes; already: the cue has the text, or the cue to delete is gone; missing: no cue to
+    replace; skipped: a later fix of the same cue wins. Running the fixes and asking again gives 'already' for all applied.
+    """
+    found = locate(fixes, cues).join(cues.select("file", "idx", F.col("text").alias("_now")), ["file", "idx"], "left")
+    later = F.lead("seq").over(Window.partitionBy("file", "idx").orderBy("seq")).isNotNull() & F.col("idx").isNotNull()
+    gone, replace = F.col("idx").isNull(), F.col("action") == "replace_text"
+    outcome = F.when(gone, F.when(replace, "missing").otherwise("already")).when(later, "skipped").when(replace & (F.col("_now") == F.col("replacement")), "already").otherwise("applied")
+    return found.withColumn("outcome", outcome).drop("_now")
+
+
+def by_index(cues: DataFrame, fixes: DataFrame) -> DataFrame:
+    """Corrections (seq, file, idx, original, replacement) of cues that still say `original`; the last of a cue wins."""
+    last = last_wins(fixes, ["file", "idx"], "seq").select("file", "idx", F.col("original").alias("_old"), F.col("replacement").alias("_new"))
+    joined = cues.join(last, ["file", "idx"], "left")
+    return joined.withColumn("text", F.when(F.col("text") == F.col("_old"), F.col("_new")).otherwise(F.col("text"))).drop("_old", "_new")
+
+
+def pre_replace(cues: DataFrame, known: DataFrame) -> DataFrame:
+    """Cues whose (file, idx, text) has a known replacement take it; replaced tells which."""
+    joined = cues.join(known.select("file", "idx", "text", "replacement"), ["file", "idx", "text"], "left")
+    return joined.withColumn("replaced", F.col("replacement").isNotNull()).withColumn("text", F.coalesce("replacement", "text")).drop("replacement")
+
+
+def fill_blank(cues: DataFrame, lyrics: DataFrame) -> DataFrame:
+    """Empty cues take the lyric (file, idx, dst) that was matched to them."""
+    joined = cues.join(lyrics.select("file", "idx", "dst"), ["file", "idx"], "left")
+    return joined.withColumn("text", F.when(text.strip(F.col("text")) == "", F.coalesce("dst", "text")).otherwise(F.col("text"))).drop("dst")
+
+
 def triage(original: Column, replacement: Column, lang: str = "ja") -> Column:
     """cut, keep or review: too little meaning is cut, plausible text is kept unless it is far longer than a meaningful
     original, all else is for review."""

@@ -9,10 +9,21 @@ from cueweave.functions import lexicon as lex
 from cueweave.functions import text
 
 #: runs that count as terms; they do not overlap
-TERMS = {"en": ["\\b[A-Z][a-z]{2,}\\b"], "ja": ["[\\u30A0-\\u30FF]{2,6}", "[\\u4E00-\\u9FFF]{2,4}"], "zh": ["[\\u4E00-\\u9FFF]{2,4}"]}
+TERMS = {"en": ["(?U)\\b[A-Z][a-z]{2,}\\b"], "ja": ["[\\u30A0-\\u30FF]{2,6}", "[\\u4E00-\\u9FFF]{2,4}"], "zh": ["[\\u4E00-\\u9FFF]{2,4}"]}
 
 # fixed values: what stands around names
-NAME_CONTEXT_ZH = ["叫", "名叫", "我是", "他是", "她是", "这是"]
+NAME_CONTEXT = {
+    "ja": {
+        "honorific": "さん|くん|ちゃん|様|殿|博士", "calling": "おい|なあ|ねえ",
+        "before": "俺は|私は|僕は|わしは|それが|こちらが|この方が|紹介する|紹介します",
+        "after": "って言う|っていう|って呼ぶ|って呼ばれ|という|と言う|と呼ぶ|と呼ばれ|といいます|とは",
+    },
+    "zh": {
+        "title": "先生|小姐|女士|老师|同学|博士|教授|局长|部长|社长|队长|团长|市长|县长|老板|总[统裁理监]|主席|书记|主任|经理|所长|处长|科长|警[官察长]|殿下|陛下",
+        "intro": "叫|名叫|叫作|叫做|就是|那就是|这位是|我是|我叫|人称|被称为|大家都叫[我他她]",
+        "possessive": "我的|你的|他的|她的|我们的|你们的|他们的|小|老|大|阿",
+    },
+}
 
 
 def terms(c: Column, lang: str = "en") -> Column:
@@ -68,15 +79,25 @@ def glossary(freqs: DataFrame, common: DataFrame, keep: DataFrame | None = None,
     return variant_groups(rows).withColumn("category", F.when((F.length("canonical") <= 5) & (F.col("total_freq") >= 5), "character").otherwise("other"))
 
 
-def in_name_context(c: Column, token: Column, lang: str = "ja") -> Column:
-    """The text treats the token, or somebody, as a name: a title beside it (ja, en) or words that introduce one (zh)."""
+def name_context(c: Column, token: Column, lang: str = "ja") -> Column:
+    """Why a text may treat the token as a name, by the first rule that holds, else null. ja: honorific_suffix (after the
+    token), intro_before, intro_after (anywhere), calling (before it); zh, anywhere: title_suffix, intro_pattern, possessive;
+    en: title before the token."""
     exact = F.concat(F.lit("\\Q"), token, F.lit("\\E"))
-    titles = "(?:" + "|".join(lex.HONORIFICS.get(lang, lex.HONORIFICS["ja"])) + ")"
-    if lang == "zh":
-        return c.rlike(titles) | c.rlike("(?:" + "|".join(NAME_CONTEXT_ZH) + ")") | c.rlike("[\\u4E00-\\u9FFF]{2,4}的")
     if lang == "en":
-        return F.regexp_like(c, F.concat(F.lit(f"(?i)\\b{titles}\\.? "), exact))
-    return F.regexp_like(c, F.concat(exact, F.lit(titles))) | c.rlike("と申します|という(?:者|人|名)|私は|僕は|俺は")
+        return F.when(F.regexp_like(c, F.concat(F.lit(f"(?i)\\b(?:{'|'.join(lex.HONORIFICS['en'])})\\.? "), exact)), "title")
+    p = NAME_CONTEXT["zh" if lang == "zh" else "ja"]
+    if lang == "zh":
+        return F.when(c.rlike(p["title"]), "title_suffix").when(c.rlike(p["intro"]), "intro_pattern").when(c.rlike(p["possessive"]), "possessive")
+    return (
+        F.when(F.regexp_like(c, F.concat(exact, F.lit(f"(?U)\\s*(?:{p['honorific']})"))), "honorific_suffix").when(c.rlike(p["before"]), "intro_before")
+        .when(c.rlike(p["after"]), "intro_after").when(F.regexp_like(c, F.concat(F.lit(f"(?U)(?:{p['calling']})\\s*"), exact)), "calling")
+    )
+
+
+def in_name_context(c: Column, token: Column, lang: str = "ja") -> Column:
+    """The text treats the token, or somebody, as a name."""
+    return name_context(c, token, lang).isNotNull()
 
 
 def candidate_verdict(term: Column, n_eps: Column, known_name: Column, common: Column, lang: str = "ja") -> Column:
@@ -125,7 +146,7 @@ def keep_disjoint(spans: Column) -> Column:
 def candidate_spans(c: Column, lang: str = "en") -> Column:
     """Spans (start, len, text, kind) that look like names, without overlaps. Starts are found by cutting the text at each
     match and adding up the lengths, so that no position is lost to the array of matches."""
-    patterns = {"en": [("full_name", "\\b[A-Z][a-z]+ [A-Z][a-z]+\\b"), ("name", "\\b[A-Z][a-z]{2,}\\b")], "ja": [("katakana", "[\\u30A0-\\u30FF]{2,}"), ("han", "[\\u4E00-\\u9FFF]{2,4}")], "zh": [("han", "[\\u4E00-\\u9FFF]{2,4}")]}
+    patterns = {"en": [("full_name", "(?U)\\b[A-Z][a-z]+ [A-Z][a-z]+\\b"), ("name", "(?U)\\b[A-Z][a-z]{2,}\\b")], "ja": [("katakana", "[\\u30A0-\\u30FF]{2,}"), ("han", "[\\u4E00-\\u9FFF]{2,4}")], "zh": [("han", "[\\u4E00-\\u9FFF]{2,4}")]}
 
     def spans(kind: str, p: str) -> Column:
         def step(at: Column, x: Column) -> tuple[Column, Column, Column]:
@@ -146,6 +167,37 @@ def corrections(cues: DataFrame, pairs: DataFrame, lang: str = "en") -> DataFram
     return tokens.join(pairs, "term")
 
 
+def confirmed_corrections(cues: DataFrame, pairs: DataFrame, source: DataFrame, keys: list[str], lang: str = "en") -> DataFrame:
+    """corrections with confirmed: the source cue of the same place (keys, idx) holds the correction, which has two characters
+    at least. A cue without a source is not confirmed."""
+    hits = corrections(cues, pairs, lang)
+    src = source.select(*keys, "idx", F.col("text").alias("_src"))
+    seen = (F.length("correction") >= 2) & F.coalesce(F.contains(F.col("_src"), F.col("correction")), F.lit(False))
+    return hits.join(src, [*keys, "idx"], "left").withColumn("confirmed", seen).drop("_src")
+
+
+def reading_groups(hits: DataFrame, most: int = 20) -> DataFrame:
+    """Spellings under one reading: hits (reading, term, ep, idx) give one row a reading with two terms or more: n, n_terms, and
+    terms, an array of (term, n, first places, up to `most`), the most common first."""
+    placed = hits.withColumn("_n", F.row_number().over(Window.partitionBy("reading", "term").orderBy("ep", "idx")))
+    per = placed.groupBy("reading", "term").agg(
+        F.count("*").alias("n"), F.transform(F.sort_array(F.collect_list(F.when(F.col("_n") <= most, F.struct("_n", "ep", "idx")))), lambda x: F.struct(x["ep"].alias("ep"), x["idx"].alias("idx"))).alias("places")
+    )
+    out = per.groupBy("reading").agg(F.sum("n").alias("n"), F.count("*").alias("n_terms"), F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("less"), "term", "places"))).alias("_l"))
+    return out.filter("n_terms > 1").select("reading", "n", "n_terms", F.transform("_l", lambda x: F.struct(x["term"].alias("term"), (-x["less"]).alias("n"), x["places"].alias("places"))).alias("terms"))
+
+
+def most_frequent(freqs: DataFrame) -> DataFrame:
+    """Terms once, with their greatest frequency."""
+    return freqs.groupBy("term").agg(F.max("freq").alias("freq"))
+
+
+def append_reason(term: Column, common: Column, sounds: list[str], lang: str = "zh") -> Column:
+    """Why a term must not be appended to a glossary, null if it may: a common word, a sound, kana only (zh), no Latin (en)."""
+    wrong = term.rlike(f"^[{text.KANA}]+$") if lang == "zh" else ~text.has(term, text.LATIN) if lang == "en" else F.lit(False)
+    return F.when(text.strip(term) == "", "empty").when(common, "common").when(term.isin(sounds), "sound").when(wrong, "script")
+
+
 def co_occurring(left: DataFrame, right: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
     """Tokens side by side in aligned rows (keys, idx): pairs of a left and a known right token with their counts."""
     r = right.join(known.select(F.col(known.columns[0]).alias("token")), "token", "left_semi").select(*keys, "idx", F.col("token").alias("r_token"))

@@ -145,11 +145,43 @@ def consistency(bucketed: DataFrame, lang: str = "ja", threshold: float = 0.7) -
     return rows.filter(alike).select("file", "idx", F.col("text").alias("original"), "replacement")
 
 
+def auto_fixes(bucketed: DataFrame, kinds: DataFrame, decisions: DataFrame, lang: str = "ja", mark: str = "[音楽]") -> DataFrame:
+    """Fixes for openings and endings: file, idx, original, replacement, by.
+
+    Noise in an instrumental bucket takes the mark (by 'rule'). decisions (region, bucket_ms, answer) go over that: the answer
+    __INSTRUMENTAL__ puts the mark on all entries of the bucket, any other text replaces those that differ (by 'decision').
+    """
+    keys = ["region", "bucket_ms"]
+    rows = bucketed.join(kinds.select(*keys, "kind"), keys, "left").join(decisions.select(*keys, "answer"), keys, "left")
+    noise = text.is_noise(F.col("text"), lang) | text.is_music_marker(F.col("text"))
+    said = F.col("answer").isNotNull() & (F.col("answer") != "")
+    new = F.when(said, F.when(F.col("answer") == "__INSTRUMENTAL__", F.lit(mark)).otherwise(F.col("answer"))).when((F.col("kind") == "instrumental") & noise, F.lit(mark))
+    fixed = rows.withColumn("replacement", new).filter(F.col("replacement").isNotNull() & (F.col("replacement") != F.col("text")))
+    return fixed.select("file", "idx", F.col("text").alias("original"), "replacement", F.when(said, "decision").otherwise("rule").alias("by"))
+
+
+def reference_texts(cues: DataFrame) -> DataFrame:
+    """The first text (by file and idx) of each (region, bucket) of reference cues."""
+    return first_wins(cues, ["region", "bucket_ms"], ["file", "idx"]).select("region", "bucket_ms", "text")
+
+
+def near_reference(clusters: DataFrame, references: DataFrame, tolerance_ms: int = 2000) -> DataFrame:
+    """Clusters (region, bucket_ms) with the text of the first reference of their region within the tolerance."""
+    lo = F.floor(F.col("bucket_ms") / tolerance_ms)
+    a = clusters.withColumn("_bin", F.explode(F.sequence(lo - 1, lo + 1)))
+    b = references.select("region", F.col("bucket_ms").alias("_at"), F.col("text").alias("reference")).withColumn("_bin", F.floor(F.col("_at") / tolerance_ms))
+    near = a.join(b, ["region", "_bin"]).filter(F.abs(F.col("bucket_ms") - F.col("_at")) <= tolerance_ms)
+    best = near.groupBy("region", "bucket_ms").agg(F.min(F.struct("_at", "reference")).getField("reference").alias("reference"))
+    return clusters.join(best, ["region", "bucket_ms"], "left")
+
+
 def match_lyrics(cues: DataFrame, lyrics: DataFrame, tolerance_ms: int = 3000) -> DataFrame:
     """Cues of a region and episode number with the nearest-listed lyric within the tolerance; the first by song and time."""
-    c, y = cues.alias("c"), lyrics.alias("y")
-    on = (F.col("c.region") == F.col("y.region")) & F.col("ep_no").between(F.col("ep_lo"), F.col("ep_hi")) & (F.abs(F.col("start_ms") - F.col("time_ms")) <= tolerance_ms)
-    pairs = c.join(y, on).select("c.*", "song_id", "time_ms", "src", "dst")
+    step = 2 * tolerance_ms
+    c = cues.withColumn("_bin", F.explode(F.sequence(F.floor((F.col("start_ms") - tolerance_ms) / step), F.floor((F.col("start_ms") + tolerance_ms) / step)))).alias("c")
+    y = lyrics.withColumn("_bin", F.floor(F.col("time_ms") / step)).alias("y")
+    on = (F.col("c.region") == F.col("y.region")) & (F.col("c._bin") == F.col("y._bin")) & F.col("ep_no").between(F.col("ep_lo"), F.col("ep_hi")) & (F.abs(F.col("start_ms") - F.col("time_ms")) <= tolerance_ms)
+    pairs = c.join(y, on).select(*[f"c.{x}" for x in cues.columns], "song_id", "time_ms", "src", "dst")
     return first_wins(pairs, ["file", "idx"], ["song_id", "time_ms"])
 
 

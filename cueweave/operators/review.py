@@ -38,6 +38,29 @@ def beside(clusters: DataFrame, cues: DataFrame, keys: list[str], gap_ms: int =
     return clusters.join(found, "_id", "left")
 
 
+def fragment_context(clusters: DataFrame, cues: DataFrame, keys: list[str], n: int = 6, gap_ms: int = 1000) -> DataFrame:
+    """before and after: up to n texts of cues that are not empty, the last that start more than gap_ms before a cluster's start
+    and the first that start more than gap_ms after its end (clusters by `_id`).
+
+    Cues are numbered; one as-of pass finds where a cluster stands in the numbering, and an equi-join fetches n numbers on
+    each side, so no window reaches further than it has to.
+    """
+    numbered = cues.filter(text.strip(F.col("text")) != "").withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy("start_ms", "idx")))
+
+    def side(at: Column, left: bool) -> DataFrame:
+        rows = numbered.select(*keys, F.col("start_ms").alias("_at"), F.lit(1).alias("_turn"), "_k", F.lit(None).cast("long").alias("_id"))
+        rows = rows.unionByName(clusters.select(*keys, at.alias("_at"), F.lit(0 if left else 2).alias("_turn"), F.lit(None).cast("int").alias("_k"), F.col("_id").cast("long").alias("_id")))
+        w = Window.partitionBy(*keys).orderBy("_at", "_turn").rowsBetween(Window.unboundedPreceding, 0)
+        here = rows.withColumn("_n", F.coalesce(F.max("_k").over(w), F.lit(0))).filter("_id is not null")
+        numbers = F.sequence(F.col("_n") - (n - 1), F.col("_n")) if left else F.sequence(F.col("_n") + 1, F.col("_n") + n)
+        hits = here.select("_id", *keys, F.explode(numbers).alias("_k")).join(numbered.select(*keys, "_k", "text"), [*keys, "_k"])
+        return hits.groupBy("_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("_k", "text"))), lambda x: x["text"]).alias("before" if left else "after"))
+
+    none = F.array().cast("array<string>")
+    out = clusters.join(side(F.col("start_ms") - gap_ms, True), "_id", "left").join(side(F.col("end_ms") + gap_ms, False), "_id", "left")
+    return out.withColumn("before", F.coalesce("before", none)).withColumn("after", F.coalesce("after", none))
+
+
 def align_to_speech(clusters: DataFrame, speech: DataFrame, keys: list[str], least_ms: int = 300) -> DataFrame:
     """Where corrected lines of a cluster (n_lines of them) go: one row a line with start and end of its speech. One segment
     takes all lines, as many segments as lines take one each; other clusters give no row."""
@@ -55,10 +78,10 @@ def decision(answer: Column, original: Column, has_speech: Column, noisy_share:
     return F.when(~empty & answer.isin("删除", "__DELETE__"), "delete").when(~empty, "replace").when(cut, "cut").otherwise("mark")
 
 
-def adopt_reference(compared: DataFrame) -> DataFrame:
-    """Texts after comparison with a reference: a mismatch takes the reference's first 200 characters, a suspicious line the
-    mark [???], all others stay. One pass, so no write undoes another."""
-    new = F.when(F.col("verdict") == "mismatch", F.substring("r_text", 1, 200)).when(F.col("verdict") == "suspicious", "[???]").otherwise(F.col("text"))
+def adopt_reference(compared: DataFrame, shown: int | None = 200) -> DataFrame:
+    """Texts after comparison with a reference: a mismatch takes the reference's first `shown` characters (None: all), a
+    suspicious line the mark [???], all others stay. One pass, so no write undoes another."""
+    new = F.when(F.col("verdict") == "mismatch", F.col("r_text") if shown is None else F.substring("r_text", 1, shown)).when(F.col("verdict") == "suspicious", "[???]").otherwise(F.col("text"))
     return compared.withColumn("text", new)
 
 

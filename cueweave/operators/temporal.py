@@ -154,11 +154,27 @@ def evenly_sampled(files: DataFrame, k: int, order: str) -> DataFrame:
     return ranked.filter((near < k) & (F.floor(near * step) == F.col("_n"))).drop("_n", "_all")
 
 
-def clip_bounds(clusters: DataFrame, speech: DataFrame, keys: list[str], pad_ms: int = 2000) -> DataFrame:
-    """Clips for clusters (by `_id`): widened to the speech that touches them, by pad_ms at most; speech_ms is the overlap."""
-    pairs = range_join(clusters, speech, keys, least_ms=1, slack_ms=pad_ms, how="left")
-    return pairs.groupBy("_id", *keys, "start_ms", "end_ms").agg(
-        F.greatest(F.least(F.min("r_start_ms"), F.col("start_ms")), F.col("start_ms") - pad_ms, F.lit(0)).alias("clip_start_ms"),  # least passes over nulls
-        F.least(F.greatest(F.max("r_end_ms"), F.col("end_ms")), F.col("end_ms") + pad_ms).alias("clip_end_ms"),
-        F.coalesce(F.sum(F.when(F.col("r_start_ms").isNotNull(), F.greatest(overlap_ms(F.col("start_ms"), F.col("end_ms"), F.col("r_start_ms"), F.col("r_end_ms")), F.lit(0)))), F.lit(0)).alias("speech_ms"),
+def clip_bounds(clusters: DataFrame, speech: DataFrame, keys: list[str], pad_ms: int = 2000, bare_ms: int = 500) -> DataFrame:
+    """Clips for clusters (by `_id`, with the bounds lo_ms and hi_ms that a clip must keep, if they have them): clip_start_ms,
+    clip_end_ms, and speech_ms, the overlap with speech.
+
+    A clip is pad_ms wider than its cluster on both sides; silence of more than pad_ms at an edge is cut down to pad_ms. A
+    cluster that no speech overlaps has no clip (nulls). Without any speech for its keys it is bare_ms wider.
+    """
+    lo, hi = (F.col(c) if c in clusters.columns else F.lit(v).cast("long") for c, v in (("lo_ms", 0), ("hi_ms", (1 << 62))))
+    c = clusters.withColumn("_lo", lo).withColumn("_hi", hi)
+    pairs = range_join(c, speech, keys, slack_ms=pad_ms, how="left")
+    start, end, s, e = F.col("start_ms"), F.col("end_ms"), F.col("r_start_ms"), F.col("r_end_ms")
+    first, last = F.greatest("_lo", start - pad_ms), F.least("_hi", end + pad_ms)
+    per = pairs.groupBy("_id", *keys, "start_ms", "end_ms", "_lo", "_hi").agg(
+        F.coalesce(F.sum(F.when(s.isNotNull(), F.greatest(overlap_ms(start, end, s, e), F.lit(0)))), F.lit(0)).alias("speech_ms"),
+        F.min(F.when(e >= first, s)).alias("_first"), F.max_by(e, F.when(s <= last, F.struct(s, e))).alias("_last"),
     )
+    some = speech.select(*keys).distinct().withColumn("_some", F.lit(True))
+    per = per.join(some, keys, "left")
+    cut_start, cut_end = F.when(F.col("_first") - first > pad_ms, F.col("_first") - pad_ms).otherwise(first), F.when(last - F.col("_last") > pad_ms, F.col("_last") + pad_ms).otherwise(last)
+    bare, heard = F.col("_some").isNull(), F.col("speech_ms") > 0
+    return per.select(
+        "_id", *keys, "start_ms", "end_ms", F.when(bare, F.greatest("_lo", start - bare_ms)).when(heard, cut_start).alias("clip_start_ms"),
+        F.when(bare, F.least("_hi", end + bare_ms)).when(heard, cut_end).alias("clip_end_ms"), "speech_ms",
+    )

@@ -190,11 +190,11 @@ def char_overlap(spark, sf):
     return c.select("file", "idx", T.char_jaccard(F.col("text"), F.col("p")).alias("jaccard"), T.containment(F.col("text"), F.col("p")).alias("contained"))
 
 
-@query("""WITH p AS (SELECT a.item_id AS a_id, b.item_id AS b_id, string_split(trim(a.text), '') AS x, string_split(trim(b.text), '') AS y FROM benchmark a JOIN benchmark b ON a.item_id < b.item_id AND a.item_id % 10 = b.item_id % 10)
+@query("""WITH p AS (SELECT a.item_id AS a_id, b.item_id AS b_id, string_split(trim(a.text), '') AS x, string_split(trim(b.text), '') AS y FROM benchmark a JOIN benchmark b ON a.item_id + 1 = b.item_id)
 SELECT a_id, b_id, len(list_intersect(x, y)) / len(list_distinct(list_concat(x, y))) AS jaccard FROM p""")
 def char_jaccard_pairs(spark, sf):
-    b = table(spark, sf, "benchmark").withColumn("g", F.col("item_id") % 10)
-    pairs = b.alias("a").join(b.alias("b"), (F.col("a.g") == F.col("b.g")) & (F.col("a.item_id") < F.col("b.item_id")))
+    b = table(spark, sf, "benchmark")
+    pairs = b.alias("a").join(b.alias("b"), F.col("a.item_id") + 1 == F.col("b.item_id"))
     return pairs.select(F.col("a.item_id").alias("a_id"), F.col("b.item_id").alias("b_id"), T.char_jaccard(F.col("a.text"), F.col("b.text")).alias("jaccard"))
 
 
@@ -257,18 +257,19 @@ def speech_semi_anti(spark, sf):
     return v.groupBy("ep", "has_speech").agg(F.count("*").alias("n"), F.sum(F.col("end_ms") - F.col("start_ms")).alias("total_ms"))
 
 
-PAIRS = """, p AS (SELECT s._id, s.ep, s.start_ms, s.end_ms, c.is_garbled, least(s.end_ms, c.end_ms) - greatest(s.start_ms, c.start_ms) AS part
-  FROM speech s JOIN cues c ON s.ep = c.ep AND least(s.end_ms, c.end_ms) - greatest(s.start_ms, c.start_ms) >= 300),
-k AS (SELECT s._id, s.ep, s.start_ms, s.end_ms, count(*) FILTER (p.is_garbled) AS n_garbled, count(p._id) AS n_cues, s.end_ms - s.start_ms - coalesce(sum(p.part), 0)::BIGINT AS bare
-  FROM speech s LEFT JOIN p ON s._id = p._id WHERE s.end_ms - s.start_ms <= 20000 GROUP BY s._id, s.ep, s.start_ms, s.end_ms),
-c2 AS (SELECT *, CASE WHEN n_garbled > 0 THEN 'garbled' WHEN n_cues = 0 THEN CASE WHEN bare >= 300 THEN 'missing' ELSE 'covered' END WHEN bare >= 3000 THEN 'partial_overlap' ELSE 'covered' END AS kind FROM k)"""
+PAIRS = """, bd AS (SELECT ep, min(start_ms) AS f, max(end_ms) AS l FROM cues GROUP BY ep),
+sp AS (SELECT s._id, s.ep, greatest(s.start_ms, f) AS start_ms, least(s.end_ms, l) AS end_ms FROM speech s JOIN bd USING (ep) WHERE s.end_ms > f AND s.start_ms < l),
+k AS (SELECT s._id, s.ep, s.start_ms, s.end_ms, count(*) FILTER (c.is_garbled) AS n_garbled, count(c._id) AS n_cues, min(c.start_ms) AS cf, max(c.end_ms) AS cl
+  FROM sp s LEFT JOIN cues c ON s.ep = c.ep AND least(s.end_ms, c.end_ms) - greatest(s.start_ms, c.start_ms) >= 300 WHERE s.end_ms - s.start_ms <= 20000 GROUP BY s._id, s.ep, s.start_ms, s.end_ms),
+c1 AS (SELECT *, CASE WHEN n_cues = 0 THEN end_ms - start_ms ELSE greatest(cf - start_ms, 0) + greatest(end_ms - cl, 0) END AS bare FROM k),
+c2 AS (SELECT *, CASE WHEN n_garbled > 0 THEN 'garbled' WHEN n_cues = 0 THEN 'missing' WHEN bare >= 3000 THEN 'partial_overlap' ELSE 'covered' END AS kind FROM c1)"""
 
 
 @query(f"WITH {TIMELINE}{PAIRS} SELECT ep, kind, count(*) AS n, sum(bare)::BIGINT AS bare_ms FROM c2 GROUP BY ep, kind")
 def speech_kinds(spark, sf):
     t = timeline(spark, sf)
     k = regions.speech_classes(speech(t), cues(t), ["ep"], max_gap_ms=20_000)
-    return k.groupBy("ep", "kind").agg(F.count("*").alias("n"), F.sum(F.col("end_ms") - F.col("start_ms") - F.col("covered_ms")).alias("bare_ms"))
+    return k.groupBy("ep", "kind").agg(F.count("*").alias("n"), F.sum("bare_ms").alias("bare_ms"))
 
 
 @query(f"""WITH {TIMELINE}{PAIRS}, r AS (SELECT *, CASE kind WHEN 'garbled' THEN 3 WHEN 'partial_overlap' THEN 2 ELSE 1 END AS rank FROM c2 WHERE kind <> 'covered'),
@@ -345,10 +346,12 @@ def concat_offsets(spark, sf):
     return temporal.concat_offsets(speech(timeline(spark, sf)), ["ep"]).select("ep", "idx", "offset_ms")
 
 
-@query(f"""WITH {TIMELINE}, c AS (SELECT * FROM cues WHERE is_garbled)
-SELECT c.ep, c.idx, greatest(least(coalesce(min(s.start_ms), c.start_ms), c.start_ms), c.start_ms - 2000, 0) AS clip_start_ms, least(greatest(coalesce(max(s.end_ms), c.end_ms), c.end_ms), c.end_ms + 2000) AS clip_end_ms,
-  coalesce(sum(CASE WHEN s.start_ms IS NOT NULL THEN greatest(least(c.end_ms, s.end_ms) - greatest(c.start_ms, s.start_ms), 0) END), 0)::BIGINT AS speech_ms
-FROM c LEFT JOIN speech s ON c.ep = s.ep AND least(c.end_ms + 2000, s.end_ms) - greatest(c.start_ms - 2000, s.start_ms) >= 1 GROUP BY c.ep, c.idx, c.start_ms, c.end_ms""")
+@query(f"""WITH {TIMELINE}, c AS (SELECT * FROM cues WHERE is_garbled), p AS (SELECT c.ep, c.idx, c.start_ms, c.end_ms, s.start_ms AS ss, s.end_ms AS se, greatest(c.start_ms - 2000, 0) AS f, c.end_ms + 2000 AS l
+  FROM c LEFT JOIN speech s ON c.ep = s.ep AND least(c.end_ms + 2000, s.end_ms) - greatest(c.start_ms - 2000, s.start_ms) >= 0),
+g AS (SELECT ep, idx, start_ms, end_ms, f, l, coalesce(sum(CASE WHEN ss IS NOT NULL THEN greatest(least(end_ms, se) - greatest(start_ms, ss), 0) END), 0)::BIGINT AS speech_ms, min(ss) FILTER (se >= f) AS fs,
+  arg_max(se, (ss, se)) FILTER (ss <= l) AS le FROM p GROUP BY ep, idx, start_ms, end_ms, f, l)
+SELECT ep, idx, CASE WHEN ep NOT IN (SELECT ep FROM speech) THEN greatest(0, start_ms - 500) WHEN speech_ms > 0 THEN CASE WHEN fs - f > 2000 THEN fs - 2000 ELSE f END END AS clip_start_ms,
+  CASE WHEN ep NOT IN (SELECT ep FROM speech) THEN end_ms + 500 WHEN speech_ms > 0 THEN CASE WHEN l - le > 2000 THEN le + 2000 ELSE l END END AS clip_end_ms, speech_ms FROM g""")
 def clip_bounds(spark, sf):
     t = timeline(spark, sf)
     return temporal.clip_bounds(cues(t).filter("is_garbled"), speech(t), ["ep"]).select("ep", F.col("_id").alias("idx"), "clip_start_ms", "clip_end_ms", "speech_ms")
@@ -363,18 +366,13 @@ def even_sample(spark, sf):
 # openings and endings
 
 
-def whole_regioned(spark: SparkSession, sf: str) -> DataFrame:
-    """Turns as cues of openings (the first three) and endings, with their whole texts."""
+def regioned(spark: SparkSession, sf: str) -> DataFrame:
+    """Turns as cues of openings (the first three) and endings."""
     t = turns(spark, sf).withColumn("region", F.when(F.col("idx") < 3, "OP").otherwise("ED"))
     return t.withColumn("start_ms", F.col("start_ms") + F.col("file") % 5 * 400)
 
 
-def regioned(spark: SparkSession, sf: str) -> DataFrame:
-    """The same with the first word as text, as in the SQL below."""
-    return whole_regioned(spark, sf).withColumn("text", F.split_part("text", F.lit(" "), F.lit(1)))
-
-
-REGIONED = TURNS + ", r AS (SELECT file, ep, idx, CASE WHEN idx < 3 THEN 'OP' ELSE 'ED' END AS region, start_ms + file % 5 * 400 AS start_ms, split_part(text, ' ', 1) AS text FROM cues), b AS (SELECT *, start_ms // 2000 * 2000 AS bucket_ms FROM r)"
+REGIONED = TURNS + ", r AS (SELECT file, ep, idx, CASE WHEN idx < 3 THEN 'OP' ELSE 'ED' END AS region, start_ms + file % 5 * 400 AS start_ms, text FROM cues), b AS (SELECT *, start_ms // 2000 * 2000 AS bucket_ms FROM r)"
 
 
 @query(f"WITH {REGIONED} SELECT region, bucket_ms, count(*) AS n, count(DISTINCT file) AS n_files FROM b GROUP BY region, bucket_ms")
@@ -384,7 +382,7 @@ def grid_buckets(spark, sf):
 
 @query()
 def greedy_buckets(spark, sf):
-    return oped.greedy_buckets(whole_regioned(spark, sf)).groupBy("region", "bucket_ms").agg(F.count("*").alias("n"), F.countDistinct("file").alias("n_files"))
+    return oped.greedy_buckets(regioned(spark, sf)).groupBy("region", "bucket_ms").agg(F.count("*").alias("n"), F.countDistinct("file").alias("n_files"))
 
 
 @query(f"""WITH {REGIONED}, c AS (SELECT region, bucket_ms, text, count(*) AS n, min((file, idx)) AS first FROM b GROUP BY ALL)
@@ -403,21 +401,21 @@ def time_clusters(spark, sf):
 
 @query()
 def cluster_kinds(spark, sf):
-    b = oped.grid_buckets(whole_regioned(spark, sf))
+    b = oped.grid_buckets(regioned(spark, sf))
     c = oped.clusters(b, lang="en").join(oped.pairwise_jaccard(b, ["region", "bucket_ms"]), ["region", "bucket_ms"])
     return oped.cluster_kind(c).select("region", "bucket_ms", "n_entries", "n_valid", "n_noise", "kind")
 
 
 @query()
 def oped_slips(spark, sf):
-    return oped.consistency(oped.grid_buckets(whole_regioned(spark, sf)), "en")
+    return oped.consistency(oped.grid_buckets(regioned(spark, sf)), "en")
 
 
-@query(f"""WITH {REGIONED}, l AS (SELECT 'song' || CAST(item_id % 4 AS VARCHAR) AS song_id, CASE WHEN item_id % 2 = 0 THEN 'OP' ELSE 'ED' END AS region, item_id % 5 * 100 AS lo, item_id % 5 * 100 + 150 AS hi, item_id % 8 * 6000 AS time_ms FROM (SELECT item_id FROM benchmark WHERE item_id < 40))
+@query(f"""WITH {REGIONED}, l AS (SELECT 'song' || CAST(item_id % 4 AS VARCHAR) AS song_id, CASE WHEN item_id % 2 = 0 THEN 'OP' ELSE 'ED' END AS region, item_id % 5 * 100 AS lo, item_id % 5 * 100 + 150 AS hi, item_id % 8 * 6000 AS time_ms FROM benchmark)
 SELECT file, idx, song_id, time_ms FROM (SELECT r.file, r.idx, song_id, time_ms, row_number() OVER (PARTITION BY r.file, r.idx ORDER BY song_id, time_ms) AS k FROM r JOIN l ON r.region = l.region AND r.file BETWEEN lo AND hi AND abs(start_ms - time_ms) <= 3000) WHERE k = 1""")
 def lyric_match(spark, sf):
     i = F.col("item_id")
-    lyrics = table(spark, sf, "benchmark").filter("item_id < 40").select(
+    lyrics = table(spark, sf, "benchmark").select(
         F.concat(F.lit("song"), (i % 4).cast("string")).alias("song_id"), F.when(i % 2 == 0, "OP").otherwise("ED").alias("region"), (i % 5 * 100).alias("ep_lo"), (i % 5 * 100 + 150).alias("ep_hi"), (i % 8 * 6000).alias("time_ms"),
         F.col("text").alias("src"), F.lit("").alias("dst"),
     )
@@ -427,28 +425,30 @@ def lyric_match(spark, sf):
 # terms and names
 
 
-@query(r"SELECT term, count(*) AS freq FROM (SELECT unnest(regexp_extract_all(text, '\b[A-Z][a-z]{2,}\b')) AS term FROM documents WHERE lang = 'en' AND NOT regexp_matches(text, '[^\x00-\x7F]')) GROUP BY term HAVING count(*) >= 3")
-def term_freq(spark, sf):
-    ascii_only = table(spark, sf, "documents").filter(F.col("lang").eqNullSafe("en") & ~F.col("text").rlike("[^\\x00-\\x7F]"))
-    return nouns.term_frequencies(ascii_only, "en", 3)
+WORDS = r"list_filter(regexp_extract_all({}, '[\p{{L}}\p{{M}}\p{{Nd}}_]+'), lambda w: regexp_full_match(w, '[A-Z][a-z]{{2,}}'))"
+CORPUS = f"d AS (SELECT doc_id AS idx, source AS ep, text FROM documents), w AS (SELECT idx, ep, text, unnest({WORDS.format('text')}) AS term FROM d)"
 
 
-CORPUS = r"d AS (SELECT doc_id AS idx, source AS ep, text FROM documents WHERE lang = 'en' AND NOT regexp_matches(text, '[^\x00-\x7F]')), w AS (SELECT idx, ep, text, unnest(regexp_extract_all(text, '\b[A-Z][a-z]{2,}\b')) AS term FROM d)"
+def corpus(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents as cues of their sources. Terms are capitalised words, which all their languages have."""
+    return table(spark, sf, "documents").select(F.col("doc_id").alias("idx"), F.col("source").alias("ep"), "text")
 
 
-def corpus(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents").filter(F.col("lang").eqNullSafe("en") & ~F.col("text").rlike("[^\\x00-\\x7F]"))
-    return d.select(F.col("doc_id").alias("idx"), F.col("source").alias("ep"), "text")
+@query(f"WITH {CORPUS} SELECT term, count(*) AS freq FROM w GROUP BY term HAVING count(*) >= 3")
+def term_freq(spark, sf):
+    return nouns.term_frequencies(table(spark, sf, "documents"), "en", 3)
 
 
-@query(f"WITH {CORPUS} SELECT term, count(*) AS n, count(DISTINCT ep) AS n_eps FROM w GROUP BY term HAVING count(*) >= 3 AND count(DISTINCT ep) >= 2")
+@query(f"""WITH {CORPUS}, k AS (SELECT term, ep, length(text) AS n, row_number() OVER (PARTITION BY term ORDER BY ep, idx) AS k FROM w), c AS (SELECT term, string_agg(ep || ':' || CAST(n AS VARCHAR), '|' ORDER BY k) AS contexts FROM k WHERE k <= 5 GROUP BY term)
+SELECT term, n, n_eps, contexts FROM (SELECT term, count(*) AS n, count(DISTINCT ep) AS n_eps FROM w GROUP BY term HAVING count(*) >= 3 AND count(DISTINCT ep) >= 2) JOIN c USING (term)""")
 def suspects(spark, sf):
-    return nouns.suspects(corpus(spark, sf)).select("term", "n", "n_eps")
+    shown = F.array_join(F.transform("contexts", lambda x: F.concat(x["ep"], F.lit(":"), F.length(x["text"]).cast("string"))), "|")
+    return nouns.suspects(corpus(spark, sf)).select("term", "n", "n_eps", shown.alias("contexts"))
 
 
-@query(rf"WITH {CORPUS}, k AS (SELECT DISTINCT unnest(regexp_extract_all(text, '\b[A-Z][a-z]{{2,}}\b')) AS term FROM benchmark WHERE NOT regexp_matches(text, '[^\x00-\x7F]')) SELECT term, count(*) AS freq FROM w WHERE term NOT IN (SELECT term FROM k) GROUP BY term")
+@query(f"WITH {CORPUS}, k AS (SELECT DISTINCT unnest({WORDS.format('text')}) AS term FROM benchmark) SELECT term, count(*) AS freq FROM w WHERE term NOT IN (SELECT term FROM k) GROUP BY term")
 def known_anti(spark, sf):
-    known = table(spark, sf, "benchmark").filter(~F.col("text").rlike("[^\\x00-\\x7F]"))
+    known = table(spark, sf, "benchmark")
     return nouns.without(nouns.term_frequencies(corpus(spark, sf)), nouns.term_frequencies(known).select("term"))
 
 

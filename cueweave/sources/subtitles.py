@@ -40,6 +40,14 @@ def decoded(files: DataFrame, encodings: tuple[str, ...] = ENCODINGS) -> DataFra
     return files.withColumn("_d", decode("raw")).select("*", "_d.*").drop("_d", "raw")
 
 
+def format_by_content(files: DataFrame) -> DataFrame:
+    """Adds by_content of files (file, content) from their first 20 lines: ass for a section head or a dialogue line, srt for a
+    time line, else null."""
+    head = F.slice(F.split(F.regexp_replace("content", "\\r\\n?", "\n"), "\n"), 1, 20)
+    ass = F.exists(head, lambda s: s.rlike("^\\uFEFF?\\[(?:Script Info|V4\\+? Styles|Events)\\]|^Dialogue:"))
+    return files.withColumn("by_content", F.when(ass, "ass").when(F.exists(head, lambda s: s.rlike(TIMES)), "srt"))
+
+
 def lines_of(files: DataFrame) -> DataFrame:
     """file, line (from 0), s."""
     clean = F.regexp_replace(F.regexp_replace("content", "^\\uFEFF", ""), "\\r\\n?", "\n")
@@ -94,7 +102,7 @@ def read_subtitles(spark: SparkSession, folder: str, lang: str = "ja") -> DataFr
     """Cues of all SRT and ASS files of a folder."""
     files = decoded(read_files(spark, folder))
     srt = with_garbled(parse_srt(files.filter("format = 'srt'")), lang)
-    ass = with_garbled(ass_cues(parse_ass(files.filter("format = 'ass'"))), lang, exempt_oped=False)
+    ass = with_garbled(ass_cues(parse_ass(files.filter("format = 'ass'"))), lang, exempt_oped=False)  # the older reader exempts these too: ass_cues(legacy=True), then with_garbled
     return srt.unionByName(ass)
 
 
