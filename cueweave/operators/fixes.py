@@ -74,7 +74,7 @@ def apply_in_order(cues: DataFrame, fixes: DataFrame) -> DataFrame:
     every = fixes.filter("file is null").agg(F.collect_list(columns).alias("_every"))
     lists = cues.select("file").distinct().join(own, "file", "left").join(F.broadcast(every), F.lit(True), "left")
     all_ = F.concat(F.coalesce("_own", F.array().cast(every.schema["_every"].dataType)), F.coalesce("_every", F.array().cast(every.schema["_every"].dataType)))
-    mine = lists.select("file", F.explode(all_).alias("f")).select("file", *[F.col(f"f.{c}").alias(c) for c in fixes.columns if c != "file"])
+    mine = lists.select(F.col("file").alias("file"), F.explode(all_).alias("f")).select("file", *[F.col(f"f.{c}").alias(c) for c in fixes.columns if c != "file"])
     return cues.groupBy("file").cogroup(mine.groupBy("file")).applyInPandas(work, schema)
 
 

@@ -162,11 +162,11 @@ def clip_bounds(clusters: DataFrame, speech: DataFrame, keys: list[str], pad_ms:
     cluster that no speech overlaps has no clip (nulls). Without any speech for its keys it is bare_ms wider.
     """
     lo, hi = (F.col(c) if c in clusters.columns else F.lit(v).cast("long") for c, v in (("lo_ms", 0), ("hi_ms", (1 << 62))))
-    c = clusters.withColumn("_lo", lo).withColumn("_hi", hi)
+    c = clusters.withColumn("_low", lo).withColumn("_high", hi)
     pairs = range_join(c, speech, keys, slack_ms=pad_ms, how="left")
     start, end, s, e = F.col("start_ms"), F.col("end_ms"), F.col("r_start_ms"), F.col("r_end_ms")
-    first, last = F.greatest("_lo", start - pad_ms), F.least("_hi", end + pad_ms)
-    per = pairs.groupBy("_id", *keys, "start_ms", "end_ms", "_lo", "_hi").agg(
+    first, last = F.greatest("_low", start - pad_ms), F.least("_high", end + pad_ms)
+    per = pairs.groupBy("_id", *keys, "start_ms", "end_ms", "_low", "_high").agg(
         F.coalesce(F.sum(F.when(s.isNotNull(), F.greatest(overlap_ms(start, end, s, e), F.lit(0)))), F.lit(0)).alias("speech_ms"),
         F.min(F.when(e >= first, s)).alias("_first"), F.max_by(e, F.when(s <= last, F.struct(s, e))).alias("_last"),
     )
@@ -175,6 +175,6 @@ def clip_bounds(clusters: DataFrame, speech: DataFrame, keys: list[str], pad_ms:
     cut_start, cut_end = F.when(F.col("_first") - first > pad_ms, F.col("_first") - pad_ms).otherwise(first), F.when(last - F.col("_last") > pad_ms, F.col("_last") + pad_ms).otherwise(last)
     bare, heard = F.col("_some").isNull(), F.col("speech_ms") > 0
     return per.select(
-        "_id", *keys, "start_ms", "end_ms", F.when(bare, F.greatest("_lo", start - bare_ms)).when(heard, cut_start).alias("clip_start_ms"),
-        F.when(bare, F.least("_hi", end + bare_ms)).when(heard, cut_end).alias("clip_end_ms"), "speech_ms",
+        "_id", *keys, "start_ms", "end_ms", F.when(bare, F.greatest("_low", start - bare_ms)).when(heard, cut_start).alias("clip_start_ms"),
+        F.when(bare, F.least("_high", end + bare_ms)).when(heard, cut_end).alias("clip_end_ms"), "speech_ms",
     )

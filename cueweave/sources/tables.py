@@ -79,3 +79,58 @@ def violations(df: DataFrame, required: dict[str, str] | None = None, enums: dic
     for c, values in (enums or {}).items():
         rules.append(F.when(F.col(c).isNotNull() & ~F.col(c).isin(values), F.struct(F.lit(c).alias("column"), F.lit("enum").alias("rule"))))
     return df.select(F.to_json(F.struct("*")).alias("row"), F.explode(F.filter(F.array(*rules), lambda x: x.isNotNull())).alias("v")).select("row", "v.*")
+
+
+KINDS = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
+
+
+def _is(value: object, kind: str) -> bool:
+    if kind in ("integer", "number"):
+        return not isinstance(value, bool) and (isinstance(value, int) or isinstance(value, float) and (kind == "number" or value.is_integer()))
+    return isinstance(value, KINDS[kind])
+
+
+def broken_rules(value: object, schema: dict, root: dict, path: str = "$") -> list[tuple[str, str]]:
+    """(path, rule) of all rules of a JSON schema that a value breaks: type (one or several), enum, required, properties,
+    additionalProperties, items, and $ref within the schema."""
+    while "$ref" in schema:
+        target: dict = root
+        for part in schema["$ref"].removeprefix("#/").split("/"):
+            target = target[part]
+        schema = target
+    kinds = schema.get("type", [])
+    if kinds and not any(_is(value, k) for k in ([kinds] if isinstance(kinds, str) else kinds)):
+        return [(path, "type")]
+    out = [(path, "enum")] if "enum" in schema and value not in schema["enum"] else []
+    if isinstance(value, dict):
+        known, more = schema.get("properties", {}), schema.get("additionalProperties", True)
+        out += [(f"{path}.{k}", "required") for k in schema.get("required", []) if k not in value]
+        for k, v in value.items():
+            if k in known:
+                out += broken_rules(v, known[k], root, f"{path}.{k}")
+            elif more is False:
+                out.append((f"{path}.{k}", "additional"))
+            elif isinstance(more, dict):
+                out += broken_rules(v, more, root, f"{path}.{k}")
+    if isinstance(value, list) and "items" in schema:
+        for i, v in enumerate(value):
+            out += broken_rules(v, schema["items"], root, f"{path}[{i}]")
+    return out
+
+
+def schema_violations(df: DataFrame, json_col: str, schema: dict) -> DataFrame:
+    """Rows of df with path and rule, one row for each rule of a JSON schema that their JSON text breaks; text that is no JSON
+    breaks the rule 'json' at '$', and so does null."""
+
+    @F.pandas_udf("array<struct<path:string,rule:string>>")
+    def check(texts: pd.Series) -> pd.Series:
+        def one(s: str | None) -> list[dict]:
+            try:
+                value = json.loads(s or "")
+            except ValueError:
+                return [{"path": "$", "rule": "json"}]
+            return [{"path": p, "rule": r} for p, r in broken_rules(value, schema, schema)]
+
+        return texts.map(one)
+
+    return df.withColumn("_v", F.explode(check(F.coalesce(json_col, F.lit(""))))).select("*", "_v.path", "_v.rule").drop("_v")

@@ -41,10 +41,38 @@ def test_islands_against_loop(spark):
 
 
 def test_regions_of_silence(spark):
-    speech = frame(spark, [("a", 0, 0, 10_000), ("a", 1, 20_000, 24_000)])
-    cues = frame(spark, [("a", 0, 0, 2000)]).withColumn("is_garbled", F.lit(False))
-    got = {r["_id"]: r["kind"] for r in regions.speech_classes(speech, cues, ["ep"]).collect()}
-    assert got == {0: "partial_overlap", 1: "missing"}
+    speech = frame(spark, [("a", 0, 0, 10_000), ("a", 1, 20_000, 24_000), ("a", 2, 29_000, 90_000), ("a", 3, 40_000, 41_000), ("b", 4, 0, 1000)])
+    cues = frame(spark, [("a", 0, 0, 2000), ("a", 1, 30_000, 31_000)]).withColumn("is_garbled", F.lit(False))
+    got = {r["_id"]: (r["kind"], r["bare_ms"]) for r in regions.speech_classes(speech, cues, ["ep"]).collect()}
+    # the third is cut at the last cue's end; the fourth lies beyond it, and b has no cues
+    assert got == {0: ("partial_overlap", 8000), 1: ("missing", 4000), 2: ("covered", 1000)}
+
+
+def test_clips(spark):
+    clusters = frame(spark, [("a", 0, 10_000, 11_000), ("a", 1, 50_000, 51_000), ("b", 2, 1000, 2000), ("c", 3, 10_000, 16_000)])
+    speech = frame(spark, [("a", 0, 9000, 10_500), ("c", 1, 13_000, 13_500)])
+    got = {r["_id"]: (r["clip_start_ms"], r["clip_end_ms"]) for r in temporal.clip_bounds(clusters, speech, ["ep"]).collect()}
+    # silence at the edges is cut to 2 s; no overlap gives no clip; without any speech half a second is added
+    assert got == {0: (8000, 12_500), 1: (None, None), 2: (500, 2500), 3: (11_000, 15_500)}
+    bounded = clusters.filter("_id = 0").withColumn("lo_ms", F.lit(9500)).withColumn("hi_ms", F.lit(11_200))
+    assert temporal.clip_bounds(bounded, speech, ["ep"]).select("clip_start_ms", "clip_end_ms").first() == (9500, 11_200)
+
+
+def test_fix_rows(spark):
+    cues = frame(spark, [("a", 0, 0, 1000), ("a", 1, 1500, 2500), ("a", 2, 6000, 7000), ("a", 3, 60_000, 61_000)]).withColumn("text", F.concat(F.lit("c"), F.col("idx").cast("string")))
+    asr = frame(spark, [("a", 7, 1000, 2000)]).withColumn("text", F.lit("said so")).withColumn("seg_idx", F.col("idx"))
+    got = sorted((r["start_ms"], r["end_ms"], r["original"], r["replacement"], r["confidence"]) for r in regions.fix_rows(asr, cues, ["ep"]).collect())
+    assert got == [(0, 2500, "c0 | c1", "said so", "high"), (6000, 7000, "c2", "said so", "retry"), (60_000, 61_000, "c3", "", "none")]
+    known = cues.withColumn("left_text", F.lit("said so!")).withColumn("right_text", F.lit(""))
+    assert regions.fix_rows(asr, known, ["ep"]).filter("confidence = 'retry'").count() == 0  # it says what the neighbour says
+
+
+def test_outcomes_are_done_once(spark):
+    cues = spark.createDataFrame([("f", 0, 0, 0, "old"), ("f", 1, 5, 1000, "gone")], "file string, idx int, start_line int, start_ms long, text string")
+    todo = spark.createDataFrame([(1, "replace_text", "f", 0, None, "new"), (2, "delete_line", "f", 1000, None, None), (3, "replace_text", "f", 9999, None, "x")], "seq int, action string, file string, start_ms long, line int, replacement string")
+    said = lambda c: {r["seq"]: r["outcome"] for r in fixes.outcomes(todo, c).collect()}
+    assert said(cues) == {1: "applied", 2: "applied", 3: "missing"}
+    assert said(fixes.replace_texts(cues, todo)) == {1: "already", 2: "already", 3: "missing"}
 
 
 def test_match_rounds(spark):

@@ -50,7 +50,8 @@ def test_episode_numbers(spark):
 def test_normalisers(spark):
     assert values(spark, ["アトムー", "アァ"], lambda c: T.normalise(c, "ja", "medium")) == ["アトム", "アア"]
     assert values(spark, ["ガギ"], lambda c: T.normalise(c, "ja", "lenient")) == ["カキ"]
-    assert values(spark, ["nǐ hǎo"], lambda c: T.normalise(c, "zh")) == ["nihao"]
+    assert values(spark, ["アスーナ", "キャー", "ヴー"], lambda c: T.normalise(c, "ja", "strict")) == ["アスナ", "キャー", "ヴー"]  # only after listed kana
+    assert values(spark, ["nǐ hǎo", "個儿"], lambda c: T.normalise(c, "zh", "lenient", "個", "个")) == ["ni hao", "个"]
 
 
 @pytest.mark.parametrize(("t", "ms"), [("00:01:23,456", 83456), ("1:00:00.5", 3600500), ("01:02", 62000), ("x", None)])
