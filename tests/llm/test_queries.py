@@ -301,3 +301,19 @@ def test_pipeline_stages(spark):
     assert one.columns == two.columns == three.columns == four.columns == docs.columns
     out = last(spark, four, SF).collect()
     assert len(out) == sum(want.values()) and all(r["same"] for r in out)
+
+
+def test_pipeline_run(spark, tmp_path):
+    """The whole run: on the smallest tables, on odd rows with clashing columns, and on empty tables."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    out = corpus_pipeline.run(spark, SF).collect()
+    assert out and all(r["same"] for r in out) and {r["doc_id"] for r in out} <= {i for (i,) in rows(f"select doc_id from '{SF}/documents.parquet'")}
+    for name, docs in (("odd", odd(spark)), ("none", none(spark))):
+        folder = str(tmp_path / name)
+        docs.write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([(4, 0), (5, 0)] if name == "odd" else [], "doc_id long, toxic int").write.parquet(f"{folder}/labels.parquet")
+        got = [r["doc_id"] for r in corpus_pipeline.run(spark, folder).collect()]
+        # texts without words stay once, of the long copies 5 and 6 one may, and the mix takes the others up to twice
+        some = {1, 2, 3, 8, None} if name == "odd" else set()
+        assert some <= set(got) <= some | {4, 5, 7, 9} and all(got.count(i) <= 2 for i in (4, 5, 7, 9)), name
+        assert [got.count(i) for i in (1, 2, 3, 8)] == ([1] * 4 if name == "odd" else [0] * 4)
