@@ -23,7 +23,7 @@ _RARE = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d",
 _WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _CUT = re.compile(r"(?<=\S)(?=\s\S)")
 _SHAPE = re.compile(r"([\x00\n]?)([^\W\d_]+)([^\w\s]*)")  # a head, letters, marks
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 500_000
 
 
 def is_sure(text: str) -> bool:

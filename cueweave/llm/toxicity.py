@@ -17,8 +17,10 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -49,7 +51,7 @@ def runs(word: str) -> list[str]:
     return ["^" + word[:k] for k in range(3, 8) if n > k] + [word[-k:] + "$" for k in range(3, 6) if n > k]
 
 
-def told(bags: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarray:
+def told(bags: Iterable[np.ndarray], labels: np.ndarray, size: int) -> np.ndarray:
     """For each number in bags how much more often it is in texts of label 1, as cautious log-odds. Starting values, not inputs."""
     ones, all_ = np.zeros(size), np.zeros(size)
     for bag, y in zip(bags, labels, strict=True):
@@ -165,9 +167,11 @@ class Parts:
 
     def __init__(self, listed: list[str], word_at: dict[str, int], run_at: dict[str, int]):
         self.own = np.fromiter((word_at.get(w, 0) for w in listed), np.int64, len(listed))
-        of = [[run_at[r] for r in runs(w) if r in run_at] for w in listed]
-        self.ends = np.cumsum([0] + [len(r) for r in of])
-        self.flat = np.array([r for rs in of for r in rs], np.int64)
+        flat, ends = array("i"), array("q", [0])
+        for w in listed:
+            flat.extend([run_at[r] for r in runs(w) if r in run_at])
+            ends.append(len(flat))
+        self.ends, self.flat = np.array(ends, np.int64), np.array(flat, np.int32)
         self.size = np.fromiter((min(len(w), 16) / 16 for w in listed), np.float32, len(listed))
 
     def runs_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -184,6 +188,15 @@ class Parts:
         out[:, -1] = self.size[words]
         return out
 
+    def projected(self, net: dict[str, np.ndarray], by_word: np.ndarray, by_run: np.ndarray) -> np.ndarray:
+        """W x + c of all words for both directions, a few words at a time."""
+        out = np.empty((len(self.own), 6 * UNITS), np.float32)
+        for at in range(0, len(out), 16_384):
+            x = self.inputs(np.arange(at, min(len(out), at + 16_384)), by_word, by_run)
+            for k, d in enumerate("fb"):
+                out[at : at + len(x), 3 * UNITS * k : 3 * UNITS * (k + 1)] = x @ net[f"W{d}"] + net[f"c{d}"]
+        return out
+
 
 @dataclass
 class Model:
@@ -322,17 +335,22 @@ def fit(texts: list[str], labels: list[int], epochs: int = 9, steps: int = 300,
     learned = [b for b, a in zip(bags, aside, strict=True) if not a]
     seen = np.bincount(np.concatenate(learned), minlength=len(vocabulary))
     word_at = {vocabulary[i]: k for k, i in enumerate(np.flatnonzero(seen >= LEAST_SEEN).tolist(), 1)}
+    # counted first by a hash in a table of fixed size, so that the many runs that are seen once are never kept as strings
+    known = [(w, n) for w, n in zip(vocabulary, seen.tolist(), strict=True) if n]
+    rough = np.zeros(1 << 22, np.int64)
+    for at in range(0, len(known), 10_000):
+        slots = [(zlib.crc32(r.encode()) & 0x3FFFFF, n) for w, n in known[at : at + 10_000] for r in runs(w)]
+        np.add.at(rough, [s for s, _ in slots], [n for _, n in slots])
     of_runs: Counter = Counter()
-    for w, n in zip(vocabulary, seen.tolist(), strict=True):
-        if n:
-            of_runs.update(dict.fromkeys(runs(w), n))
+    for w, n in known:
+        of_runs.update({r: n for r in runs(w) if rough[zlib.crc32(r.encode()) & 0x3FFFFF] >= LEAST_SEEN})
+    del known, rough
     run_at = {r: k for k, r in enumerate((r for r, n in of_runs.items() if n >= LEAST_SEEN), 1)}
     del of_runs
     by_word, by_run = np.zeros((len(word_at) + 1, WORD_DIM), np.float32), np.zeros((len(run_at) + 1, CHAR_DIM), np.float32)
     for table in (by_word, by_run):
         table[1:] = 0.05 * g.standard_normal(table[1:].shape)
     parts = Parts(vocabulary, word_at, run_at)
-    every = np.arange(len(vocabulary))
 
     lengths = [len(c) for c in cut]
     flat = np.concatenate(cut).astype(np.int64)
@@ -341,15 +359,15 @@ def fit(texts: list[str], labels: list[int], epochs: int = 9, steps: int = 300,
     of_doc = np.split(np.arange(len(doc)), np.searchsorted(doc, np.arange(1, len(cut))))
     clues = told(learned, y[~aside], len(vocabulary))
     by_word[parts.own, 0] += np.where(parts.own > 0, clues / 3, 0)
-    by_run[:, 0] += told([np.unique(parts.runs_of(b)[1]) for b in learned], y[~aside], len(by_run)) / 6
+    by_run[:, 0] += told((np.unique(parts.runs_of(b)[1]) for b in learned), y[~aside], len(by_run)) / 6
     sums = np.concatenate(([0.0], np.cumsum(clues[flat])))
+    del bags, learned, vocabulary, seen
     high = sums[first + size] - sums[first]
     adam, words_, runs_ = Adam(net), Sparse(by_word), Sparse(by_run)
     epochs = max(epochs, -(-steps * batch // max(1, int((~aside).sum()) * 2)))
     for epoch in range(epochs):
         if epoch and epoch % (epochs // 4) == 0:
-            x = parts.inputs(every, by_word, by_run)
-            high = _highest(net, np.concatenate([x @ net[f"W{d}"] + net[f"c{d}"] for d in "fb"], 1), flat, lengths)[1]
+            high = _highest(net, parts.projected(net, by_word, by_run), flat, lengths)[1]
         pick = []  # the highest window of a text, and of clean ones two more
         for d, at in enumerate(of_doc):
             if not aside[d]:
@@ -378,8 +396,7 @@ def fit(texts: list[str], labels: list[int], epochs: int = 9, steps: int = 300,
             owner, run = parts.runs_of(used)
             runs_.step(run, d_own[owner, WORD_DIM : WORD_DIM + CHAR_DIM], 5 * pace, 1e-5)
     model = Model(net, word_at, run_at, by_word, by_run)
-    x = parts.inputs(every, by_word, by_run)
-    raw = _highest(net, np.concatenate([x @ net[f"W{d}"] + net[f"c{d}"] for d in "fb"], 1), flat, lengths)[0]
+    raw = _highest(net, parts.projected(net, by_word, by_run), flat, lengths)[0]
     fitted = aside if aside.any() and y[aside].any() else ~aside
     model.scale = _scale(raw[fitted], y[fitted].astype(np.float64))
     return model
@@ -517,17 +534,22 @@ def fit(texts: list[str], labels: list[int], epochs: int = 9, steps: int = 300,
     learned = [b for b, a in zip(bags, aside, strict=True) if not a]
     seen = np.bincount(np.concatenate(learned), minlength=len(vocabulary))
     word_at = {vocabulary[i]: k for k, i in enumerate(np.flatnonzero(seen >= LEAST_SEEN).tolist(), 1)}
+    # counted first by a hash in a table of fixed size, so that the many runs that are seen once are never kept as strings
+    known = [(w, n) for w, n in zip(vocabulary, seen.tolist(), strict=True) if n]
+    rough = np.zeros(1 << 22, np.int64)
+    for at in range(0, len(known), 10_000):
+        slots = [(zlib.crc32(r.encode()) & 0x3FFFFF, n) for w, n in known[at : at + 10_000] for r in runs(w)]
+        np.add.at(rough, [s for s, _ in slots], [n for _, n in slots])
     of_runs: Counter = Counter()
-    for w, n in zip(vocabulary, seen.tolist(), strict=True):
-        if n:
-            of_runs.update(dict.fromkeys(runs(w), n))
+    for w, n in known:
+        of_runs.update({r: n for r in runs(w) if rough[zlib.crc32(r.encode()) & 0x3FFFFF] >= LEAST_SEEN})
+    del known, rough
     run_at = {r: k for k, r in enumerate((r for r, n in of_runs.items() if n >= LEAST_SEEN), 1)}
     del of_runs
     by_word, by_run = np.zeros((len(word_at) + 1, WORD_DIM), np.float32), np.zeros((len(run_at) + 1, CHAR_DIM), np.float32)
     for table in (by_word, by_run):
         table[1:] = 0.05 * g.standard_normal(table[1:].shape)
     parts = Parts(vocabulary, word_at, run_at)
-    every = np.arange(len(vocabulary))
 
     lengths = [len(c) for c in cut]
     flat = np.concatenate(cut).astype(np.int64)
@@ -536,15 +558,15 @@ def fit(texts: list[str], labels: list[int], epochs: int = 9, steps: int = 300,
     of_doc = np.split(np.arange(len(doc)), np.searchsorted(doc, np.arange(1, len(cut))))
     clues = told(learned, y[~aside], len(vocabulary))
     by_word[parts.own, 0] += np.where(parts.own > 0, clues / 3, 0)
-    by_run[:, 0] += told([np.unique(parts.runs_of(b)[1]) for b in learned], y[~aside], len(by_run)) / 6
+    by_run[:, 0] += told((np.unique(parts.runs_of(b)[1]) for b in learned), y[~aside], len(by_run)) / 6
     sums = np.concatenate(([0.0], np.cumsum(clues[flat])))
+    del bags, learned, vocabulary, seen
     high = sums[first + size] - sums[first]
     adam, words_, runs_ = Adam(net), Sparse(by_word), Sparse(by_run)
     epochs = max(epochs, -(-steps * batch // max(1, int((~aside).sum()) * 2)))
     for epoch in range(epochs):
         if epoch and epoch % (epochs // 4) == 0:
-            x = parts.inputs(every, by_word, by_run)
-            high = _highest(net, np.concatenate([x @ net[f"W{d}"] + net[f"c{d}"] for d in "fb"], 1), flat, lengths)[1]
+            high = _highest(net, parts.projected(net, by_word, by_run), flat, lengths)[1]
         pick = []  # the highest window of a text, and of clean ones two more
         for d, at in enumerate(of_doc):
             if not aside[d]:
@@ -573,8 +595,7 @@ def fit(texts: list[str], labels: list[int], epochs: int = 9, steps: int = 300,
             owner, run = parts.runs_of(used)
             runs_.step(run, d_own[owner, WORD_DIM : WORD_DIM + CHAR_DIM], 5 * pace, 1e-5)
     model = Model(net, word_at, run_at, by_word, by_run)
-    x = parts.inputs(every, by_word, by_run)
-    raw = _highest(net, np.concatenate([x @ net[f"W{d}"] + net[f"c{d}"] for d in "fb"], 1), flat, lengths)[0]
+    raw = _highest(net, parts.projected(net, by_word, by_run), flat, lengths)[0]
     fitted = aside if aside.any() and y[aside].any() else ~aside
     model.scale = _scale(raw[fitted], y[fitted].astype(np.float64))
     return model
