@@ -84,7 +84,7 @@ def packed(df: DataFrame, name: str = "_row") -> Column:
     return F.struct(*[F.col(quoted(c)).alias(c) for c in df.columns]).alias(name)
 
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -33,7 +33,7 @@ from cueweave.llm.common import shared_dir, sliced, small_batches
 # fixed values of the file format
 SEEK_MAGIC, SKIP_MAGIC, FOOT_MAGIC = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1
 FOOT = struct.pack("<I", FOOT_MAGIC)
-FILE_BYTES = 8 << 20
+FILE_BYTES = 4 << 20
 
 _ENCODERS: dict[str, bpe.Encoder] = {}  # lives as long as the Python worker; each holds a bounded cache
 
@@ -60,12 +60,13 @@ class FileWriter:
         self.size += len(frame)
         self.tokens += size // 4
 
-    def bytes(self) -> bytes:
+    def body(self) -> bytes:
+        """The file without the four bytes that end it."""
         index = b"".join(self.ids)
         index = struct.pack("<II", SKIP_MAGIC, len(index)) + index
         table = b"".join(self.table) + struct.pack("<III", len(index), 0, checksum(b""))
-        seek = struct.pack("<II", SEEK_MAGIC, len(table) + 9) + table + struct.pack("<IB", len(self.frames) + 1, 0x80) + FOOT
-        return b"".join(self.frames) + index + seek
+        seek = struct.pack("<II", SEEK_MAGIC, len(table) + 9) + table + struct.pack("<IB", len(self.frames) + 1, 0x80)
+        return b"".join([*self.frames, index, seek])
 
 
 class FileReader:
@@ -133,7 +134,7 @@ def write_files(docs: DataFrame, path: str, folder: str | None = None, end_id: i
         coder = _ENCODERS.get(path) or _ENCODERS.setdefault(path, bpe.Encoder(path))
         end, zip_ = struct.pack("<I", end_id), zstandard.ZstdCompressor(level=1)
         w = FileWriter()
-        done = lambda: pa.RecordBatch.from_arrays([pa.array([w.bytes().removesuffix(FOOT)], pa.binary())], names=["file"])
+        done = lambda: pa.RecordBatch.from_arrays([pa.array([w.body()], pa.binary())], names=["file"])
         for b in sliced(batches, 1024):
             for doc_id, raw in zip(b.column(0).to_pylist(), coder.encode(b.column(1).to_pylist()), strict=True):
                 ids = raw + end

@@ -37,7 +37,7 @@ def test_seekable_file():
     w, docs = token_store.FileWriter(), [(None, b""), (3, b"\x01\0\0\0"), (3, b"\x02\0\0\0" * 9), (7, os.urandom(4000))]
     for i, d in docs:
         w.add(i, zstandard.ZstdCompressor().compress(d), len(d), token_store.checksum(d))
-    data = w.bytes()
+    data = w.body() + token_store.FOOT
     r = token_store.FileReader(data)
     assert [(i, b) for i, _, b in r.documents()] == docs
     assert [(i, n) for i, n, _ in r.documents([7])] == [(7, 10)]
@@ -99,7 +99,7 @@ def test_page_depth_and_cut():
         side = "<div class=sidebar>" + "<div>" * depth + f"<p>{words}</p>" + "</div>" * depth + "</div>"
         assert main_text.main_text(f"<body>{side}<article><h1>Title</h1><p>{words}</p></article>{side}</body>") == f"Title\n{words}"
         assert main_text.main_text("<div>" * depth + f"<p>{words}</p>" + "</p></nav></div>" * 3 * depth + f"<p>{words}</p>") == f"{words}\n{words}"
-    page = f"<article><p>{words}</p><p>Short</p><section id=comments><p>{words}</p><p>{words}</p></section></article><nav><p>{words}</p></nav>"
+    page = f"<article><p>{words}</p><div>Short</div><section id=comments><p>{words}</p><p>{words}</p></section></article><nav><p>{words}</p></nav>"
     found, elements = main_text.blocks(page)
     keep = main_text.minimum_cut(*main_text.graph(found, elements))
     assert [b.odds > 0 for b in found] == [True, False, True, True, True]  # each block by itself
