@@ -134,14 +134,14 @@ def _with_sets(near: DataFrame, docs: DataFrame, id_col: str, text_col: str) ->
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text).alias("_th"), text.alias("_text"))
     joined = texts.join(near, F.col("_id").eqNullSafe(F.col("rep_id")) & (F.col("_th") == F.col("rep_th")))
     small_batches(docs.sparkSession)
-    keep = ["f1", "f2", "n_docs", "sig", "keys"]
+    keep = ["f1", "f2", "n_docs", "sig", "keys", "blocks"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches):
             sets = pa.array([shingles(t).tobytes() for t in b.column(0).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns[1:], sets], names=[*keep, "set"])
 
-    made = joined.select("_text", *keep).mapInArrow(work, "f1 long, f2 long, n_docs long, sig binary, keys array<long>, set binary")
+    made = joined.select("_text", *keep).mapInArrow(work, "f1 long, f2 long, n_docs long, sig binary, keys array<long>, blocks array<int>, set binary")
     return made.dropDuplicates(["f1", "f2"])
 
 
@@ -240,16 +240,17 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6,
     slim = reps.select("f1", "f2", "n", F.explode("bands").alias("key"))
     buckets = slim.groupBy("key").agg(F.count("*").alias("c"), (8 * F.sum("n")).alias("bytes"), F.bit_xor(F.xxhash64("f1", "f2")).alias("m1"), F.bit_xor(F.xxhash64("f2", "f1")).alias("m2")).filter("c > 1")
     kept = materialize(buckets.groupBy("c", "m1", "m2").agg(F.min(F.struct("key", "bytes")).alias("k")).select("k.key", "k.bytes", "c"), "ngram-buckets")
-    members = slim.join(kept, "key").groupBy("f1", "f2").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    # the number of blocks of a bucket travels with its key, so that sets are never joined with the table of buckets
+    blocks = F.greatest(F.ceil(F.col("c") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks")
+    members = slim.join(kept.select("key", blocks), "key").groupBy("f1", "f2").agg(F.sort_array(F.collect_list(F.struct("key", "blocks"))).alias("spots"))
     near = members.join(reps.select("f1", "f2", "n_docs", "rep", "sig"), ["f1", "f2"])
-    near = near.select("f1", "f2", "n_docs", "sig", "keys", F.col("rep.doc_id").alias("rep_id"), F.col("rep.th").alias("rep_th"))
+    near = near.select("f1", "f2", "n_docs", "sig", F.col("spots.key").alias("keys"), F.col("spots.blocks").alias("blocks"), F.col("rep.doc_id").alias("rep_id"), F.col("rep.th").alias("rep_th"))
     full = materialize(_with_sets(near, docs, id_col, text_col), "ngram-sets")
 
-    placed = full.select("*", F.explode("keys").alias("key")).join(kept, "key")
-    blocks = F.greatest(F.ceil(F.col("c") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
-    own = F.pmod(F.xxhash64("f1", "f2"), blocks).cast("int")
+    placed = full.select("f1", "f2", "n_docs", "sig", "keys", "set", F.explode(F.arrays_zip("keys", "blocks")).alias("at")).select("*", F.col("at.keys").alias("key"), F.col("at.blocks").alias("n_blocks"))
+    own = F.pmod(F.xxhash64("f1", "f2"), F.col("n_blocks")).cast("int")
     units = (
-        placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
         .select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "f1", "f2", "n_docs", "sig", "keys", "set", F.col("own").alias("side"))
     )
     small_batches(docs.sparkSession)
