@@ -221,3 +221,93 @@ def merge_related(groups: DataFrame, parts: int = 1) -> DataFrame:
 
     part = F.pmod(F.xxhash64(F.substring("key", 1, 1)), F.lit(parts))
     return groups.select("key", "words", part.alias("_part")).groupBy("_part").applyInPandas(lambda pdf: work(pdf), "key string, words array<string>")
+
+
+# fixed values: words that no name rule takes for a name
+NO_NAMES_ZH = (
+    "我们 你们 他们 她们 这个 那个 什么 怎么 为什么 可以 可能 应该 因为 所以 但是 虽然 如果 然后 "
+    "已经 没有 还是 或者 而且 不过 只是 一定 非常 今天 明天 昨天 现在 以后 以前 正在 一直"
+).split()
+
+# fixed values: (kind, what comes before, the name, what of the rest belongs to the text, what must follow)
+NAME_RULES = {
+    "ja": [
+        ("name_kanji_suffix", "", "[一-鿿]{1,4}", "博士|警部|殿下|先生|総統|団長|伯爵|署長|所長|船長|部長|社長", ""),
+        ("name_katakana_suffix", "", "[゠-ヿ]{2,6}", "さん|くん|ちゃん|様|殿", ""),
+        ("calling", "(?:おい|なあ|ねえ|もしもし)[、\\s]*", "[゠-ヿ]{2,6}", "", "[!！〜～\\s]|$"),
+        ("introduction", "", "[一-鿿぀-ゟ゠-ヿ]{2,8}", "", "って|という|と言う|と呼ぶ|って言う|といいます|って呼ばれ"),
+        ("known_katakana", "", "[゠-ヿ]{2,}", "", ""),
+    ],
+    "zh": [
+        ("name_suffix", "", "[一-鿿]{1,4}", "先生|小姐|女士|老师|同学|医生|大夫|队长|警长|校长|部长|经理|总[监裁]?|董[事长]?|局长|处长|科长|主任|教授|师傅", ""),
+        ("calling", "(?:喂|诶|嘿)[、\\s,!！]*", "[一-鿿]{1,4}", "", "[!！啊呀啦呢哦～~\\s]|$"),
+        ("introduction", "叫|名叫|叫作|叫做|就是|那就是|这位是", "[一-鿿A-Za-z]{1,8}", "", ""),
+        ("quoted", "「", "[一-鿿]{1,6}", "", "」"),
+        ("known_hanzi", "", "[一-鿿]{2,4}", "", ""),
+    ],
+}
+
+
+def named_spans(c: Column, lang: str = "ja", known: list[str] | tuple[str, ...] = (), common: list[str] | tuple[str, ...] | None = None) -> Column:
+    """Spans (start, len, text, kind, name) that the language's rules take for names: with a title, called, introduced,
+    quoted, or in the list of known ones; none overlap. text has the title, name has not. Words of `common` (by default the
+    fixed Chinese ones for zh, none for ja) are no names, but with a kanji title, quoted or known. A kanji name with a title
+    does not count right after hiragana. Null text gives null, a text without names an empty array."""
+    lang = "zh" if lang == "zh" else "ja"
+    no_names = list((NO_NAMES_ZH if lang == "zh" else ()) if common is None else common)
+
+    def spans(kind: str, lead: str, name: str, tail: str, after: str) -> Column:
+        p = f"(?U)({lead})({name})({tail})(?:{after})"
+
+        def step(at: Column, x: Column) -> tuple[Column, Column, Column]:
+            start, found = at + F.length(x["before"]), x["name"]
+            ok = F.lit(True)
+            if kind.startswith("known"):
+                ok = found.isin(list(known))
+            elif kind == "name_kanji_suffix":
+                ok = ~x["before"].rlike("[ぁ-ゟ]\\z")
+            elif kind != "quoted" and no_names:
+                ok = ~found.isin(no_names)
+            whole = F.concat(found, x["tail"])
+            span = F.struct((start + F.length(x["lead"])).alias("start"), F.length(whole).alias("len"), whole.alias("text"), F.lit(kind).alias("kind"), found.alias("name"))
+            return ok, span, start + F.length(x["hit"])
+
+        part = lambda i: F.regexp_extract_all(c, F.lit(p), F.lit(i))
+        pairs = F.arrays_zip(F.split(c, p).alias("before"), part(0).alias("hit"), part(1).alias("lead"), part(2).alias("name"), part(3).alias("tail"))
+        return _passed(F.filter(pairs, lambda x: x["hit"].isNotNull()), step)
+
+    rules = [r for r in NAME_RULES[lang] if known or not r[0].startswith("known")]
+    return keep_disjoint(F.concat(*[spans(*r) for r in rules]))
+
+
+def _passed(items: Column, step) -> Column:
+    """Outs of the items that step lets pass; the place moves on with every item."""
+
+    def both(at: Column, x: Column) -> tuple[Column, Column, Column]:
+        ok, out, after = step(at, x)
+        return F.lit(True), F.struct(ok.alias("ok"), out.alias("out")), after
+
+    kind = "array<struct<ok:boolean,out:struct<start:int,len:int,text:string,kind:string,name:string>>>"
+    marked = _folded(items, F.array().cast(kind), F.lit(0), both)
+    return F.transform(F.filter(marked, lambda x: x["ok"]), lambda x: x["out"])
+
+
+# fixed values: Chinese words and particles that make no entry of a glossary
+STOP_ZH = (
+    "什么 怎么 为什么 怎么样 这是 那是 不是 可以 没有 一个 这个 那个 我们 你们 他们 她们 它们 现在 已经 还是 但是 因为 所以 如果 虽然 "
+    "非常 真的 就是 的话 而且 或者 不过 了吧 了吗 了啊 吧 呢 吗 啊 哦 嗯 好的 好吧 行了 好了 对了 是吧 对吧 等等 然后 接着 最后 首先 前面 后面 "
+    "里面 外面 上面 下面 旁边 中间 很多 很少 一些 一点 快点 一定 必须 应该 需要 可能 知道 看到 听到 找到 觉得 以为 来说 来看 来讲 "
+    "全部 所有 这里 那里 哪里 今天 明天 昨天 每天 那天 她的 他的 它的 我的 你的 说话 过来 回去 起来 出来 进去 只是 可是 倒是 还有 "
+    "真的吗 怎么办 太好了 没问题"
+).split()
+PARTICLES_ZH = "的了着过在是不很都也就还和与被把让给"
+
+
+def glossary_reject_reason_zh(term: Column) -> Column:
+    """Why an entry of a Chinese glossary is no name, by the first rule that holds, null if none does."""
+    t = text.strip(term)
+    return (
+        F.when(F.coalesce(t, F.lit("")).rlike("^[，。！？、；：\"（）…—　 ]*$"), "empty/punctuation").when(t.rlike("^[0-9０-９]+$"), "pure number")
+        .when(F.length(t) == 1, "single char fragment").when(t.rlike(f"[{text.HAN}]") & t.rlike("[A-Za-z]"), "bilingual fragment").when(t.isin(STOP_ZH), "stop word")
+        .when(F.length(t) > 6, "sentence fragment (>6 chars)").when(t.rlike(f"^[{PARTICLES_ZH}]|[{PARTICLES_ZH}]$"), "starts/ends with particle")
+    )

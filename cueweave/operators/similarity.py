@@ -115,3 +115,22 @@ def fuzzy_join(candidates: DataFrame, nouns: DataFrame, threshold: float = 0.7)
     unknown = candidates.join(found.select("text"), "text", "left_anti")
     status = F.when(F.col("similarity") == 1.0, "exact").when(F.col("similarity") >= 0.95, "variant").when(F.col("similarity").isNotNull(), "mismatch").otherwise("unknown")
     return found.unionByName(unknown, allowMissingColumns=True).withColumn("status", status)
+
+
+def replace_runs(cues: DataFrame, runs: DataFrame, new: DataFrame, keys: list[str], alike: float = 0.6) -> DataFrame:
+    """Cues (keys, idx, start_ms, end_ms, text) in which runs of alike cues (keys, run, first_idx, last_idx) give way to what
+    was recognised anew for them (new: keys, run, start_ms, end_ms, text), renumbered from 0.
+
+    A run stays as it is if its new cues are alike again: two at least, and half as many pairs of neighbours as cues reach
+    `alike`. A run without new cues goes. Null and blank new texts are none. Further columns of cues are null in new ones.
+    """
+    heard = new.select(*keys, "run", "start_ms", "end_ms", text.strip(F.col("text")).alias("text")).filter("text != ''")
+    w = Window.partitionBy(*keys, "run").orderBy("start_ms", "end_ms", "text")
+    pairs = heard.withColumn("_next", F.lead("text").over(w)).withColumn("_like", F.coalesce(ratio(F.col("text"), F.col("_next"), "tidy"), F.lit(0.0)) >= alike)
+    judged = pairs.groupBy(*keys, "run").agg(F.count("*").alias("n_new"), F.count_if("_like").alias("n_like"))
+    action = F.when(F.col("n_new").isNull(), "gone").when((F.col("n_new") >= 2) & (F.col("n_like") >= F.col("n_new") * 0.5), "kept").otherwise("replaced")
+    settled = runs.join(judged, [*keys, "run"], "left").withColumn("action", action)
+    out = settled.filter("action <> 'kept'").select(*keys, F.explode(F.sequence("first_idx", "last_idx")).alias("idx"))
+    fresh = heard.join(settled.filter("action = 'replaced'").select(*keys, "run", F.col("first_idx").alias("idx")), [*keys, "run"]).drop("run")
+    rows = cues.join(out, [*keys, "idx"], "left_anti").unionByName(fresh, allowMissingColumns=True)
+    return rows.withColumn("idx", F.row_number().over(Window.partitionBy(*keys).orderBy("idx", "start_ms", "end_ms", "text")) - 1)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cueweave.functions import lexicon as lex
 from cueweave.functions import text as T
 from cueweave.functions import timecode as C
-from cueweave.operators import files, fixes, nouns, oped, regions, report, review, setops, styled, summary, temporal
+from cueweave.operators import files, fixes, nouns, oped, regions, report, review, setops, similarity, styled, summary, temporal
 from cueweave.plans.catalogue import REGIONED, REPORT, TIMELINE, TURNS, WORDS, corpus, cues, query, regioned, report_tables, speech, styled_lines, table, timeline, turns
 from cueweave.sources import subtitles, tables
 from cueweave.streaming import incremental
@@ -320,6 +320,47 @@ def still_garbled(spark, sf):
     return review.still_garbled(t.select("file").distinct(), c)
 
 
+# names of Japanese and Chinese lines
+
+NAMED = ["御茶水博士が来た", "ああ山田先生", "おい アトム！", "アトムさん、コバルトくん", "これはウランという", "我叫小明", "喂、王明！", "「铁臂」来了", "王小姐你好", "我们老师"]
+TERMS_ZH = ["铁臂", "我们", "的人", "阿童木", "一", "12", "abc铁", "，。", "长长长长长长长", "铁了", ""]
+
+
+def dealt(spark: SparkSession, sf: str, lines: list[str]) -> DataFrame:
+    """doc_id, k, t: the lines dealt over all documents."""
+    k = (F.col("doc_id") % len(lines)).cast("int")
+    return table(spark, sf, "documents").select("doc_id", k.alias("k"), F.get(F.array(*map(F.lit, lines)), k).alias("t"))
+
+
+@query("""WITH e AS (SELECT * FROM (VALUES (0, 0, '御茶水博士', 'name_kanji_suffix', '御茶水'), (2, 3, 'アトム', 'calling', 'アトム'), (3, 0, 'アトムさん', 'name_katakana_suffix', 'アトム'), (3, 6, 'コバルトくん', 'name_katakana_suffix', 'コバルト'),
+  (4, 0, 'これはウラン', 'introduction', 'これはウラン'), (5, 2, '小明', 'introduction', '小明'), (6, 2, '王明', 'calling', '王明'), (7, 1, '铁臂', 'quoted', '铁臂'), (8, 0, '王小姐', 'name_suffix', '王')) v(k, start, text, kind, name))
+SELECT doc_id, start, e.text, kind, name FROM documents JOIN e ON doc_id % 10 = k""")
+def name_rules(spark, sf):
+    """The expected names of each line are written out; the rules themselves are tested against loops."""
+    s = F.when(F.col("k") < 5, nouns.named_spans(F.col("t"), "ja")).otherwise(nouns.named_spans(F.col("t"), "zh"))
+    return dealt(spark, sf, NAMED).select("doc_id", F.inline(s)).drop("len")
+
+
+_ZH_LIST = "['" + "', '".join(TERMS_ZH) + "']"
+
+
+@query(f"""SELECT doc_id, CASE WHEN regexp_full_match(t, '[，。]*') THEN 'empty/punctuation' WHEN regexp_full_match(t, '[0-9]+') THEN 'pure number' WHEN length(t) = 1 THEN 'single char fragment'
+  WHEN regexp_matches(t, '[a-z]') AND regexp_matches(t, '[一-鿿]') THEN 'bilingual fragment' WHEN t = '我们' THEN 'stop word' WHEN length(t) > 6 THEN 'sentence fragment (>6 chars)'
+  WHEN t[1] IN ('的', '了') OR t[-1] IN ('的', '了') THEN 'starts/ends with particle' END AS reason FROM (SELECT doc_id, list_extract({_ZH_LIST}, doc_id % {len(TERMS_ZH)} + 1) AS t FROM documents)""")
+def glossary_zh(spark, sf):
+    return dealt(spark, sf, TERMS_ZH).select("doc_id", nouns.glossary_reject_reason_zh(F.col("t")).alias("reason"))
+
+
+@query()
+def replaced_runs(spark, sf):
+    """Runs of alike turns: a third get nothing new, a third one cue, a third two that are alike again."""
+    t = turns(spark, sf).select("file", "idx", "start_ms", "end_ms", "text")
+    runs = similarity.similar_runs(t, ["file"])
+    n = F.col("file") % 3
+    new = runs.filter(n > 0).select("file", "run", F.explode(F.sequence(F.lit(1), n.cast("int"))).alias("at")).select("file", "run", F.col("at").cast("long").alias("start_ms"), F.col("at").cast("long").alias("end_ms"), F.lit("heard anew").alias("text"))
+    return similarity.replace_runs(t, runs, new, ["file"]).select("file", "idx", "text")
+
+
 # fixes
 
 

@@ -258,3 +258,48 @@ def test_opening_and_run_queries_read_whole_turns(spark, tmp_path):
     assert sorted((x["region"], x["bucket_ms"]) for x in run("cluster_kinds")) == [("ED", 18000), ("ED", 24000), ("ED", 30000), ("OP", 0), ("OP", 6000), ("OP", 12000)]
     assert [(x["file"], x["idx"], x["original"], x["replacement"]) for x in run("oped_slips")] == [(3, 2, "a line that is sunk again x", same + "x")]
     assert sorted((x["n"], x["n_runs"]) for x in run("similar_runs")) == [(2, 4), (4, 4)]  # 4 alike, then 2 with another ending
+
+
+def named_by_loop(line, lang, known, common):
+    import re
+
+    found = []
+    for kind, lead, name, tail, after in nouns.NAME_RULES[lang]:
+        for m in re.finditer(f"({lead})({name})({tail})(?:{after})", line):
+            if kind.startswith("known") and m[2] not in known or kind == "name_kanji_suffix" and re.search("[ぁ-ゟ]$", line[: m.start()]):
+                continue
+            if not kind.startswith("known") and kind not in ("quoted", "name_kanji_suffix") and m[2] in common:
+                continue
+            found.append((m.start(2), len(m[2] + m[3]), m[2] + m[3], kind, m[2]))
+    kept = []
+    for s in sorted(found, key=lambda s: (s[0], -s[1])):
+        if all(s[0] >= k[0] + k[1] or k[0] >= s[0] + s[1] for k in kept):
+            kept.append(s)
+    return kept
+
+
+def test_named_spans_against_loops(spark):
+    r = random.Random(5)
+    bits = {
+        "ja": ["おい", "、", " ", "アトム", "ウラン", "さん", "様", "御茶水", "山田", "博士", "先生", "あ", "って", "という", "！", "が", "カ"],
+        "zh": ["喂", "、", " ", "王", "小明", "我们", "先生", "老师", "叫", "名叫", "「", "」", "！", "啊", "铁臂", "abc", "总监"],
+    }
+    for lang, parts in bits.items():
+        lines = ["", *("".join(r.choices(parts, k=r.randrange(1, 12))) for _ in range(150))]
+        for known, common in (((), nouns.NO_NAMES_ZH if lang == "zh" else ()), (("アトム", "铁臂", "小明"), ("ウラン", "王"))):
+            df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)] + [(-1, None)], "i int, t string")
+            c = nouns.named_spans(F.col("t"), lang, known, None if not known else common)
+            got = {row["i"]: row["s"] for row in df.select("i", c.alias("s")).collect()}
+            assert got.pop(-1) is None
+            assert {i: [tuple(x) for x in s] for i, s in got.items()} == {i: named_by_loop(x, lang, known, common) for i, x in enumerate(lines)}
+
+
+def test_replaced_runs(spark):
+    cues = spark.createDataFrame([("a", i, i * 10, i * 10 + 5, t) for i, t in enumerate(["x", "la la", "la la", "y", "no", "no", "z", "oh", "oh"])], "file string, idx int, start_ms long, end_ms long, text string")
+    runs = similarity.similar_runs(cues, ["file"])
+    at = {r["first_idx"]: r["run"] for r in runs.collect()}
+    assert sorted(at) == [1, 4, 7]
+    new = spark.createDataFrame([("a", at[1], 12, 13, " sung "), ("a", at[1], 11, 12, "first"), ("a", at[4], 41, 42, "same"), ("a", at[4], 43, 44, "same"), ("a", at[7], 70, 71, "  "), ("a", at[7], 72, 73, None)], "file string, run long, start_ms long, end_ms long, text string")
+    got = [(r["idx"], r["text"]) for r in similarity.replace_runs(cues, runs, new, ["file"]).orderBy("idx").collect()]
+    assert got == list(enumerate(["x", "first", "sung", "y", "no", "no", "z"]))
+    assert similarity.replace_runs(cues, runs.limit(0), new.limit(0), ["file"]).count() == 9
