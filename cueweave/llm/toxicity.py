@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cueweave.llm.common import added, sliced, small_batches
+from cueweave.llm.common import added, discard, materialize, sliced, small_batches
 
 SAMPLE = 4000  # labelled rows that the model is fitted on, at most
 SAMPLE_BYTES = 64 << 20  # and bytes of their texts, at most
@@ -426,212 +426,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes
     """Fit on at most `sample` labelled rows of at most `sample_bytes` together, taken in the order of a hash of their id;
     held-out rows are left aside.
 
-    Rows with a null id, text or label are left out; of labels that disagree the higher counts, of texts the least. Fewer
-    rows are all used, whole.
+    Rows with a null id, text or label are left out, and so are texts of more than a sixteenth of `sample_bytes`, one of which
+    could else stand for all; of labels that disagree the higher counts, of texts the least. Texts are used whole.
     """
     rows = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).filter("_id is not null and _y in (0, 1)").filter(~held_out("_id"))
     few = rows.groupBy("_id").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(sample)
     texts = docs.select(F.col(id_col).alias("_d"), F.col(text_col).alias("_text")).filter("_text is not null")
     got = texts.join(F.broadcast(few), F.col("_d") == F.col("_id")).groupBy("_id").agg(F.min(F.struct("_text", "_y")).alias("r"))  # at most `sample` rows
-    got = got.select("_id", "r._text", "r._y").withColumn("_bytes", F.sum(F.octet_length("_text")).over(Window.orderBy(F.xxhash64("_id"), "_id")))
-    table = got.filter(F.col("_bytes") <= sample_bytes).drop("_bytes").toArrow().sort_by("_id")
-    return fit(table.column("_text").to_pylist(), table.column("_y").to_pylist())
-
-
-def score(self, texts: list[str]) -> np.ndarray:
-        """Scores from 0 to 1, rounded to six places; a text without words has 0."""
-        raw = self.raw(texts)
-        return np.where(np.isfinite(raw), np.round(_sigmoid(self.scale[0] * np.where(np.isfinite(raw), raw, 0.0) + self.scale[1]), 6), 0.0)
-
-
-def _highest(net: dict[str, np.ndarray], rows: np.ndarray, flat: np.ndarray, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Highest window score of each text (-inf without words), and the score of every window. rows: projected inputs."""
-    out = np.full(len(lengths), -np.inf)
-    doc, start, size = windows(lengths)
-    scores = np.zeros(len(doc))
-    if len(doc):
-        first = start + np.concatenate(([0], np.cumsum(lengths)[:-1]))[doc]
-        order = np.argsort(-size, kind="stable")
-        for at in range(0, len(order), 1024):
-            o = order[at : at + 1024]
-            x, live = _stack(rows, flat, first[o], size[o])
-            scores[o] = forward(net, {"f": x[..., : 3 * UNITS], "b": x[..., 3 * UNITS :]}, live)[0]
-        np.maximum.at(out, doc, scores)
-    return out, scores
-
-
-def _distinct(docs: list[np.ndarray], hashes: np.ndarray) -> list[int]:
-    """Places of texts that are not near copies of earlier ones. Copies tell nothing new of words and would count as so many
-    witnesses; which texts the model scores is not touched by it."""
-    seen: set[tuple[int, int]] = set()
-    keep = []
-    mults = np.array((0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F), np.uint64)
-    for i, d in enumerate(docs):
-        k = min(5, len(d))
-        if not k:
-            continue
-        grams = np.zeros(len(d) - k + 1, np.uint64)
-        for j in range(k):
-            grams = grams * np.uint64(0x100000001B3) + hashes[d[j : len(d) - k + 1 + j]]
-        mins = [(m, int(x)) for m, x in enumerate(((grams[:, None] ^ (grams[:, None] >> np.uint64(29))) * mults[None, :] & np.uint64(0xFFFFFFFF)).min(0))]
-        if sum(m in seen for m in mins) < 2:
-            keep.append(i)
-        seen.update(mins)
-    return keep
-
-
-class Adam:
-    """Steps for dense weights."""
-
-    def __init__(self, net: dict[str, np.ndarray]):
-        self.m, self.v, self.t = {k: np.zeros_like(w) for k, w in net.items()}, {k: np.zeros_like(w) for k, w in net.items()}, 0
-
-    def step(self, net: dict[str, np.ndarray], grad: dict[str, np.ndarray], rate: float) -> None:
-        self.t += 1
-        for k, g in grad.items():
-            g = g + 1e-5 * net[k]
-            self.m[k] = 0.9 * self.m[k] + 0.1 * g
-            self.v[k] = 0.999 * self.v[k] + 0.001 * g * g
-            net[k] = net[k] - (rate * (self.m[k] / (1 - 0.9**self.t)) / (np.sqrt(self.v[k] / (1 - 0.999**self.t)) + 1e-8)).astype(np.float32)
-
-
-class Sparse:
-    """Steps for the rows of a table that a batch touched (Adagrad), with a pull to zero; row 0 stays as it is."""
-
-    def __init__(self, table: np.ndarray):
-        self.table, self.sum = table, np.zeros(len(table), np.float32)
-
-    def step(self, rows: np.ndarray, grad: np.ndarray, rate: float, decay: float) -> None:
-        used, place = np.unique(rows, return_inverse=True)
-        g = np.zeros((len(used), self.table.shape[1]), np.float32)
-        np.add.at(g, place, grad)
-        g += decay * self.table[used]
-        self.sum[used] += (g * g).mean(1)
-        self.table[used] -= rate * g / (np.sqrt(self.sum[used])[:, None] + 1e-8)
-        self.table[0] = 0
-
-
-def fit(texts: list[str], labels: list[int], epochs: int = 9, steps: int = 300, batch: int = 64, rate: float = 0.01) -> Model:
-    """Train on labelled texts; without a text of label 1, every text scores near 0."""
-    import xxhash
-
-    ids: dict[str, int] = {}
-    docs = [np.fromiter((ids.setdefault(w, len(ids)) for w in words(t)), np.int32) for t in texts]
-    vocabulary = list(ids)
-    keep = _distinct(docs, np.fromiter((xxhash.xxh64_intdigest(w) for w in vocabulary), np.uint64, len(vocabulary)))
-    cut, y = [docs[i] for i in keep], np.array([labels[i] for i in keep], np.int64)
-    del docs, ids
-    net = new_network()
-    if not y.any():
-        return Model(net, {}, {}, np.zeros((1, WORD_DIM), np.float32), np.zeros((1, CHAR_DIM), np.float32), (0.0, -8.0))
-    g = np.random.default_rng(11)
-    # a fifth of each label is not trained on
-    aside = np.zeros(len(y), bool)
-    for label in (0, 1):
-        at = g.permutation(np.flatnonzero(y == label))
-        aside[at[: len(at) // 5]] = True
-    bags = [np.unique(c) for c in cut]
-    learned = [b for b, a in zip(bags, aside, strict=True) if not a]
-    seen = np.bincount(np.concatenate(learned), minlength=len(vocabulary))
-    word_at = {vocabulary[i]: k for k, i in enumerate(np.flatnonzero(seen >= LEAST_SEEN).tolist(), 1)}
-    # counted first by a hash in a table of fixed size, so that the many runs that are seen once are never kept as strings
-    known = [(w, n) for w, n in zip(vocabulary, seen.tolist(), strict=True) if n]
-    rough = np.zeros(1 << 22, np.int64)
-    for at in range(0, len(known), 10_000):
-        slots = [(zlib.crc32(r.encode()) & 0x3FFFFF, n) for w, n in known[at : at + 10_000] for r in runs(w)]
-        np.add.at(rough, [s for s, _ in slots], [n for _, n in slots])
-    of_runs: Counter = Counter()
-    for w, n in known:
-        of_runs.update({r: n for r in runs(w) if rough[zlib.crc32(r.encode()) & 0x3FFFFF] >= LEAST_SEEN})
-    del known, rough
-    run_at = {r: k for k, r in enumerate((r for r, n in of_runs.items() if n >= LEAST_SEEN), 1)}
-    del of_runs
-    by_word, by_run = np.zeros((len(word_at) + 1, WORD_DIM), np.float32), np.zeros((len(run_at) + 1, CHAR_DIM), np.float32)
-    for table in (by_word, by_run):
-        table[1:] = 0.05 * g.standard_normal(table[1:].shape)
-    parts = Parts(vocabulary, word_at, run_at)
-
-    lengths = [len(c) for c in cut]
-    flat = np.concatenate(cut).astype(np.int64)
-    doc, start, size = windows(lengths)
-    first = start + np.concatenate(([0], np.cumsum(lengths)[:-1]))[doc]
-    of_doc = np.split(np.arange(len(doc)), np.searchsorted(doc, np.arange(1, len(cut))))
-    clues = told(learned, y[~aside], len(vocabulary))
-    by_word[parts.own, 0] += np.where(parts.own > 0, clues / 3, 0)
-    by_run[:, 0] += told((np.unique(parts.runs_of(b)[1]) for b in learned), y[~aside], len(by_run)) / 6
-    sums = np.concatenate(([0.0], np.cumsum(clues[flat])))
-    del bags, learned, vocabulary, seen
-    high = sums[first + size] - sums[first]
-    adam, words_, runs_ = Adam(net), Sparse(by_word), Sparse(by_run)
-    epochs = max(epochs, -(-steps * batch // max(1, int((~aside).sum()) * 2)))
-    for epoch in range(epochs):
-        if epoch and epoch % (epochs // 4) == 0:
-            high = _highest(net, parts.projected(net, by_word, by_run), flat, lengths)[1]
-        pick = []  # the highest window of a text, and of clean ones two more
-        for d, at in enumerate(of_doc):
-            if not aside[d]:
-                best = at[np.argsort(-high[at], kind="stable")]
-                pick += best[:1].tolist() if y[d] else best[:2].tolist() + g.choice(best[2:], min(1, len(best[2:])), replace=False).tolist()
-        pick = np.array(pick)
-        target = y[doc[pick]].astype(np.float32)
-        weight = np.where(target > 0, min(6.0, max(1.0, (1 - target.mean()) / max(target.mean(), 1e-6) / 2)), 1.0).astype(np.float32)
-        order, pace = g.permutation(len(pick)), rate * 0.5 ** (3 * epoch // epochs)
-        for at in range(0, len(order), batch):
-            o = order[at : at + batch]
-            o = o[np.argsort(-size[pick[o]], kind="stable")]
-            place, live = _stack(flat, np.arange(len(flat)), first[pick[o]], size[pick[o]])
-            used, where = np.unique(place, return_inverse=True)
-            own = parts.inputs(used, by_word, by_run)
-            heard = g.random(len(used)) < 0.5
-            own[~heard, :WORD_DIM] = 0
-            x = own[where.reshape(place.shape)]
-            out, trace = forward(net, {d: x @ net[f"W{d}"] + net[f"c{d}"] for d in "fb"}, live, keep=True)
-            grad, dx = backward(net, x, trace, ((_sigmoid(out) - target[o]) * weight[o] / len(o)).astype(np.float32))
-            norm = math.sqrt(sum(float((v * v).sum()) for v in grad.values()))
-            adam.step(net, {k: v * min(1.0, 1.0 / (norm + 1e-9)) for k, v in grad.items()}, pace)
-            d_own = np.zeros_like(own)
-            np.add.at(d_own, where.ravel(), dx.reshape(-1, INPUTS))
-            words_.step(parts.own[used[heard]], d_own[heard, :WORD_DIM], 5 * pace, 1e-5)
-            owner, run = parts.runs_of(used)
-            runs_.step(run, d_own[owner, WORD_DIM : WORD_DIM + CHAR_DIM], 5 * pace, 1e-5)
-    model = Model(net, word_at, run_at, by_word, by_run)
-    raw = _highest(net, parts.projected(net, by_word, by_run), flat, lengths)[0]
-    fitted = aside if aside.any() and y[aside].any() else ~aside
-    model.scale = _scale(raw[fitted], y[fitted].astype(np.float64))
-    return model
-
-
-def _scale(raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """a, b of the logistic of a * raw + b, by Newton steps with a small prior for a = 1, b = 0."""
-    a, b = 1.0, 0.0
-    for _ in range(50):
-        p = _sigmoid(np.clip(a * raw + b, -30, 30))
-        w = np.maximum(p * (1 - p), 1e-9)
-        grad = np.array([((p - y) * raw).sum() + (a - 1), (p - y).sum() + 0.1 * b])
-        hess = np.array([[(w * raw * raw).sum() + 1, (w * raw).sum()], [(w * raw).sum(), w.sum() + 0.1]])
-        d = np.clip(np.linalg.solve(hess, grad), -1, 1)
-        a, b = max(a - d[0], 0.05), b - d[1]
-        if np.abs(d).max() < 1e-6:
-            break
-    return float(a), float(b)
-
-
-def held_out(doc_id: str = "doc_id"):
-    """Rows whose labels are never learned from."""
-    return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(4)) == 2
-
-
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """Fit on at most `sample` labelled rows, taken in the order of a hash of their id; held-out rows are left aside.
-
-    Rows with a null id, text or label are left out; of labels that disagree the higher counts. Fewer rows than `sample` are
-    all used.
-    """
-    rows = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).filter("_id is not null and _y in (0, 1)").filter(~held_out("_id"))
-    few = rows.groupBy("_id").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(sample)
-    texts = docs.select(F.col(id_col).alias("_d"), F.col(text_col).alias("_text")).filter("_text is not null")
-    got = texts.join(F.broadcast(few), F.col("_d") == F.col("_id")).groupBy("_id").agg(F.min(F.struct("_text", "_y")).alias("r"))  # at most `sample` rows
-    table = got.select("_id", "r._text", "r._y").toArrow().sort_by("_id")
+    stored = materialize(got.select("_id", "r._text", "r._y"), "toxic-sample")
+    sizes = stored.select("_id", F.octet_length("_text").cast("long").alias("_b")).filter(F.col("_b") <= sample_bytes // 16)
+    sizes = sizes.withColumn("_all", F.sum("_b").over(Window.orderBy(F.xxhash64("_id"), "_id")))  # numbers of `sample` rows, no texts
+    table = stored.join(F.broadcast(sizes.filter(F.col("_all") <= sample_bytes).select("_id")), "_id").toArrow().sort_by("_id")
+    discard(stored)
     return fit(table.column("_text").to_pylist(), table.column("_y").to_pylist())
 
 

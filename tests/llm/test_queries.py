@@ -200,7 +200,7 @@ def test_op8(spark):
     assert sum(y == p for y, p in held) / len(held) >= 0.93
     caught, toxic = sum(y == p == 1 for y, p in held), sum(y for y, _ in held)
     assert caught / toxic >= 0.7 and caught / max(1, sum(p for _, p in held)) >= 0.7
-    assert not any(r["held_out"] for r in odd(spark).filter("doc_id is null").select(toxicity.held_out().alias("held_out")).collect())
+    assert all(r["held_out"] is False for r in odd(spark).filter("doc_id is null").select(toxicity.held_out().alias("held_out")).collect())
     model = toxicity.fit(["you idiot", "a fine day", "such an idiot he is", "what a fine day it is"] * 3, [1, 0, 1, 0] * 3, epochs=2)
     scored = toxicity.score(odd(spark), model)
     assert scored.count() == 12 and scored.filter("doc_id = 2").first()["score"] == 0.0
@@ -208,6 +208,22 @@ def test_op8(spark):
     assert toxicity.fit([], []).score(["x y", ""]).tolist()[1] == 0.0
 
 
+def test_op8_sample(spark, monkeypatch):
+    """The fit sees labelled rows in the order of their hash up to both bounds, no held-out row, and no single text that would fill the sample."""
+    data = [(i, "w " * (1 + i % 45)) for i in range(60)] + [(60, "x" * 10_000), (61, None), (None, "no id")]
+    docs, labels = spark.createDataFrame(data, "doc_id long, text string"), spark.createDataFrame([(i, 0) for i, _ in data], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels: texts)
+    order = [r[0] for r in docs.filter("doc_id is not null").orderBy(F.xxhash64("doc_id")).select("doc_id").collect()]
+    for sample, most in ((1000, 1 << 20), (1000, 1600), (20, 1 << 20)):
+        want, total = [], 0
+        for i in [i for i in order if zlib.crc32(str(i).encode()) % 4 != 2][:sample]:
+            text = dict(data)[i]
+            if text is not None and len(text) <= most // 16:
+                total += len(text)
+                want += [text] if total <= most else []
+        assert want and sorted(toxicity.train(docs, labels, sample, most)) == sorted(want)
+
+
 def brute_classes(data, threshold=0.8):
     sets = {i: frozenset(ngram_join.shingles(t or "").tolist()) for i, t in data}
     ids = [i for i in sets if sets[i]]
