@@ -132,14 +132,13 @@ def seconds_of(spark, sf):
     return timeline(spark, sf).select("idx", C.to_seconds(F.translate(F.substring(srt, 1, 11), ",", ".")).alias("dots"), C.to_seconds(F.translate(srt, ":", "-")).alias("dashes"), C.to_seconds(F.concat(srt, F.lit("x"))).alias("nothing"))
 
 
-@query("""SELECT doc_id, md5(regexp_replace(regexp_replace(text, '\\bthe (\\w+)', '\\1 THE', 'g'), 'and', '&', 'g')) AS digest, md5(translate(text, 'abc', 'xyz')) AS simple,
-  array_to_string(list_sort(list_distinct(regexp_extract_all(lower(substr(text, 1, 300)), '[^mnlbspcMNLBSPC0-9.\\-\\s]'))), '') AS bad FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\x7F]')""")
+@query("""SELECT doc_id, md5(regexp_replace(regexp_replace(text, '(^|[^A-Za-z0-9_])the ([A-Za-z0-9_]+)', '\\1\\2 THE', 'g'), 'and', '&', 'g')) AS digest, md5(translate(text, 'abc', 'xyz')) AS simple,
+  array_to_string(list_sort(list_distinct(regexp_extract_all(text, '[^mnlbspcMNLBSPC0-9.\\-\\s]'))), '') AS bad FROM documents""")
 def patterns_and_drawings(spark, sf):
-    d = table(spark, sf, "documents").filter(~F.col("text").rlike("[^\\x00-\\x7F]"))
-    simple = styled.simplified(d.withColumn("_t", F.col("text")), "abc", "xyz").select("doc_id", F.md5("text").alias("simple"))
-    rules = [("\\bthe (\\w+)", "$1 THE"), ("and", "&")]
-    out = d.select("doc_id", F.md5(T.replace_patterns(F.col("text"), rules)).alias("digest"), F.array_join(F.array_sort(T.bad_drawing_chars(F.lower(F.substring("text", 1, 300)))), "").alias("bad"))
-    return out.join(simple, "doc_id")
+    d = table(spark, sf, "documents")
+    rules = [("(^|[^A-Za-z0-9_])the ([A-Za-z0-9_]+)", "$1$2 THE"), ("and", "&")]
+    d = d.select("doc_id", T.replace_patterns(F.col("text"), rules).alias("replaced"), T.bad_drawing_chars(F.col("text")).alias("bad"), "text")
+    return styled.simplified(d, "abc", "xyz").select("doc_id", F.md5("replaced").alias("digest"), F.md5("text").alias("simple"), F.array_join(F.array_sort("bad"), "").alias("bad"))
 
 
 # time lines
