@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -70,6 +71,13 @@ def discard(*stored: DataFrame) -> None:
                 path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of a finished job once nothing holds its plan any more; have both collectors look now, so
+    that the files of earlier steps do not lie beside those of later ones."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def added(df: DataFrame, ddl: str) -> StructType:
     """The schema of df with more fields."""
     return StructType(df.schema.fields + StructType.fromDDL(ddl).fields)

@@ -80,6 +80,12 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digest(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cueweave.llm.repeats import digest, remove_repeats
+
+    return digest(remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_token_store": op2_token_store,
@@ -91,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_ngram_join": op9_ngram_join,
     "op10_pieces": op10_pieces,
+    "op11_repeats": op11_repeats,
 }
 
 ORACLE: dict[str, str] = {"op6_line_dedup": line_dedup.SQL}
