@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cueweave.llm import line_dedup
+from cueweave.llm import importance, line_dedup, repeats, vector_codes
 from cueweave.llm.common import table
 
 
@@ -86,6 +86,18 @@ def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cueweave.llm.vector_codes import code_digest, compress
+
+    return code_digest(*compress(table(spark, sf_dir, "embeddings")))
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cueweave.llm.importance import resample
+
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_token_store": op2_token_store,
@@ -98,6 +110,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_join": op9_ngram_join,
     "op10_pieces": op10_pieces,
     "op11_repeats": op11_repeats,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_importance": op13_importance,
 }
 
-ORACLE: dict[str, str] = {"op6_line_dedup": line_dedup.SQL}
+ORACLE: dict[str, str] = {"op6_line_dedup": line_dedup.SQL, "op11_repeats": repeats.SQL, "op12_vector_codes": vector_codes.SQL, "op13_importance": importance.SQL}

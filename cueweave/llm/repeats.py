@@ -280,3 +280,19 @@ def digest(removed: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of what remove_repeats returns."""
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]).cast("long"))
     return removed.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: The same rows in DuckDB, for tables whose ids are unique. Bytes are pairs of hexadecimal digits, cut into pieces of 1,000 windows.
+SQL = """
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+c AS (SELECT doc_id, c, substr(x, CAST(2000 * c + 1 AS BIGINT), 2198) AS x FROM (SELECT doc_id, x, unnest(range(0, (len(x) // 2 + 999) // 1000)) AS c FROM t)),
+w AS (SELECT doc_id, 1000 * c + p AS p, md5(substr(x, CAST(2 * p + 1 AS BIGINT), 200)) AS k FROM (SELECT doc_id, c, x, unnest(range(0, least(1000, len(x) // 2 - 99))) AS p FROM c)),
+o AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS rn FROM w) WHERE rn > 1),
+g AS (SELECT doc_id, p, sum(CASE WHEN p - before <= 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS g FROM (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM o)),
+s AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS z FROM g GROUP BY doc_id, g),
+l AS (SELECT doc_id, list(a ORDER BY a) AS a, list(z ORDER BY a) AS z, CAST(sum(z - a) AS BIGINT) AS gone FROM s GROUP BY doc_id)
+SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, coalesce(gone, 0) AS n_removed, CAST(coalesce(len(a), 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN a IS NULL THEN x ELSE array_to_string(list_transform(range(0, len(a) + 1), lambda i: substr(x, CAST(2 * (CASE WHEN i = 0 THEN 0 ELSE z[i] END) + 1 AS BIGINT),
+           CAST(2 * ((CASE WHEN i = len(a) THEN len(x) // 2 ELSE a[i + 1] END) - (CASE WHEN i = 0 THEN 0 ELSE z[i] END)) AS BIGINT))), '') END)) AS kept_sha256
+FROM t LEFT JOIN l USING (doc_id)
+"""
