@@ -131,10 +131,10 @@ def _anchored(texts: DataFrame, min_bytes: int) -> DataFrame:
     return texts.mapInArrow(work, schema)
 
 
-def _first(rows: DataFrame, keys: list[str], at: str) -> DataFrame:
-    """The least place of each group: f_none, f_id, f_th, f_at."""
-    least = rows.groupBy(*keys).agg(F.min(F.struct(*_PLACE, F.col(at).alias("_at"))).alias("_f"))
-    return least.select(*keys, *[F.col("_f").getField(c).alias("f" + c) for c in (*_PLACE, "_at")])
+def _first(rows: DataFrame, keys: list[str], at: str, *more: str) -> DataFrame:
+    """The least place of each group: f_none, f_id, f_th, f_at, and more columns of the row there."""
+    least = rows.groupBy(*keys).agg(F.min(F.struct(*_PLACE, F.col(at).alias("_at"), *more)).alias("_f"))
+    return least.select(*keys, *[F.col("_f").getField(c).alias("f" + c) for c in (*_PLACE, "_at")], *[F.col("_f").getField(c).alias(c) for c in more])
 
 
 def _is_first(at: str) -> Column:
@@ -201,20 +201,17 @@ def repeated_windows(texts: DataFrame, min_bytes: int = 100) -> DataFrame:
     live = materialize(anchors.join(often.hint("merge"), "h").withColumn("_none", F.col("_id").isNull()), "repeats-live")
     release(spark)
     keys = ["h", "f1", "f2"]
-    firsts = _first(live, keys, "a")
-    joined = live.join(firsts, keys)
+    firsts = materialize(_first(live, keys, "a", "n", "s"), "repeats-firsts")
+    joined = live.select("_id", "_th", "a", F.col("n").alias("windows"), "times", *keys).join(firsts.drop("n", "s"), keys)
     # of the first occurrence of a class all but the first of equal neighbours repeat; of the later ones all
-    marks = joined.select(*_PLACE, (F.col("a") + F.when(_is_first("a"), 1).otherwise(0)).alias("lo"), F.expr("a + n + times - 2").alias("hi"), (_is_first("a") & (F.col("times") == 1)).alias("kept")).filter("not kept")
-    coarse = materialize(marks.select("_id", "_th", "lo", "hi"), "repeats-coarse")
-    reps = _open(firsts, ["h"]).select(*keys, *[F.col("f" + c).alias(c) for c in (*_PLACE, "_at")])
-    reps = materialize(live.alias("l").join(reps.alias("r"), (F.col("l.h") == F.col("r.h")) & (F.col("l.f1") == F.col("r.f1")) & (F.col("l.f2") == F.col("r.f2")) & F.col("l._id").eqNullSafe(F.col("r._id")) & (F.col("l._th") == F.col("r._th")) & (F.col("l.a") == F.col("r._at"))).select("l._id", "l._th", "l.a", "l.n", "l.s"), "repeats-open")
-    discard(live)
+    marks = joined.select("_id", "_th", (F.col("a") + F.when(_is_first("a"), 1).otherwise(0)).alias("lo"), F.expr("a + windows + times - 2").alias("hi"), (_is_first("a") & (F.col("times") == 1)).alias("kept")).filter("not kept")
+    coarse = materialize(marks.drop("kept"), "repeats-coarse")
+    reps = _open(firsts, ["h"]).select(F.col("f_id").alias("_id"), F.col("f_th").alias("_th"), F.col("f_at").alias("a"), "n", "s")
+    blocks = materialize(_blocks(texts, reps, min_bytes), "repeats-blocks")
+    discard(live, firsts)
     release(spark)
 
     two = lambda x, p, q: [F.xxhash64(F.lit(k), F.col("j"), x).alias(c) for k, c in ((1, p), (2, q))]
-    blocks = materialize(_blocks(texts, reps, min_bytes), "repeats-blocks")
-    discard(reps)
-    release(spark)
     common = F.expr(f"substring(bytes, core + 1, {min_bytes - BLOCK + 1})")
     hashed = blocks.select("_id", "_th", F.col("_id").isNull().alias("_none"), "lo", "hi", *two(common, "c1", "c2"), *two(F.concat(F.col("core").cast("string").cast("binary"), F.lit(b":"), "bytes"), "g1", "g2"))
     keys = ["c1", "c2", "g1", "g2"]
@@ -222,6 +219,7 @@ def repeated_windows(texts: DataFrame, min_bytes: int = 100) -> DataFrame:
     fine = materialize(hashed.join(firsts, keys).filter(~_is_first("lo")).select("_id", "_th", "lo", "hi"), "repeats-fine")
     left = _open(firsts, ["c1", "c2"]).select(F.col("f_none").alias("_none"), F.col("f_id").alias("_id"), F.col("f_th").alias("_th"), F.col("f_at").alias("lo"))
     left = blocks.alias("b").join(left.alias("o"), F.col("b._id").eqNullSafe(F.col("o._id")) & (F.col("b._th") == F.col("o._th")) & (F.col("b.lo") == F.col("o.lo"))).select("o._none", "b._id", "b._th", "b.lo", "b.hi", "b.bytes")
+    left = left.dropDuplicates(["_id", "_th", "lo"])  # of rows that repeat id and text
     numbered = materialize(with_prefix(left.withColumn("_one", F.lit(1).cast("long")), [*_PLACE, "lo"], "_one", "no", "repeats-order").drop("_one", "_total"), "repeats-numbered")
     discard(blocks, firsts)
     release(spark)
