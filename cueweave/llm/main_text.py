@@ -1,22 +1,26 @@
 """Main text of web pages by minimum-cut labelling of their blocks.
 
-A page is cut into blocks of text at block-level tags. A classifier turns what is known of a block alone (its words, links,
-ending and tag) into costs: a block that looks like content has a capacity from the source, another one a capacity to the
-sink. Elements are nodes too: what an element is called (nav, article, class="sidebar") is a capacity of its own, as large
-as the blocks in it are many. Smoothness edges join each node with the element around it, in proportion to its blocks, and
-neighbours on the page by their distance in the document tree. Ties below an element that is called something hold more
-than a block's own costs can, so a long comment goes with its comment section and a short line with its article; ties of
-nameless elements are weak. The maximum flow through this graph separates content (still reached from the source) from
-boilerplate at the least total cost.
+A page is cut into blocks of text at block-level tags. A classifier turns what is known of a block (its words, links, ending,
+tag, and what the elements around it are called) into costs: a block that looks like content has a capacity from the source,
+another one a capacity to the sink. Neighbours on the page are tied by their distance in the document tree, and the blocks of an
+element through a node of its own, less and less towards the root. The maximum flow through this graph separates content
+(still reached from the source) from boilerplate at the least total cost, so a heading or a short line goes with the text that
+stands beside it, and a lone line between two containers with neither.
+
+The text classifier is a logistic regression (`fit`) over a bounded sample of pages that have an article or main element, each
+taken twice: as it is, and without any names. Names are bounded: an element called `sidebar` can outweigh a dozen blocks of
+prose but not an article, while elements that HTML itself makes boilerplate, and reader comments, always count in full.
 """
 
 from __future__ import annotations
 
 import html
+import math
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,21 +37,29 @@ CLOSES_P = frozenset("address article aside blockquote details div dl fieldset f
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 FENCES = frozenset("table td th ul ol dl div section article aside nav main header footer form body html".split())
 
-# the classifier: log-odds that a block is content, from the block alone and from the names of elements
-BASE, PER_WORD, MOST_WORDS, SENTENCE, LINKS = -0.5, 0.07, 40, 0.8, -4.0
-TAG = {"p": 0.7, "blockquote": 0.5, "pre": 0.5, "h1": 0.5, "h2": 0.5, "h3": 0.5, "h4": 0.3, "h5": 0.3, "h6": 0.3, "li": -0.5, "td": -0.3, "th": -0.3, "dt": -0.3, "button": -8.0, "label": -4.0, "legend": -4.0}
-ELEMENT = {"article": 2.5, "main": 2.5, "nav": -8.0, "aside": -8.0, "footer": -8.0, "form": -8.0, "menu": -8.0, "dialog": -8.0, "fieldset": -8.0, "button": -8.0}
-ROLE = {"main": 2.5, "article": 2.5, "navigation": -8.0, "banner": -8.0, "contentinfo": -8.0, "complementary": -8.0, "search": -8.0, "dialog": -8.0, "alert": -8.0, "alertdialog": -8.0, "menu": -8.0, "menubar": -8.0, "form": -8.0, "toolbar": -8.0}
-HEADER, GOOD_NAME, BAD_NAME, HIDDEN, MOST = -8.0, 1.5, -8.0, -8.0, 10.0
-# smoothness: of page neighbours, and for each block below an element that is (in) a named one, or in none; UNIT whole units a log-odds.
-# NAMED is more than the 3.8 that a block's own words can count for content, and less than the cost of a list of bare links.
-NEXT, NAMED, NAMELESS, UNIT = 1.0, 4.0, 1.0, 1000
+# fixed values: HTML's and ARIA's own words for what is (True) and is not the main text
+ELEMENT = {"article": True, "main": True, "nav": False, "aside": False, "footer": False, "form": False, "menu": False, "dialog": False, "fieldset": False, "button": False, "label": False, "legend": False}
+ROLE = {"main": True, "article": True} | dict.fromkeys("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form toolbar".split(), False)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
+#: log-odds for names of elements, at most MOST_CUE of it for all blocks of one element that is only called so by its author
+GOOD_CUE, BAD_CUE, MOST_CUE, FARTHER = 1.5, -7.0, 84.0, 0.25
+#: smoothness: of page neighbours at distance 1, of blocks below one element, and what is left of that a level further up
+NEXT, TIE, UPWARDS, UNIT = 0.6, 0.8, 0.25, 1000
+MOST = 4.0  # of a block's own log-odds
+
+# a name says what an element is if all its parts do: "related-work" or "share-price" do not
+_COMMENTS = re.compile(r"^(?:comments?|commentlist|repl(?:y|ies)|respond|disqus|discussion)$")
 _BAD = re.compile(
-    r"^(?:ads?|adv|adbox|adslot|adsense|adunit|advert\w*|sponsor\w*|promo\w*|banner\w*|cookie\w*|consent\w*|gdpr|notice\w*|notification\w*|alert\w*|popup\w*|modal\w*|overlay|newsletter\w*|subscri\w+|signup|signin|login|register"
-    r"|nav|navbar|navigation|menu\w*|breadcrumb\w*|sidebar\w*|aside|footer\w*|copyright|share|sharing|social\w*|related|recommend\w*|comment\w*|repl(?:y|ies)|respond|disqus|discussion|pagination|pager|toolbar|widget\w*|search\w*|form|masthead|topbar|legal|disclaimer|outbrain|taboola|skip|teaser\w*|tagcloud)$"
+    r"^(?:ads?|adv|adbox|adslot|adsense|adunit|advert\w*|sponsor\w*|promo\w*|banners?|cookies?|consent|gdpr|notices?|notification\w*|alerts?|popups?|modal|overlay|newsletters?|subscri\w+|signup|signin|login|register"
+    r"|nav|navbar|navigation|menus?|breadcrumbs?|sidebar\w*|aside|footer|copyright|share|sharing|social|related|recommend\w*|comments?|commentlist|repl(?:y|ies)|respond|disqus|discussion|pagination|pager|toolbar|widgets?|search|form|masthead|topbar|legal|disclaimer|outbrain|taboola|skip|teasers?|tagcloud)$"
+)
+_BESIDE = frozenset(
+    "site page main top bottom left right list lists item items link links box boxes container wrapper wrap inner outer section block area bar button buttons btn icons group row col column panel holder content header title text body post posts entry article articles "
+    "new js mobile desktop sticky fixed float primary secondary global local input field email thread count meta feed slot unit frame zone region module component card cards more all popular latest recent user reader media policy sub mega drop down".split()
 )
-_GOOD = re.compile(r"^(?:article\w*|content|main\w*|post\w*|entry|story|body|text|prose)$")
+_GOOD = re.compile(r"^(?:article|articles|content|main|post|entry|story|body|text|prose)$")
+_RIGHTS = re.compile(r"©|\(c\) ?\d{4}|copyright|all rights reserved", re.I)
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 _ATTR = re.compile(r"(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
@@ -56,56 +68,79 @@ _ends = {t: re.compile(f"</{t}", re.I) for t in RAW}
 
 
 class Element:
-    """An element: its place in the list of elements, its parent's, what its names tell, and whether it is in a named one."""
+    """An element: its place in the list of elements, its parent's, whether it is in an article, and what it is called: content,
+    boilerplate or nothing (None), on HTML's authority (firm) or its author's."""
 
-    __slots__ = ("at", "tag", "up", "cue", "inside", "named")
+    __slots__ = ("at", "tag", "up", "inside", "called", "firm")
 
-    def __init__(self, at: int, tag: str, up: int, cue: float, inside: bool, named: bool):
-        self.at, self.tag, self.up, self.cue, self.inside, self.named = at, tag, up, cue, inside, named
+    def __init__(self, at: int, tag: str, up: int, inside: bool, called: bool | None, firm: bool):
+        self.at, self.tag, self.up, self.inside, self.called, self.firm = at, tag, up, inside, called, firm
 
 
 class Block:
-    """A text block: its own log-odds, its element, and its distance in the tree from the block before it."""
+    """A text block: its features, its element, and its distance in the tree from the block before it."""
+
+    __slots__ = ("text", "features", "home", "far")
+
+    def __init__(self, text: str, features: tuple[float, ...], home: int, far: int):
+        self.text, self.features, self.home, self.far = text, features, home, far
 
-    __slots__ = ("text", "odds", "home", "far")
 
-    def __init__(self, text: str, odds: float, home: int, far: int):
-        self.text, self.odds, self.home, self.far = text, odds, home, far
+def _called(names: str, inside: bool) -> tuple[bool | None, bool]:
+    """What a class or an id says, and whether it speaks of comments."""
+    good = False
+    for name in names.split():
+        parts = [x.lower() for x in _NAME.findall(name) if not x.isdigit()]
+        bad = [x for x in parts if _BAD.match(x)]
+        if bad and all(x in _BESIDE or x in bad or x == "header" for x in parts):
+            return False, any(map(_COMMENTS.match, bad))
+        if parts == ["header"] and not inside:
+            return False, False
+        good |= bool(parts) and any(map(_GOOD.match, parts)) and all(x in _BESIDE or _GOOD.match(x) for x in parts)
+    return (True if good else None), False
 
 
-def _cue(tag: str, attrs: str, inside: bool) -> float:
-    """What an element's tag, role and names add to the log-odds of the blocks in it."""
-    cue = ELEMENT.get(tag, 0.0)
+def _cue(tag: str, attrs: str, inside: bool) -> tuple[bool | None, bool]:
+    """(called, firm) of an element. An id on a heading or within an article is an anchor, unless it speaks of comments."""
+    called, firm = ELEMENT.get(tag), tag in ELEMENT
     if tag == "header" and not inside:
-        cue += HEADER
+        called, firm = False, True
     if not attrs or tag in ("html", "body"):
-        return cue
-    names: list[str] = []
+        return called, firm
+    by_author: list[tuple[bool | None, bool]] = []
     for m in _ATTR.finditer(attrs):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if key == "role":
-            cue += ROLE.get(value.strip().lower(), 0.0)
-        elif key == "style":
-            if "display:none" in value.replace(" ", "").lower():
-                cue += HIDDEN
-        elif key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            cue += HIDDEN
-        elif key != "aria-hidden":
-            names += [x.lower() for x in _NAME.findall(value)]
-    good = any(map(_GOOD.match, names))
-    if any(map(_BAD.match, names)):
-        cue += BAD_NAME
-    elif "header" in names and not good and not inside:
-        cue += HEADER
-    elif good:
-        cue += GOOD_NAME
-    return cue
+        if key == "role" and called is not False:
+            called = ROLE.get(value.strip().lower(), called)
+            firm = called is not None
+        elif key == "style" and "display:none" in value.replace(" ", "").lower() or key == "hidden" or key == "aria-hidden" and value.lower() == "true":
+            return False, True
+        elif key == "class" or key == "id" and tag not in HEADINGS:
+            said = _called(value, inside)
+            if key == "class" or not inside or said[1]:
+                by_author.append(said)
+    if called is False:
+        return called, firm
+    for said in by_author:
+        if said[0] is False:
+            return said
+    return (called, firm) if called is not None else ((True, False) if any(x for x, _ in by_author) else (None, False))
+
+
+#: features of a block, and the log-odds of each that stand where no sample says more
+FEATURES = ("one", "words", "links", "sentence", "rights", "heading", "paragraph", "item", "company")
+PRIOR = (-3.2, 0.75, -5.0, 0.6, -3.0, 0.8, 0.7, -0.7, 0.5)
+
+
+def _features(text: str, tag: str, links: float) -> tuple[float, ...]:
+    words = text.count(" ") + 1
+    return (1.0, min(math.log2(1 + words), 6.0), links, float(text.endswith(_END)), float(bool(_RIGHTS.search(text))), float(tag in HEADINGS), float(tag in ("p", "blockquote", "pre")), float(tag in ("li", "td", "th", "dt", "dd")))
 
 
 def blocks(page: str) -> tuple[list[Block], list[Element]]:
     """The text blocks in page order, and all elements, each after its parent; element 0 is the page."""
     out: list[Block] = []
-    elements = [Element(0, "", 0, 0.0, False, False)]
+    elements = [Element(0, "", 0, False, None, False)]
     stack = [elements[0]]
     open_tags: dict[str, int] = {}
     text: list[str] = []
@@ -118,19 +153,15 @@ def blocks(page: str) -> tuple[list[Block], list[Element]]:
         if text:
             whole = " ".join(html.unescape("".join(text)).split())
             if whole:
-                words = whole.count(" ") + 1
-                odds = BASE + PER_WORD * min(words, MOST_WORDS) + LINKS * min(1.0, links / len(whole)) + TAG.get(home.tag, 0.0)
-                if whole.endswith(_END):
-                    odds += SENTENCE
                 far = last + depth - 2 * min(low, depth)
-                out.append(Block(whole, max(-MOST, min(MOST, odds)), home.at, far))
+                out.append(Block(whole, _features(whole, home.tag, min(1.0, links / len(whole))), home.at, far))
                 low = last = depth
             text.clear()
         links = 0
 
-    def push(tag: str, cue: float, inside: bool) -> None:
+    def push(tag: str, cue: tuple[bool | None, bool], inside: bool) -> None:
         up = stack[-1]
-        e = Element(len(elements), tag, up.at, max(-MOST, min(MOST, cue)), up.inside or inside, up.named or cue != 0)
+        e = Element(len(elements), tag, up.at, up.inside or inside, *cue)
         elements.append(e)
         stack.append(e)
         open_tags[tag] = open_tags.get(tag, 0) + 1
@@ -166,7 +197,7 @@ def blocks(page: str) -> tuple[list[Block], list[Element]]:
                 in_link = 0 if close else 1
             if not close and tag not in VOID and attrs and ("class" in attrs or "id" in attrs or "hidden" in attrs or "style" in attrs):
                 cue = _cue(tag, attrs, stack[-1].inside)
-                if cue < 0:  # an inline advert or hidden text is a block of its own
+                if cue[0] is False:  # an inline advert or hidden text is a block of its own
                     flush()
                     push("*" + tag, cue, False)
             elif close and stack[-1].tag == "*" + tag:
@@ -210,29 +241,51 @@ def blocks(page: str) -> tuple[list[Block], list[Element]]:
         if not attrs.endswith("/"):
             push(tag, _cue(tag, attrs, stack[-1].inside), tag in ("article", "main"))
     flush()
+    # the company of a block: how many stand in its element, or if it has that alone, in the one around, below the page's body
+    alone = Counter(b.home for b in out)
+    around = [b.home if alone[b.home] > 1 else elements[b.home].up for b in out]
+    company = Counter(around)
+    for b, e in zip(out, around, strict=True):
+        b.features += (min(math.log2(company[e]), 1.6) if elements[e].tag not in ("", "html", "body") else 0.0,)
     return out, elements
 
 
-def graph(found: list[Block], elements: list[Element]) -> tuple[list[int], list[tuple[int, int, int]]]:
+def costs(found: list[Block], elements: list[Element], weights: tuple[float, ...] = PRIOR) -> list[float]:
+    """Log-odds that each block is content: its own, within MOST, and those of the names around it. The nearest name counts, those
+    further out a quarter each."""
+    inner = [0] * len(elements)
+    for b in found:
+        inner[b.home] += 1
+    for e in reversed(elements[1:]):
+        inner[e.up] += inner[e.at]
+    cue, near = [0.0] * len(elements), [0.0] * len(elements)
+    for e in elements[1:]:
+        own = 0.0 if e.called is None else GOOD_CUE if e.called else BAD_CUE if e.firm else max(BAD_CUE, -MOST_CUE / max(1, inner[e.at]))
+        near[e.at] = near[e.up] if e.called is None else own
+        cue[e.at] = cue[e.up] if e.called is None else own + FARTHER * near[e.up]
+    own = [sum(w * x for w, x in zip(weights, b.features, strict=True)) for b in found]
+    return [max(-MOST, min(MOST, x)) + cue[b.home] for x, b in zip(own, found, strict=True)]
+
+
+def graph(found: list[Block], elements: list[Element], weights: tuple[float, ...] = PRIOR) -> tuple[list[int], list[tuple[int, int, int]]]:
     """Terminal capacities of all nodes, blocks first, and smoothness edges (i, j, capacity).
 
-    An element without a name and with one node in it stands for that node; the page, html and body tie nothing together.
+    An element with one node in it stands for that node; the page, html and body tie nothing together.
     """
-    odds = [round(UNIT * b.odds) for b in found]
+    odds = [round(UNIT * x) for x in costs(found, elements, weights)]
     links = [(j - 1, j, round(UNIT * NEXT / max(1, b.far))) for j, b in enumerate(found) if j]
-    inner: list[list[tuple[int, int]]] = [[] for _ in elements]  # (node, blocks in it)
+    inner: list[list[tuple[int, int, int]]] = [[] for _ in elements]  # (node, blocks in it, levels of ties below)
     for j, b in enumerate(found):
-        inner[b.home].append((j, 1))
+        inner[b.home].append((j, 1, 0))
     for e in reversed(elements):
         nodes = inner[e.at]
         if not nodes or e.at == 0 or e.tag in ("html", "body"):
             continue
-        if e.cue or len(nodes) > 1:
-            n = sum(k for _, k in nodes)
-            tie = NAMED if e.named else NAMELESS
-            links += [(i, len(odds), round(UNIT * tie * k)) for i, k in nodes]
-            nodes = [(len(odds), n)]
-            odds.append(round(UNIT * e.cue * n))
+        if len(nodes) > 1:
+            high = max(level for _, _, level in nodes)
+            links += [(i, len(odds), max(1, round(UNIT * TIE * UPWARDS**high * k))) for i, k, _ in nodes]
+            nodes = [(len(odds), sum(k for _, k, _ in nodes), high + 1)]
+            odds.append(0)
         inner[e.up] += nodes
     return odds, links
 
@@ -334,28 +387,91 @@ def _max_flow(odds: list[int], near: list[list[tuple[int, int]]]) -> list[bool]:
                 turn[i] += 1
 
 
-def main_text(page: str | None) -> str:
+def main_text(page: str | None, weights: tuple[float, ...] = PRIOR) -> str:
     """The content blocks of a page, joined by newlines; empty if it has none."""
     found, elements = blocks(page) if page else ([], [])
     if not found:
         return ""
-    keep = minimum_cut(*graph(found, elements))
+    keep = minimum_cut(*graph(found, elements, weights))
     return "\n".join([b.text for b, k in zip(found, keep) if k])
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+_GIVEN_NAMES = re.compile(r"<(/?)(?!/?(?:a|b|br|i|em|strong|span|code|img|input|html|head|body|meta|link|title|style|script)\b)[a-zA-Z][\w-]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>")
+
+
+def nameless(page: str) -> str:
+    """The page with all its block-level elements called div, without attributes."""
+    return _GIVEN_NAMES.sub(lambda m: f"<{m[1]}div>", page)
+
+
+def examples(page: str) -> tuple[list[tuple[float, ...]], list[bool]]:
+    """Features and labels of the blocks of a page that has an article or main element: in it or not. Blocks in it that are below
+    boilerplate are no examples."""
+    found, elements = blocks(page)
+    if not any(e.inside for e in elements):
+        return [], []
+    state: list[bool | None] = [False] * len(elements)
+    for e in elements[1:]:
+        state[e.at] = (None if e.called is False or state[e.up] is None else True) if e.inside else False
+    some = [(b.features, state[b.home]) for b in found if state[b.home] is not None]
+    return [f for f, _ in some], [bool(y) for _, y in some]
+
+
+def fit_weights(pages: list[str], prior: tuple[float, ...] = PRIOR, hold: float = 10.0, steps: int = 30) -> tuple[float, ...]:
+    """Weights of the features by logistic regression over labelled pages and their nameless forms, held near prior as by `hold`
+    examples of each class. Every page has the same say, whatever its length. Without labelled pages: prior."""
+    x: list[tuple[float, ...]] = []
+    y: list[bool] = []
+    say: list[float] = []
+    for page in pages:
+        f, labels = examples(page)
+        bare = [b.features for b in blocks(nameless(page))[0]] if f else []
+        for features in (f, bare if len(bare) == len(labels) else []):
+            for kind in (True, False):
+                n = labels.count(kind)
+                say += [1.0 / n for label in labels[: len(features)] if label == kind]
+                x += [v for v, label in zip(features, labels, strict=False) if label == kind]
+                y += [kind] * (n if features else 0)
+    if not x:
+        return prior
+    a, b, s, start = np.array(x), np.array(y, float), np.array(say), np.array(prior)
+    w = start.copy()
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+        slope = a.T @ (s * (p - b)) + hold * (w - start)
+        bend = (a * (s * p * (1 - p))[:, None]).T @ a + hold * np.eye(len(w))
+        step = np.linalg.solve(bend, slope)
+        w -= step
+        if np.abs(step).max() < 1e-9:
+            break
+    return tuple(round(float(v), 6) for v in w)
+
+
+SAMPLE, SAMPLE_CHARS = 400, 1 << 16
+
+
+def fit(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE, most_chars: int = SAMPLE_CHARS) -> tuple[float, ...]:
+    """Weights from at most `sample` pages of at most `most_chars` characters each that name an article or main element, those of least hash."""
+    c = F.col(html_col)
+    some = pages.filter((F.length(c) <= most_chars) & c.rlike("(?i)<(?:article|main)\\b")).select(c.alias("h")).distinct()
+    return fit_weights([r["h"] for r in some.orderBy(F.xxhash64("h"), F.md5("h")).limit(sample).collect()])
+
+
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", weights: tuple[float, ...] | None = None) -> DataFrame:
     """page_id, url, text, n_chars of every page, from its whole html.
 
-    Null, empty and contentless pages have an empty text. Repeated rows stay repeated, null ids and urls stay null, other
-    columns are dropped, an empty table gives no row. Pages of any length and depth are read whole. Nothing is shuffled.
+    weights are those of the classifier, by default fitted to the pages. Null, empty and contentless pages have an empty text.
+    Repeated rows stay repeated, null ids and urls stay null, other columns are dropped, an empty table gives no row. Pages of
+    any length and depth are read whole. Nothing is shuffled but the sample.
     """
     small_batches(pages.sparkSession)
+    weights = fit(pages, html_col) if weights is None else weights
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("_html"))
     schema = added(rows.drop("_html"), "text string, n_chars long")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches, 128):
-            texts = [main_text(h) for h in b.column(2).to_pylist()]
+            texts = [main_text(h, weights) for h in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return rows.mapInArrow(work, schema)

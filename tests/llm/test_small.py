@@ -102,7 +102,7 @@ def test_page_depth_and_cut():
     page = f"<article><p>{words}</p><div>Short</div><section id=comments><p>{words}</p><p>{words}</p></section></article><nav><p>{words}</p></nav>"
     found, elements = main_text.blocks(page)
     keep = main_text.minimum_cut(*main_text.graph(found, elements))
-    assert [b.odds > 0 for b in found] == [True, False, True, True, True]  # each block by itself
+    assert [sum(w * x for w, x in zip(main_text.PRIOR, b.features, strict=True)) > 0 for b in found] == [True, False, True, True, True]  # each block by itself
     assert keep[: len(found)] == [True, True, False, False, False]  # what the cut makes of them
     long = "<article>" + f"<p>{words}</p>" * 5000 + "</article><ul>" + "<li><a href=x>link</a>" * 5000 + "</ul>"
     assert main_text.main_text(long) == "\n".join([words] * 5000)
