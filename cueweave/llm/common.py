@@ -73,9 +73,11 @@ def discard(*stored: DataFrame) -> None:
 
 def release(spark: SparkSession) -> None:
     """Spark deletes the shuffle files of a finished job once nothing holds its plan any more; have both collectors look now, so
-    that the files of earlier steps do not lie beside those of later ones."""
-    gc.collect()
-    spark._jvm.System.gc()
+    that the files of earlier steps do not lie beside those of later ones. What Python lets go reaches the JVM a step later,
+    so they look twice."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
 
 
 def added(df: DataFrame, ddl: str) -> StructType:

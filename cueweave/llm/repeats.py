@@ -163,7 +163,7 @@ def _ranked(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     """rows (w, i, keys) with the rank of their keys in sorted order in place of these. Windows with keys that occur once leave."""
     counted = rows.groupBy(*keys).agg(F.count("*").alias("_c")).filter("_c > 1")
     ranks = with_prefix(counted.withColumn("_one", F.lit(1).cast("long")), keys, "_one", "rank", f"{name}-ranks").select(*keys, "rank")
-    return rows.join(ranks, keys).select("w", "i", "rank")
+    return rows.join(ranks.hint("merge"), keys).select("w", "i", "rank")
 
 
 def _paired(ranked: DataFrame, parts: int) -> DataFrame:
