@@ -100,22 +100,6 @@ def in_name_context(c: Column, token: Column, lang: str = "ja") -> Column:
     return name_context(c, token, lang).isNotNull()
 
 
-def candidate_verdict(term: Column, n_eps: Column, known_name: Column, common: Column, lang: str = "ja") -> Column:
-    """ACCEPT, REJECT or NEEDS_AI: common words and single characters go, known names and shapes seen in many episodes stay."""
-    long_enough = F.length(term) >= (3 if lang == "en" else 2)
-    return F.when(~long_enough | common, "REJECT").when(known_name, "ACCEPT").when(~text.is_name_shape(term, lang), "REJECT").when(n_eps >= 3, "ACCEPT").otherwise("NEEDS_AI")
-
-
-def glossary_reject_reason(term: Column, common: Column, lang: str = "ja") -> Column:
-    """Why a glossary entry is no name, null if nothing speaks against it."""
-    # fixed values: endings and parts of words that are no names
-    endings, times, people = "[てでたいるすくうむぶつ]$", "^[0-9０-９一二三四五六七八九十百千万何]+|[年月日時分秒]$", "^(?:私|僕|俺|君|彼|彼女|あなた|我々|我们|你们|他们)"
-    return (
-        F.when(common, "dictionary").when(F.length(term) < 2, "fragment").when(term.rlike("^ー|ッ$"), "fragment").when(term.rlike("^(.{1,3})\\1+$"), "sound")
-        .when(term.rlike(endings), "verb ending").when(term.rlike(times), "time or number").when(term.rlike(people), "pronoun")
-    )
-
-
 def _folded(items: Column, empty: Column, at: Column, step) -> Column:
     """Array of what `step` keeps, in order: step(at, item) gives (keep, out, next at); empty is an empty array of outs.
     What is kept fills chunks that are joined at the end, so that a long array is not copied for each item."""
@@ -192,12 +176,6 @@ def most_frequent(freqs: DataFrame) -> DataFrame:
     return freqs.groupBy("term").agg(F.max("freq").alias("freq"))
 
 
-def append_reason(term: Column, common: Column, sounds: list[str], lang: str = "zh") -> Column:
-    """Why a term must not be appended to a glossary, null if it may: a common word, a sound, kana only (zh), no Latin (en)."""
-    wrong = term.rlike(f"^[{text.KANA}]+$") if lang == "zh" else ~text.has(term, text.LATIN) if lang == "en" else F.lit(False)
-    return F.when(text.strip(term) == "", "empty").when(common, "common").when(term.isin(sounds), "sound").when(wrong, "script")
-
-
 def co_occurring(left: DataFrame, right: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
     """Tokens side by side in aligned rows (keys, idx): pairs of a left and a known right token with their counts."""
     r = right.join(known.select(F.col(known.columns[0]).alias("token")), "token", "left_semi").select(*keys, "idx", F.col("token").alias("r_token"))

@@ -28,13 +28,18 @@ def heard_around(clusters: DataFrame, asr: DataFrame, keys: list[str], reach_ms:
     return clusters.join(heard, "_id", "left").withColumn("heard", F.coalesce("heard", F.array().cast("array<string>")))
 
 
-def beside(clusters: DataFrame, cues: DataFrame, keys: list[str], gap_ms: int = 1000, reach_ms: int = 120_000) -> DataFrame:
-    """before and after: idx of the last cue that starts gap_ms or more before a cluster's start, and of the first that starts
-    gap_ms or more after it, looked for within reach."""
-    pairs = range_join(clusters.withColumn("_at", F.col("start_ms")), cues.withColumn("_at", F.col("start_ms")), keys, slack_ms=reach_ms, start="_at", end="_at")
-    before, after = F.col("r_start_ms") < F.col("start_ms") - gap_ms, F.col("r_start_ms") > F.col("start_ms") + gap_ms
-    place = F.struct("r_start_ms", "r_idx")
-    found = pairs.groupBy("_id").agg(F.max(F.when(before, place)).getField("r_idx").alias("before"), F.min(F.when(after, place)).getField("r_idx").alias("after"))
+def beside(clusters: DataFrame, cues: DataFrame, keys: list[str], gap_ms: int = 1000) -> DataFrame:
+    """before and after: idx of the last cue that starts more than gap_ms before a cluster's start, and of the first that starts
+    more than gap_ms after it, however far away; null where there is none.
+
+    One as-of pass a side: cues and clusters of a key stand in one order of time, and a running maximum (or minimum, from the
+    end) carries the cue's place, so nothing is paired.
+    """
+    rows = cues.select(*keys, "start_ms", F.struct("start_ms", "idx").alias("_p"), F.lit(None).cast("long").alias("_id"))
+    rows = rows.unionByName(clusters.select(*keys, "start_ms", F.lit(None).cast(rows.schema["_p"].dataType).alias("_p"), F.col("_id").cast("long").alias("_id")))
+    upto = lambda order: Window.partitionBy(*keys).orderBy(order).rangeBetween(Window.unboundedPreceding, -gap_ms - 1)
+    rows = rows.withColumn("before", F.max("_p").over(upto(F.col("start_ms").cast("long")))).withColumn("after", F.min("_p").over(upto(-F.col("start_ms").cast("long"))))
+    found = rows.filter("_id is not null").select("_id", F.col("before.idx").alias("before"), F.col("after.idx").alias("after"))
     return clusters.join(found, "_id", "left")
 
 

@@ -36,14 +36,15 @@ def verdict_tops(checked: DataFrame, most: int = 50) -> DataFrame:
 
 
 def language_by_share(cues: DataFrame, keys: list[str], first: int = 20, kana: float = 0.05, cyrillic: float = 0.05, han: float = 0.3) -> DataFrame:
-    """The language of each file from the character shares of its first cues: ja, ru or zh by the first share reached, else en."""
+    """The language of each file from the character shares of its first cues: ja, ru or zh by the first share
+    reached, else 'other'."""
     from pyspark.sql import Window
 
     head = cues.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy("idx"))).filter(F.col("_n") <= first)
     count = lambda chars: F.sum(text.count_chars(F.col("text"), chars))
     per = head.groupBy(*keys).agg(count(text.KANA).alias("_k"), count(text.CYRILLIC_BLOCK).alias("_y"), count(text.HAN).alias("_h"), F.sum(F.length("text")).alias("_all"))
     share: dict[str, Column] = {c: F.col(c) / F.greatest("_all", F.lit(1)) for c in ("_k", "_y", "_h")}
-    lang = F.when(share["_k"] >= kana, "ja").when(share["_y"] >= cyrillic, "ru").when(share["_h"] >= han, "zh").otherwise("en")
+    lang = F.when(share["_k"] >= kana, "ja").when(share["_y"] >= cyrillic, "ru").when(share["_h"] >= han, "zh").otherwise("other")
     return per.select(*keys, lang.alias("lang"))
 
 

@@ -489,14 +489,6 @@ def fuzzy_nouns(spark, sf):
     return similarity.fuzzy_join(cands, names.unionByName(some), 0.7).select("text", "name", "similarity", "status")
 
 
-@query(f"""WITH {CORPUS}, c AS (SELECT term, count(DISTINCT ep) AS n_eps FROM w GROUP BY term)
-SELECT CASE WHEN length(term) < 3 OR lower(term) IN ('the', 'and') THEN 'REJECT' WHEN n_eps >= 3 THEN 'ACCEPT' ELSE 'NEEDS_AI' END AS verdict, count(*) AS n FROM c GROUP BY 1""")
-def candidate_verdicts(spark, sf):
-    c = corpus(spark, sf).select("ep", F.explode(nouns.terms(F.col("text"))).alias("term")).groupBy("term").agg(F.countDistinct("ep").alias("n_eps"))
-    v = nouns.candidate_verdict(F.col("term"), F.col("n_eps"), F.lit(False), F.lower("term").isin("the", "and"), "en")
-    return c.groupBy(v.alias("verdict")).agg(F.count("*").alias("n"))
-
-
 @query()
 def name_spans(spark, sf):
     s = corpus(spark, sf).select("idx", F.explode(nouns.candidate_spans(F.col("text"))).alias("s")).select("idx", "s.*")
@@ -667,13 +659,6 @@ def heard_around(spark, sf):
     return h.filter(F.size("heard") > 0).select("idx", F.array_join("heard", " ").alias("heard"))
 
 
-@query(f"""WITH {TIMELINE}, c AS (SELECT * FROM cues WHERE is_garbled) SELECT c.idx, max((n.start_ms, n.idx)) FILTER (n.start_ms < c.start_ms - 1000)[2] AS before, min((n.start_ms, n.idx)) FILTER (n.start_ms > c.start_ms + 1000)[2] AS after
-FROM c JOIN cues n ON c.ep = n.ep AND abs(c.start_ms - n.start_ms) <= 120000 GROUP BY c.idx""".replace("max((n.start_ms, n.idx)) FILTER (n.start_ms < c.start_ms - 1000)[2]", "arg_max(n.idx, (n.start_ms, n.idx)) FILTER (n.start_ms < c.start_ms - 1000)").replace("min((n.start_ms, n.idx)) FILTER (n.start_ms > c.start_ms + 1000)[2]", "arg_min(n.idx, (n.start_ms, n.idx)) FILTER (n.start_ms > c.start_ms + 1000)"))
-def review_context(spark, sf):
-    t = timeline(spark, sf)
-    return review.beside(cues(t).filter("is_garbled"), cues(t), ["ep"]).select("idx", "before", "after")
-
-
 @query(f"""WITH {TIMELINE}, p AS (SELECT c.idx, 1 + c.idx % 3 AS n_lines, s.start_ms, s.end_ms, row_number() OVER (PARTITION BY c.idx ORDER BY s.start_ms, s.idx) AS line, count(*) OVER (PARTITION BY c.idx) AS n
   FROM (SELECT * FROM cues WHERE is_garbled) c JOIN speech s ON c.ep = s.ep AND least(c.end_ms, s.end_ms) - greatest(c.start_ms, s.start_ms) > 300)
 SELECT idx, CAST(line AS INTEGER) AS line, start_ms, end_ms FROM p WHERE n = 1 OR n = n_lines""")

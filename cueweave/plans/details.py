@@ -252,13 +252,6 @@ def most_frequent(spark, sf):
     return nouns.most_frequent(table(spark, sf, "part").select(F.col("p_type").alias("term"), F.col("p_size").cast("long").alias("freq")))
 
 
-@query(f"""WITH {SAMPLED} SELECT t, CASE WHEN {N} = 0 THEN 'empty' WHEN t IN ('東京', 'a') THEN 'common' WHEN t IN ('ハハハハハ', '啊啊啊啊') THEN 'sound' WHEN regexp_full_match(t, '[぀-ヿ]+') THEN 'script' END AS zh,
-  CASE WHEN {N} = 0 THEN 'empty' WHEN t IN ('東京', 'a') THEN 'common' WHEN t IN ('ハハハハハ', '啊啊啊啊') THEN 'sound' WHEN NOT regexp_matches(t, '[a-zA-Z]') THEN 'script' END AS en, count(*) AS n FROM s GROUP BY t""")
-def append_reasons(spark, sf):
-    why = lambda lang: nouns.append_reason(F.col("t"), F.col("t").isin("東京", "a"), ["ハハハハハ", "啊啊啊啊"], lang).alias(lang)
-    return samples(spark, sf).groupBy("t").agg(F.count("*").alias("n")).select("t", why("zh"), why("en"), "n")
-
-
 @query("""SELECT term FROM (SELECT DISTINCT p_type AS term FROM part UNION SELECT DISTINCT upper(event_type) FROM events UNION SELECT p_type FROM part)""")
 def term_union(spark, sf):
     p = table(spark, sf, "part").select(F.col("p_type").alias("term"))
@@ -297,14 +290,6 @@ def verdict_tops(spark, sf):
     return summary.verdict_tops(c)
 
 
-@query(f"""WITH {SAMPLED}, h AS (SELECT source, t FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM s) WHERE k <= 20),
-c AS (SELECT source, sum(len(regexp_extract_all(t, '[぀-ヿ]'))) AS k, sum(len(regexp_extract_all(t, '[Ѐ-ӿ]'))) AS y, sum({HAN_N}) AS h, greatest(sum(length(t)), 1) AS a FROM h GROUP BY source)
-SELECT source, CASE WHEN k / a >= 0.25 THEN 'ja' WHEN y / a >= 0.05 THEN 'ru' WHEN h / a >= 0.2 THEN 'zh' ELSE 'en' END AS lang FROM c""")
-def language_shares(spark, sf):
-    s = samples(spark, sf).select("source", F.col("doc_id").alias("idx"), F.col("t").alias("text"))
-    return summary.language_by_share(s, ["source"], kana=0.25, han=0.2)
-
-
 @query("""SELECT '3' AS layer, '' AS ep, '' AS time, p_name AS original, coalesce(c, '') AS corrected, '⬜' AS status FROM (SELECT p_name, CASE WHEN min(p_partkey) % 2 = 0 THEN upper(p_name) END AS c FROM part GROUP BY p_name)""")
 def candidate_layer(spark, sf):
     p = table(spark, sf, "part").groupBy(F.col("p_name").alias("term")).agg(F.min("p_partkey").alias("k"))
@@ -502,12 +487,6 @@ def episode_join(spark, sf):
     return joined.select("ep", F.col("file").alias("target"), F.col("r_file").alias("source"))
 
 
-@query(f"""WITH {SAMPLED} SELECT t, CASE WHEN t = '東京' THEN 'dictionary' WHEN length(t) < 2 THEN 'fragment' WHEN regexp_matches(t, '^ー|ッ$') THEN 'fragment' WHEN t IN ('ハハハハハ', '啊啊啊啊') THEN 'sound' WHEN regexp_matches(t, '[てでたいるすくうむぶつ]$') THEN 'verb ending'
-  WHEN regexp_matches(t, '^[0-9０-９一二三四五六七八九十百千万何]+|[年月日時分秒]$') THEN 'time or number' WHEN regexp_matches(t, '^(私|僕|俺|君|彼|彼女|あなた|我々|我们|你们|他们)') THEN 'pronoun' END AS reason, count(*) AS n FROM s GROUP BY t""")
-def reject_reasons(spark, sf):
-    return samples(spark, sf).groupBy("t").agg(F.count("*").alias("n")).select("t", nouns.glossary_reject_reason(F.col("t"), F.col("t") == "東京").alias("reason"), "n")
-
-
 #: A nested contract: entries with a place that is text or null, a status of a list, and nothing else.
 CONTRACT = {
     "type": "object", "required": ["id", "entries"], "additionalProperties": False,
