@@ -1,7 +1,7 @@
 """More of the catalogue: text rules of other scripts, files and formats, reports, and the steps around fixes.
 
-The test tables are in Latin script. `samples` are fixed lines in Japanese, Chinese and others, dealt over all documents by
-their id, so that rules for those scripts run on whole tables and SQL can say the same.
+The test tables are in Latin script. `samples` has whole texts of documents carried into other scripts (see `scripts`), and in
+the place of every fourth one a fixed line with what texts seldom hold, so that rules for those scripts run on whole tables.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from cueweave.functions import text as T
 from cueweave.functions import timecode as C
 from cueweave.operators import files, fixes, nouns, oped, regions, report, review, setops, similarity, styled, summary, temporal
 from cueweave.plans.catalogue import REGIONED, REPORT, TIMELINE, TURNS, WORDS, corpus, cues, query, regioned, report_tables, speech, styled_lines, table, timeline, turns
+from cueweave.plans.scripts import BY_LANG, ZH, carried, carried_sql, in_any, words, words_sql
 from cueweave.sources import subtitles, tables
 from cueweave.streaming import incremental
 
@@ -22,12 +23,13 @@ SAMPLES = [
     "你好，先生", "我叫小明", "这是我的书", "啊啊啊啊", "花儿 真好", "那儿，好", "Lǚ ān", "Привет мир", "hello there", "Um, oh", "a", "", "ハハハハハ", "ガギグ ヴ", "シュークリーム", "キャッチ",
 ]
 _LIST = "['" + "', '".join(SAMPLES) + "']"
-SAMPLED = f"s AS (SELECT doc_id, source, list_extract({_LIST}, doc_id % {len(SAMPLES)} + 1) AS t FROM documents)"
+SAMPLED = f"""s AS (SELECT doc_id, source, CASE WHEN doc_id % 4 = 0 THEN list_extract({_LIST}, (doc_id // 4) % {len(SAMPLES)} + 1) ELSE {carried_sql("text", "lang", BY_LANG)} END AS t FROM documents)"""
 
 
 def samples(spark: SparkSession, sf: str) -> DataFrame:
-    at = (F.col("doc_id") % len(SAMPLES) + 1).cast("int")
-    return table(spark, sf, "documents").select("doc_id", "source", F.element_at(F.array(*map(F.lit, SAMPLES)), at).alias("t"))
+    at = F.expr(f"cast((doc_id div 4) % {len(SAMPLES)} + 1 as int)")
+    t = F.when(F.col("doc_id") % 4 == 0, F.element_at(F.array(*map(F.lit, SAMPLES)), at)).otherwise(carried(F.col("text"), F.col("lang"), BY_LANG))
+    return table(spark, sf, "documents").select("doc_id", "source", t.alias("t"))
 
 
 def _alternation(lang: str) -> str:
@@ -307,7 +309,6 @@ def still_garbled(spark, sf):
 # names of Japanese and Chinese lines
 
 NAMED = ["御茶水博士が来た", "ああ山田先生", "おい アトム！", "アトムさん、コバルトくん", "これはウランという", "我叫小明", "喂、王明！", "「铁臂」来了", "王小姐你好", "我们老师"]
-TERMS_ZH = ["铁臂", "我们", "的人", "阿童木", "一", "12", "abc铁", "，。", "长长长长长长长", "铁了", ""]
 
 
 def dealt(spark: SparkSession, sf: str, lines: list[str]) -> DataFrame:
@@ -325,14 +326,14 @@ def name_rules(spark, sf):
     return dealt(spark, sf, NAMED).select("doc_id", F.inline(s)).drop("len")
 
 
-_ZH_LIST = "['" + "', '".join(TERMS_ZH) + "']"
-
-
-@query(f"""SELECT doc_id, CASE WHEN regexp_full_match(t, '[，。]*') THEN 'empty/punctuation' WHEN regexp_full_match(t, '[0-9]+') THEN 'pure number' WHEN length(t) = 1 THEN 'single char fragment'
-  WHEN regexp_matches(t, '[a-z]') AND regexp_matches(t, '[一-鿿]') THEN 'bilingual fragment' WHEN t = '我们' THEN 'stop word' WHEN length(t) > 6 THEN 'sentence fragment (>6 chars)'
-  WHEN t[1] IN ('的', '了') OR t[-1] IN ('的', '了') THEN 'starts/ends with particle' END AS reason FROM (SELECT doc_id, list_extract({_ZH_LIST}, doc_id % {len(TERMS_ZH)} + 1) AS t FROM documents)""")
+@query(f"""WITH {words_sql(ZH)}, t AS (SELECT term AS t, count(*) AS n FROM (SELECT term FROM w UNION ALL SELECT unnest(['12', '，。', '我们', '一']) FROM documents) GROUP BY term)
+SELECT t, n, CASE WHEN regexp_full_match(t, '[，。！？、；：\"（）…—　 ]*') THEN 'empty/punctuation' WHEN regexp_full_match(t, '[0-9０-９]+') THEN 'pure number' WHEN length(t) = 1 THEN 'single char fragment'
+  WHEN regexp_matches(t, '[A-Za-z]') AND regexp_matches(t, '[一-鿿]') THEN 'bilingual fragment' WHEN t IN {in_any(nouns.STOP_ZH)} THEN 'stop word' WHEN length(t) > 6 THEN 'sentence fragment (>6 chars)'
+  WHEN regexp_matches(t, '^[{nouns.PARTICLES_ZH}]|[{nouns.PARTICLES_ZH}]$') THEN 'starts/ends with particle' END AS reason FROM t""")
 def glossary_zh(spark, sf):
-    return dealt(spark, sf, TERMS_ZH).select("doc_id", nouns.glossary_reject_reason_zh(F.col("t")).alias("reason"))
+    fixed = table(spark, sf, "documents").select(F.explode(F.array(*map(F.lit, ["12", "，。", "我们", "一"]))).alias("t"))
+    t = words(spark, sf, ZH).select(F.col("term").alias("t")).union(fixed).groupBy("t").agg(F.count("*").alias("n"))
+    return t.select("t", "n", nouns.glossary_reject_reason_zh(F.col("t")).alias("reason"))
 
 
 @query()

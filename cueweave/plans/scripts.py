@@ -10,10 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cueweave.functions import lexicon as lex
-from cueweave.functions import text as T
-from cueweave.operators import nouns, review, summary, verdicts
-from cueweave.plans.catalogue import CORPUS, TIMELINE, corpus, cues, query, table, timeline
+from cueweave.operators import review, segmentation, summary, verdicts
+from cueweave.plans.catalogue import TIMELINE, corpus, cues, query, table, timeline
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 KATAKANA = "アバツヒンフガハイジカラマーオパキリストウヴワョヤズ"
@@ -220,3 +218,15 @@ FROM c JOIN cues n ON c.ep = n.ep GROUP BY c.idx""")
 def review_context(spark, sf):
     t = timeline(spark, sf)
     return review.beside(cues(t).filter("is_garbled"), cues(t), ["ep"]).select("idx", "before", "after")
+
+
+# 2.12: words of scripts without spaces
+
+
+@query()
+def segmented_terms(spark, sf):
+    """Words of all turns in Chinese script, whose lexicon is seeded and estimated from the turns themselves."""
+    t = table(spark, sf, "conversations").select("conv_id", "turn", F.translate("text", LETTERS, HANZI).alias("text"))
+    lexicon = segmentation.estimate(t, segmentation.seed_lexicon(t, least=20), rounds=1)
+    w = segmentation.segment(t, lexicon, ["conv_id", "turn"])
+    return w.groupBy("term").agg(F.count("*").alias("freq"), F.countDistinct("conv_id").alias("n_eps"))
