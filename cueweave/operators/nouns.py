@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cueweave.functions import lexicon as lex
 from cueweave.functions import text
+from cueweave.operators.independent import containing, first_independent, stored
 
 #: runs that count as terms; they do not overlap
 TERMS = {"en": ["(?U)\\b[A-Z][a-z]{2,}\\b"], "ja": ["[\\u30A0-\\u30FF]{2,6}", "[\\u4E00-\\u9FFF]{2,4}"], "zh": ["[\\u4E00-\\u9FFF]{2,4}"]}
@@ -182,23 +183,16 @@ def co_occurring(left: DataFrame, right: DataFrame, known: DataFrame, keys: list
     return left.join(r, [*keys, "idx"]).groupBy("token", "r_token").agg(F.count("*").alias("n"), F.countDistinct(*keys).alias("n_eps"))
 
 
-def merge_related(groups: DataFrame, parts: int = 1) -> DataFrame:
-    """Groups (key, words) whose key holds an earlier key, or is held by it, join the first such group, in order of falling
-    size and key. The result depends on order, so one ordered pass per part; the table holds one row a group."""
-    import pandas as pd
-
-    def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        kept: list[tuple[str, list[str]]] = []
-        for key, words in pdf.assign(_n=pdf["words"].map(len)).sort_values(["_n", "key"], ascending=[False, True])[["key", "words"]].itertuples(index=False):
-            home = next((g for g in kept if key in g[0] or g[0] in key), None)
-            if home is None:
-                kept.append((key, list(words)))
-            else:
-                home[1].extend(w for w in words if w not in home[1])
-        return pd.DataFrame(kept, columns=["key", "words"])
-
-    part = F.pmod(F.xxhash64(F.substring("key", 1, 1)), F.lit(parts))
-    return groups.select("key", "words", part.alias("_part")).groupBy("_part").applyInPandas(lambda pdf: work(pdf), "key string, words array<string>")
+def merge_related(groups: DataFrame, least: int = 2) -> DataFrame:
+    """Groups (key, words) whose key holds the key of an earlier group that stays, or is held by it, join the first such group, in
+    order of falling number of words, then key: key and words, each word once, the group's own first. Keys under `least` characters are
+    related to none; null keys go, of equal keys the words pool. Related keys are found by an equi-join on substrings, and
+    who stays is settled in rounds, so no task sees all groups."""
+    pooled = groups.filter("key is not null").groupBy("key").agg(F.array_distinct(F.flatten(F.sort_array(F.collect_list(F.coalesce("words", F.array().cast("array<string>")))))).alias("words"))
+    ranked = stored(pooled.withColumn("rank", F.struct((-F.size("words")).alias("less"), "key")))
+    homes = first_independent(ranked.select(F.col("key").alias("node"), "rank"), containing(ranked.filter(F.length("key") >= least), "key", least))
+    parts = ranked.join(homes, F.col("key") == F.col("node")).select("root", (F.col("key") != F.col("root")).alias("moved"), "rank", "words")
+    return parts.groupBy(F.col("root").alias("key")).agg(F.array_distinct(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("moved", "rank", "words"))), lambda x: x["words"]))).alias("words"))
 
 
 # fixed values: words that no name rule takes for a name

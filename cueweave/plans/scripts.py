@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cueweave.operators import review, segmentation, summary, verdicts
+from cueweave.operators import nouns, review, segmentation, summary, verdicts
 from cueweave.plans.catalogue import TIMELINE, corpus, cues, query, table, timeline
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -230,3 +230,13 @@ def segmented_terms(spark, sf):
     lexicon = segmentation.estimate(t, segmentation.seed_lexicon(t, least=20), rounds=1)
     w = segmentation.segment(t, lexicon, ["conv_id", "turn"])
     return w.groupBy("term").agg(F.count("*").alias("freq"), F.countDistinct("conv_id").alias("n_eps"))
+
+
+# U8: groups whose readings hold each other
+
+
+@query()
+def related_readings(spark, sf):
+    """Words of all documents in katakana, grouped by the word without long marks; related groups join the first of them."""
+    w = words(spark, sf, dict.fromkeys(BY_LANG, KATAKANA)).select("term", F.regexp_replace("term", "ー", "").alias("key")).filter("key rlike '^[゠-ヿ]+$'").distinct()
+    return nouns.merge_related(w.groupBy("key").agg(F.sort_array(F.collect_set("term")).alias("words"))).select("key", F.size("words").alias("n_words"), F.md5(F.array_join("words", "|")).alias("digest"))
