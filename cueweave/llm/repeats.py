@@ -3,7 +3,7 @@
 A window is a string of `min_bytes` bytes. What shall go are all bytes of windows that start earlier too, in the order of
 documents and places. Names of windows are doubled: a string of 2n bytes is named by the pair of names of its halves.
 
-1. Within a document names of 1, 2, 4 .. bytes are doubled in numpy (`names`). Of the `span` strings of `gram` bytes in a window the
+1. Within a document names of 8, 16, 32 .. bytes are doubled in numpy (`names`). Of the `span` strings of `gram` bytes in a window the
    one of least name is its anchor, so equal windows have equal anchors at equal distances, and most windows share
    theirs with their neighbours. Windows whose anchor's name occurs once cannot repeat; that settles most of a corpus.
 2. Runs of windows of one anchor whose whole strings are equal stay once, as equal rows would get equal ranks; the later ones
@@ -35,27 +35,38 @@ _PLACE = ("_none", "_id", "_th")
 
 def shape(min_bytes: int) -> tuple[int, int, int]:
     """gram, span, top: bytes of an anchor, anchors in a window, the longest doubled name in a window."""
-    gram = 1 << max(0, (min_bytes // 3).bit_length() - 1)
+    gram = max(8, 1 << (min_bytes // 6).bit_length() - 1)
     return gram, min_bytes - gram + 1, 1 << (min_bytes.bit_length() - 1)
 
 
-def names(data: np.ndarray, gram: int, top: int, kind: int) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit names of the strings of gram and of top bytes at each place, by doubling; kind picks one of two families."""
-    a, b, turn = (np.uint64(x) for x in _ODD[kind])
-    h, n, at_gram = (data.astype(np.uint64) + np.uint64(1)) * a, 1, None
-    while True:
-        if n == gram:
-            at_gram = h ^ (h >> turn)
-            at_gram *= b
-            at_gram ^= at_gram >> np.uint64(32)
-        if n >= top:
-            return at_gram, h
-        right = h[n:] >> turn
-        right ^= h[n:]
-        right *= a
-        h = h[: len(h) - n] * b
-        h += right
-        n *= 2
+def names(data: np.ndarray, gram: int, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit names at each place by doubling: of the strings of gram bytes, and two independent ones of those of top bytes.
+    Up to eight bytes a name is the string itself."""
+    eight = data.astype(np.uint64)
+    for n in (1, 2, 4):
+        eight = eight[:-n] << np.uint64(8 * n) | eight[n:]
+    at_gram, tops = eight, []
+    for a, b, turn in (tuple(np.uint64(x) for x in k) for k in _ODD):
+        h, n = eight, 8
+        while n < top:
+            if n == gram and not tops:
+                at_gram = h
+            right = h[n:] >> turn
+            right ^= h[n:]
+            right *= a
+            left = h[: len(h) - n] ^ (h[: len(h) - n] >> turn)
+            left *= b
+            right += left
+            h, n = right, n * 2
+        tops.append(h)
+        if n == gram and len(tops) == 1:
+            at_gram = h
+    a, b, turn = (np.uint64(x) for x in _ODD[0])
+    mixed = at_gram ^ (at_gram >> turn)
+    mixed *= b
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= a
+    return mixed, tops[0], tops[1]
 
 
 def _least(h: np.ndarray, span: int) -> np.ndarray:
@@ -70,14 +81,15 @@ def runs(data: np.ndarray, min_bytes: int) -> tuple[np.ndarray, ...]:
     """Runs of windows that share an anchor: first window, windows, the anchor's place, occurrences, name, two names of the
     whole string. Runs of one window that repeat at the next places are one with that many occurrences."""
     gram, span, top = shape(min_bytes)
-    (h, g1), (_, g2) = names(data, gram, top, 0), names(data, gram, top, 1)
+    h, g1, g2 = names(data, gram, top)
     m = _least(h, span)
     first = np.flatnonzero(np.concatenate(([True], m[1:] != m[:-1])))
     n = np.diff(np.append(first, len(m)))
-    at = np.empty(len(first), np.int64)
-    for i in range(0, len(first), 4096):
-        f = first[i : i + 4096]
-        at[i : i + 4096] = f + h[f[:, None] + np.arange(span)].argmin(1)
+    at = first + span - 1  # where the least name falls, it has just come in at the right end
+    other = np.flatnonzero(np.concatenate(([True], m[first[1:]] > m[first[1:] - 1])))
+    for i in range(0, len(other), 4096):
+        f = first[other[i : i + 4096]]
+        at[other[i : i + 4096]] = f + h[f[:, None] + np.arange(span)].argmin(1)
     if (odd := at < first + n - 1).any():  # the same string again within a run: its windows have several anchors
         parts = [[first[~odd], n[~odd], at[~odd]]]
         for a, k in zip(first[odd], n[odd], strict=True):
@@ -197,9 +209,12 @@ def repeated_windows(texts: DataFrame, min_bytes: int = 100) -> DataFrame:
     """_id, _th, lo, hi: ranges of starts of windows that an equal one precedes, from texts (_id, _th, _text) without nulls."""
     spark = texts.sparkSession
     anchors = _anchored(texts, min_bytes)
-    often = anchors.groupBy("h").agg(F.sum("times").alias("_k")).filter("_k > 1").select("h")
-    live = materialize(anchors.join(often.hint("merge"), "h").withColumn("_none", F.col("_id").isNull()), "repeats-live")
+    often = materialize(anchors.groupBy("h").agg(F.sum("times").alias("_k")).filter("_k > 1").select("h"), "repeats-often")
+    release(spark)
+    # from a table of its own, so that adaptive execution can split the rows of a hot name
+    live = materialize(anchors.join(often.hint("shuffle_hash"), "h").withColumn("_none", F.col("_id").isNull()), "repeats-live")
     release(spark)
+    discard(often)
     keys = ["h", "f1", "f2"]
     firsts = materialize(_first(live, keys, "a", "n", "s"), "repeats-firsts")
     joined = live.select("_id", "_th", "a", F.col("n").alias("windows"), "times", *keys).join(firsts.drop("n", "s"), keys)

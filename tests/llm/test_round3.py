@@ -59,7 +59,7 @@ def test_op11_anchors_belong_to_their_windows():
     for data in (r.integers(0, 3, 900), np.zeros(700, int), np.tile([1, 2, 3], 200), r.integers(0, 255, 100)):
         first, n, at, times, *_ = repeats.runs(data.astype(np.uint8), 100)
         gram, span, top = repeats.shape(100)
-        h, _ = repeats.names(data.astype(np.uint8), gram, top, 0)
+        h, *_ = repeats.names(data.astype(np.uint8), gram, top)
         covered = [p for a, k, t in zip(first, n, times, strict=True) for p in range(a, a + k + t - 1)]
         assert covered == list(range(len(data) - 99))
         for a, k, s in zip(first, n, at, strict=True):
