@@ -56,10 +56,15 @@ def without(df: DataFrame, known: DataFrame, column: str = "term") -> DataFrame:
 
 def suspects(cues: DataFrame, lang: str = "en", min_eps: int = 2, min_count: int = 3, n_contexts: int = 5, by: str = "ep") -> DataFrame:
     """Terms with count, number of episodes and first contexts, if they are seen often enough in enough episodes."""
-    rows = cues.select(by, "idx", "text", F.explode(terms(F.col("text"), lang)).alias("term"))
+    th = F.xxhash64("text").alias("_th")
+    rows = cues.select(by, "idx", th, F.explode(terms(F.col("text"), lang)).alias("term"))  # places travel, texts do not
     agg = rows.groupBy("term").agg(F.count("*").alias("n"), F.countDistinct(by).alias("n_eps")).filter((F.col("n") >= min_count) & (F.col("n_eps") >= min_eps))
-    first = rows.withColumn("_n", F.row_number().over(Window.partitionBy("term").orderBy(by, "idx"))).filter(F.col("_n") <= n_contexts)
-    contexts = first.groupBy("term").agg(F.transform(F.sort_array(F.collect_list(F.struct("_n", by, "text"))), lambda x: F.struct(x[by].alias(by), x["text"].alias("text"))).alias("contexts"))
+    # Spark keeps a task's first rows of a term before it shuffles them, so a frequent term is no hot key
+    first = rows.withColumn("_n", F.row_number().over(Window.partitionBy("term").orderBy(by, "idx", "_th"))).filter(F.col("_n") <= n_contexts).join(agg.select("term"), "term", "left_semi")
+    on = [by, "idx", "_th"]
+    shown = cues.select(by, "idx", th, "text").join(first.select(*on).distinct(), on, "left_semi").dropDuplicates(on)
+    placed = first.join(shown, on)
+    contexts = placed.groupBy("term").agg(F.transform(F.sort_array(F.collect_list(F.struct("_n", by, "text"))), lambda x: F.struct(x[by].alias(by), x["text"].alias("text"))).alias("contexts"))
     return agg.join(contexts, "term")
 
 

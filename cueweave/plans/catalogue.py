@@ -411,6 +411,16 @@ def oped_slips(spark, sf):
     return oped.consistency(oped.grid_buckets(regioned(spark, sf)), "en")
 
 
+@query(f"""WITH {REGIONED}, s AS (SELECT file, idx, region, bucket_ms, 'sing with us line ' || CAST(bucket_ms AS VARCHAR) AS line, CASE WHEN file % 7 = 1 THEN 'sing wiht us line ' || CAST(bucket_ms AS VARCHAR) WHEN file % 7 = 2 THEN text ELSE 'sing with us line ' || CAST(bucket_ms AS VARCHAR) END AS text FROM b)
+SELECT file, idx, text AS original, line AS replacement FROM s WHERE file % 7 = 1""")
+def oped_slips_of_edits(spark, sf):
+    """Songs whose lines one file in seven misspells, and one replaces by whole turns, which are too different to be slips."""
+    b = oped.grid_buckets(regioned(spark, sf))
+    line = F.concat(F.lit("sing with us line "), F.col("bucket_ms").cast("string"))
+    text = F.when(F.col("file") % 7 == 1, F.replace(line, F.lit("with"), F.lit("wiht"))).when(F.col("file") % 7 == 2, F.col("text")).otherwise(line)
+    return oped.consistency(b.withColumn("text", text), "en")
+
+
 @query(f"""WITH {REGIONED}, l AS (SELECT 'song' || CAST(item_id % 4 AS VARCHAR) AS song_id, CASE WHEN item_id % 2 = 0 THEN 'OP' ELSE 'ED' END AS region, item_id % 5 * 100 AS lo, item_id % 5 * 100 + 150 AS hi, item_id % 8 * 6000 AS time_ms FROM benchmark)
 SELECT file, idx, song_id, time_ms FROM (SELECT r.file, r.idx, song_id, time_ms, row_number() OVER (PARTITION BY r.file, r.idx ORDER BY song_id, time_ms) AS k FROM r JOIN l ON r.region = l.region AND r.file BETWEEN lo AND hi AND abs(start_ms - time_ms) <= 3000) WHERE k = 1""")
 def lyric_match(spark, sf):
@@ -552,6 +562,14 @@ def similar_runs(spark, sf):
     return similarity.similar_runs(turns(spark, sf), ["file"]).groupBy("n").agg(F.count("*").alias("n_runs"))
 
 
+@query()
+def similar_runs_of_edits(spark, sf):
+    """Every turn three times, with another ending each: three alike cues in a row."""
+    t = turns(spark, sf).select("file", "idx", "start_ms", "end_ms", "text", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k"))
+    t = t.withColumn("idx", F.col("idx") * 3 + F.col("k")).withColumn("text", F.concat("text", F.lit(" "), F.col("k").cast("string"))).drop("k")
+    return similarity.similar_runs(t, ["file"]).groupBy("n").agg(F.count("*").alias("n_runs"))
+
+
 REPORT = """old AS (SELECT '3' AS layer, 'EP' || CAST(doc_id % 50 AS VARCHAR) AS ep, CAST(doc_id AS VARCHAR) AS time, 'o' AS original, CASE WHEN doc_id % 4 = 0 THEN '' ELSE 'c' END AS corrected, CASE WHEN quality = 1 THEN '✅' ELSE '⬜' END AS status FROM labels),
 new AS (SELECT CASE WHEN doc_id % 6 = 0 THEN '2' ELSE '3' END AS layer, 'EP' || CAST(doc_id % 50 AS VARCHAR) AS ep, CAST(doc_id AS VARCHAR) AS time, 'n' AS original, CASE WHEN doc_id % 2 = 0 THEN '' ELSE 'd' END AS corrected, CASE WHEN doc_id % 3 = 0 THEN '🗑️' ELSE '⬜' END AS status FROM documents)"""
 

@@ -178,10 +178,10 @@ def fragment_context(spark, sf):
     return f.select("idx", F.array_join("before", " ").alias("before"), F.array_join("after", " ").alias("after"))
 
 
-@query(f"WITH {TIMELINE} SELECT ep, idx FROM speech WHERE start_ms <= 2000000 AND end_ms >= 1000000")
+@query(f"WITH {TIMELINE} SELECT ep, idx FROM speech WHERE start_ms <= 200000 AND end_ms >= 100000")
 def spot_filter(spark, sf):
     s = speech(timeline(spark, sf))
-    spots = s.select("ep").distinct().withColumn("start_ms", F.lit(1_000_000).cast("long")).withColumn("end_ms", F.lit(2_000_000).cast("long"))
+    spots = s.select("ep").distinct().withColumn("start_ms", F.lit(100_000).cast("long")).withColumn("end_ms", F.lit(200_000).cast("long"))
     return temporal.range_join(s, spots, ["ep"], how="left_semi").select("ep", "idx")
 
 
