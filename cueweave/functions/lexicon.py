@@ -24,6 +24,26 @@ HONORIFICS = {
 }
 
 
+# fixed values: turns of phrase of translated Chinese and what is said instead, applied one after the other; $1 is the group
+NATURAL_ZH = [
+    ("进行了([一-鿿]{1,4})", "$1了"),
+    ("给予([一-鿿]{1,4})", "给$1"),
+    ("有着([一-鿿]{2,6})", "有$1"),
+    ("他的(妈妈|爸爸|哥哥|姐姐|弟弟|妹妹|朋友|老师|同学|邻居|同事|老板)", "他$1"),
+    ("她的(妈妈|爸爸|哥哥|姐姐|弟弟|妹妹|朋友|老师|同学|邻居|同事|老板)", "她$1"),
+    ("对于([你我他她])来说", "对$1来说"),
+    ("当([你我他她])的时候", "$1...的时候"),
+    ("是否(可以|能够|需要|愿意|知道|明白|清楚|确定)", "$1吗"),
+    ("如何(办|做|说|写|处理|解决|解释|描述)", "怎么$1"),
+    ("迅速地", "很快"),
+    ("非常地", "非常"),
+    ("显得格外", "特别"),
+    ("正在([一-鿿])着", "在$1"),
+    ("的重要性", "很重要"),
+    ("具有([一-鿿]{2,6})性", "很$1"),
+]
+
+
 def lexicon(spark: SparkSession, words: dict[tuple[str, str], list[str]]) -> DataFrame:
     """(lang, kind, value) rows from {(lang, kind): words}; long lists live in files and come in by this table."""
     rows = [(lang, kind, w) for (lang, kind), ws in words.items() for w in ws]

@@ -302,6 +302,20 @@ def replace_patterns(c: Column, rules: list[tuple[str, str]]) -> Column:
     return c
 
 
+def counted_patterns(c: Column, rules: list[tuple[str, str]]) -> Column:
+    """(text, n): the cascade of replace_patterns, and how many places it changed."""
+    n = F.lit(0)
+    for pattern, new in rules:
+        n = n + F.regexp_count(c, F.lit(pattern))
+        c = F.regexp_replace(c, pattern, new)
+    return F.struct(c.alias("text"), n.alias("n"))
+
+
+def natural_zh(c: Column) -> Column:
+    """(text, n) of a Chinese line without the turns of phrase of translations."""
+    return counted_patterns(c, lex.NATURAL_ZH)
+
+
 def name_class(c: Column) -> Column:
     """Which script a speaker's name is in: the class with most characters, ties to the first; punctuation and digits last."""
     t = strip(c)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cueweave.functions import lexicon as lex
 from cueweave.functions import text
-from cueweave.operators.independent import containing, first_independent, stored
+from cueweave.operators.independent import containing, first_independent, parts, stored
 
 #: runs that count as terms; they do not overlap
 TERMS = {"en": ["(?U)\\b[A-Z][a-z]{2,}\\b"], "ja": ["[\\u30A0-\\u30FF]{2,6}", "[\\u4E00-\\u9FFF]{2,4}"], "zh": ["[\\u4E00-\\u9FFF]{2,4}"]}
@@ -188,6 +188,34 @@ def co_occurring(left: DataFrame, right: DataFrame, known: DataFrame, keys: list
     return left.join(r, [*keys, "idx"]).groupBy("token", "r_token").agg(F.count("*").alias("n"), F.countDistinct(*keys).alias("n_eps"))
 
 
+def mapped_tokens(tokens: DataFrame, keys: DataFrame, known: DataFrame, least: int = 4) -> DataFrame:
+    """Distinct (token, reading) that a mapping speaks of: the reading (two characters at least) is one of its keys (first column), or the token is
+    in known (first column), or reading and a key hold one another, both of `least` characters or more.
+
+    What holds what is found by equi-joins on substrings: on those of the readings for keys inside them, on those of the keys for
+    readings inside these. Neither list is compared with the other one whole, so a million keys are no cross join.
+    """
+    words = tokens.select("token", "reading").filter(F.length("reading") >= 2).distinct()
+    k = keys.select(F.col(keys.columns[0]).alias("key")).filter("key is not null").distinct()
+    long = words.filter(F.length("reading") >= least).select("reading").distinct()
+    holding = parts(long, "reading", least).join(k.select(F.col("key").alias("b")), "b", "left_semi").select(F.col("a").alias("reading"))
+    held = parts(k.filter(F.length("key") >= least), "key", least).select(F.col("b").alias("reading")).distinct().join(long, "reading", "left_semi")
+    near = holding.union(held).union(k.select(F.col("key").alias("reading"))).distinct()
+    listed = known.select(F.col(known.columns[0]).alias("token")).distinct()
+    return words.join(near, "reading", "left_semi").select("token", "reading").union(words.join(listed, "token", "left_semi").select("token", "reading")).distinct()
+
+
+def variants_by_source(left: DataFrame, right: DataFrame, keys: list[str], most: int = 20) -> DataFrame:
+    """Suspects (left: keys, idx, token) by the reading of the mapped source token (right: keys, idx, token, reading) in the same aligned
+    row: reading, surfaces, token, n and the first `most` places, one row a reading and suspect."""
+    pairs = left.alias("l").join(right.withColumnRenamed("token", "surface"), [*keys, "idx"])
+    spot = F.struct(*keys, "idx")
+    placed = pairs.withColumn("_n", F.row_number().over(Window.partitionBy("reading", "token").orderBy(*keys, "idx", "surface")))
+    return placed.groupBy("reading", "token").agg(
+        F.array_sort(F.collect_set("surface")).alias("surfaces"), F.count("*").alias("n"), F.array_sort(F.collect_list(F.when(F.col("_n") <= most, spot))).alias("places")
+    )
+
+
 def merge_related(groups: DataFrame, least: int = 2) -> DataFrame:
     """Groups (key, words) whose key holds the key of an earlier group that stays, or is held by it, join the first such group, in
     order of falling number of words, then key: key and words, each word once, the group's own first. Keys under `least` characters are

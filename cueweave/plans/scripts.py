@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cueweave.functions import lexicon as lex
+from cueweave.functions import text as T
 from cueweave.operators import nouns, review, segmentation, summary, verdicts
 from cueweave.plans.catalogue import TIMELINE, corpus, cues, query, table, timeline
 
@@ -240,3 +242,61 @@ def related_readings(spark, sf):
     """Words of all documents in katakana, grouped by the word without long marks; related groups join the first of them."""
     w = words(spark, sf, dict.fromkeys(BY_LANG, KATAKANA)).select("term", F.regexp_replace("term", "ー", "").alias("key")).filter("key rlike '^[゠-ヿ]+$'").distinct()
     return nouns.merge_related(w.groupBy("key").agg(F.sort_array(F.collect_set("term")).alias("words"))).select("key", F.size("words").alias("n_words"), F.md5(F.array_join("words", "|")).alias("digest"))
+
+
+# J15: source words that a mapping speaks of, by reading or by what holds what
+
+SYLLABLES = dict.fromkeys(BY_LANG, KATAKANA)
+
+
+@query(f"""WITH {words_sql(SYLLABLES)}, t AS (SELECT DISTINCT term AS token, replace(term, 'ー', '') AS reading FROM w), v AS (SELECT * FROM t WHERE length(reading) >= 2),
+b AS (SELECT item_id, unnest(regexp_extract_all(translate(text, '{LETTERS}', '{KATAKANA}'), '{SEP}')) AS term FROM benchmark), k AS (SELECT DISTINCT replace(term, 'ー', '') AS key FROM b WHERE item_id % 4 = 0), n AS (SELECT DISTINCT term FROM b WHERE item_id % 4 = 1)
+SELECT token, reading FROM v WHERE reading IN (SELECT key FROM k) OR token IN (SELECT term FROM n) OR length(reading) >= 4 AND EXISTS (SELECT 1 FROM k WHERE length(key) >= 4 AND (contains(reading, key) OR contains(key, reading)))""")
+def mapped_tokens(spark, sf):
+    t = words(spark, sf, SYLLABLES).select(F.col("term").alias("token"), F.replace("term", F.lit("ー"), F.lit("")).alias("reading"))
+    b = table(spark, sf, "benchmark").select("item_id", F.explode(F.regexp_extract_all(F.translate("text", LETTERS, KATAKANA), F.lit(SEP), F.lit(0))).alias("term"))
+    keys = b.filter("item_id % 4 = 0").select(F.replace("term", F.lit("ー"), F.lit("")).alias("key"))
+    return nouns.mapped_tokens(t, keys, b.filter("item_id % 4 = 1").select("term"))
+
+
+@query(f"""WITH x AS (SELECT conv_id, turn, unnest(list_distinct(regexp_extract_all(translate(text, '{LETTERS}', '{HANZI}'), '{SEP}'))) AS token FROM conversations WHERE role = 'user'),
+y AS (SELECT conv_id, turn - 1 AS turn, unnest(list_distinct(regexp_extract_all(translate(text, '{LETTERS}', '{KATAKANA}'), '{SEP}'))) AS surface FROM conversations WHERE role = 'assistant'), z AS (SELECT *, replace(surface, 'ー', '') AS reading FROM y)
+SELECT reading, token, array_to_string(list_sort(list(DISTINCT surface)), '|') AS surfaces, count(*) AS n, min(conv_id * 100 + turn) AS first FROM x JOIN z USING (conv_id, turn) WHERE length(reading) <= 3 GROUP BY reading, token""")
+def variants_by_source(spark, sf):
+    """Words of a user's turn beside the short words of the answer in katakana, as a translation beside its source."""
+    c = table(spark, sf, "conversations")
+    said = lambda script: F.explode(F.array_distinct(F.regexp_extract_all(F.translate("text", LETTERS, script), F.lit(SEP), F.lit(0)))).alias("token")
+    left = c.filter("role = 'user'").select("conv_id", F.col("turn").cast("long").alias("idx"), said(HANZI))
+    right = c.filter("role = 'assistant'").select("conv_id", (F.col("turn") - 1).cast("long").alias("idx"), said(KATAKANA))
+    v = nouns.variants_by_source(left, right.withColumn("reading", F.replace("token", F.lit("ー"), F.lit(""))).filter(F.length("reading") <= 3), ["conv_id"])
+    first = F.col("places")[0]
+    return v.select("reading", "token", F.array_join("surfaces", "|").alias("surfaces"), "n", (first["conv_id"] * 100 + first["idx"]).alias("first"))
+
+
+# C19: turns of phrase of translations
+
+PHRASES = [(" the ", "进行了"), (" and ", "他的朋友"), (" of ", "对于你来说"), (" in ", "是否可以"), (" is ", "正在"), (" to ", "具有"), (" a ", "的重要性"), (" der ", "如何做"), (" de ", "迅速地"), (" la ", "非常地")]
+
+
+def phrased_sql(c: str) -> str:
+    for a, b in PHRASES:
+        c = f"replace({c}, '{a}', '{b}')"
+    return f"translate({c}, '{LETTERS}', '{HANZI}')"
+
+
+def natural_sql() -> str:
+    steps, t = [], phrased_sql("text")
+    steps.append(f"n0 AS (SELECT doc_id, {t} AS t, 0 AS n FROM documents)")
+    for k, (pattern, new) in enumerate(lex.NATURAL_ZH):
+        to = new.replace("$1", "\\1")
+        steps.append(f"n{k + 1} AS (SELECT doc_id, regexp_replace(t, '{pattern}', '{to}', 'g') AS t, n + len(regexp_extract_all(t, '{pattern}')) AS n FROM n{k})")
+    return f"WITH {', '.join(steps)} SELECT doc_id, md5(t) AS digest, CAST(n AS BIGINT) AS n FROM n{len(lex.NATURAL_ZH)}"
+
+
+@query(natural_sql())
+def natural_lines(spark, sf):
+    c = F.col("text")
+    for a, b in PHRASES:
+        c = F.replace(c, F.lit(a), F.lit(b))
+    d = table(spark, sf, "documents").select("doc_id", F.translate(c, LETTERS, HANZI).alias("t"))
+    return d.select("doc_id", T.natural_zh(F.col("t")).alias("x")).select("doc_id", F.md5("x.text").alias("digest"), F.col("x.n").cast("long").alias("n"))

@@ -56,3 +56,15 @@ def test_containing(spark):
     df = spark.createDataFrame([("abab",), ("ab",), ("b",), ("ba",), (None,), ("",), ("ab",)], "key string")
     assert sorted(map(tuple, independent.containing(df).collect())) == [("abab", "ab"), ("abab", "ba")]
     assert sorted(map(tuple, independent.containing(df, least=1).collect())) == [("ab", "b"), ("abab", "ab"), ("abab", "b"), ("abab", "ba"), ("ba", "b")]
+
+
+def test_mapped_tokens_against_the_loop(spark):
+    r = random.Random(8)
+    word = lambda a, b: "".join(r.choice("アトム") for _ in range(r.randint(a, b)))
+    tokens = [(f"t{i}", word(1, 7)) for i in range(150)] + [("none", None), ("t3", "アトム")]
+    keys, known = [(word(1, 9),) for _ in range(12)] + [(None,)], [("t5",), ("t9",), (None,)]
+    df = nouns.mapped_tokens(spark.createDataFrame(tokens, "token string, reading string"), spark.createDataFrame(keys, "key string"), spark.createDataFrame(known, "token string"))
+    ks, ts = {k for (k,) in keys if k}, {t for (t,) in known if t}
+    near = lambda x: len(x) >= 4 and any(len(k) >= 4 and (k in x or x in k) for k in ks)
+    assert {tuple(x) for x in df.collect()} == {(t, x) for t, x in tokens if x and len(x) >= 2 and (x in ks or t in ts or near(x))}
+    assert df.count() == len({tuple(x) for x in df.collect()})
