@@ -69,34 +69,34 @@ def resample(docs: DataFrame, target: DataFrame, share: int = 10, buckets: int =
     """
     with scratch():
         texts = docs.select(F.col(quoted(id_col)).alias("_id"), F.col(quoted(text_col)).alias("_text")).withColumn("_th", F.xxhash64("_text"))
-        featured = materialize(_featured(texts, buckets, longest), "importance-features")
+        # rows are numbered as they are stored: a short key for postings, and rows that repeat id and text stay apart
+        featured = materialize(_featured(texts, buckets, longest).withColumn("_row", F.monotonically_increasing_id()), "importance-features")
         aims = _featured(target.select(F.col(quoted(text_col)).alias("_text")), buckets, longest)
         aims = materialize(_postings(aims).groupBy("bucket").agg(F.sum("count").alias("t")), "importance-target")
-        s_all = featured.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        here = materialize(_postings(featured).groupBy("bucket").agg(F.sum("count").alias("s")), "importance-corpus")
+        s_all = here.agg(F.coalesce(F.sum("s"), F.lit(0))).first()[0]
         t_all = aims.agg(F.coalesce(F.sum("t"), F.lit(0))).first()[0]
 
-        postings = _postings(featured, "_id", "_th").withColumn("salt", F.pmod(F.xxhash64("_id", "_th"), F.lit(SALTS)).cast("int")).repartition("bucket", "salt")
-        both = postings.groupBy("bucket").agg(F.sum("count").alias("s")).join(aims, "bucket", "left")
+        postings = _postings(featured, "_row").withColumn("salt", F.pmod(F.xxhash64("_row"), F.lit(SALTS)).cast("int"))
         d = lambda c, plus: F.coalesce(F.col(c), F.lit(0)).cast("double") + F.lit(float(plus))
         ratio = d("t", 1) * F.lit(float(s_all + buckets)) / (d("s", 1) * F.lit(float(t_all + buckets)))
-        gains = both.select("bucket", F.floor(1000 * F.log(ratio)).alias("gain"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-        added = postings.join(gains, ["bucket", "salt"]).select("_id", "_th", (F.col("count") * F.col("gain")).alias("add"), *[F.lit(0).cast("long").alias(c) for c in ("n", "words", "copies")])
-        own = featured.select("_id", "_th", F.lit(0).cast("long").alias("add"), "n", "words", F.lit(1).cast("long").alias("copies"))
-        weighed = added.unionByName(own).groupBy("_id", "_th").agg(*[F.sum(c).alias(c) for c in ("add", "n", "words", "copies")])
+        gains = here.join(aims, "bucket", "left").select("bucket", F.floor(1000 * F.log(ratio)).alias("gain"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        none = lambda c: F.lit(None).cast(featured.schema[c].dataType).alias(c)
+        added = postings.join(gains.hint("shuffle_hash"), ["bucket", "salt"]).select("_row", (F.col("count") * F.col("gain")).alias("add"), *map(none, ("_id", "_th", "n", "words")))
+        own = featured.select("_row", F.lit(0).cast("long").alias("add"), "_id", "_th", "n", "words")
+        weighed = added.unionByName(own).groupBy("_row").agg(F.sum("add").alias("add"), *[F.max(c).alias(c) for c in ("_id", "_th", "n", "words")])
 
         weight = F.when(F.col("n") > 0, F.expr("(add - pmod(add, n)) div n")).otherwise(F.lit(0).cast("long"))
         h = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("_id").cast("string"), F.lit(""))), 256), 1, 8), 16, 10).cast("long")
         noise = F.floor(-1000 * F.log(-F.log((h + 0.5) / 4294967296.0)))
-        rows = weighed.select("_id", "_th", weight.alias("weight"), "n", "words", "copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
-        scored = rows.select("_id", "_th", "copy", F.expr("n div copies").alias("n_features"), F.expr("words div copies").alias("words"), "weight", (F.col("weight") + noise).alias("score"))
+        scored = weighed.select("_row", "_id", "_th", F.col("n").alias("n_features"), "words", weight.alias("weight"), (weight + noise).alias("score"))
         scored = materialize(scored, "importance-scores", keep=True)
         able = F.col("words") >= least_words
         drawn = scored.agg(F.count_if(able)).first()[0] * share // 100
-        ordered = scored.filter(able).select("_id", "_th", "copy", (-F.col("score")).alias("_down"), F.col("_id").isNull().alias("_none"), F.lit(1).cast("long").alias("_one"))
-        places = with_prefix(ordered, ["_down", "_none", "_id", "_th", "copy"], "_one", "_before", "importance-order")
-        places = materialize(places.filter(F.col("_before") < drawn).select("_id", "_th", "copy", (F.col("_before") + 1).alias("rank")), "importance-ranks", keep=True)
-    same = F.col("s._id").eqNullSafe(F.col("p._id")) & F.col("s._th").eqNullSafe(F.col("p._th")) & (F.col("s.copy") == F.col("p.copy"))
-    return scored.alias("s").join(places.alias("p"), same, "left").select(F.col("s._id").alias("doc_id"), "n_features", "weight", "score", "rank", "words")
+        ordered = scored.filter(able).select("_row", (-F.col("score")).alias("_down"), F.col("_id").isNull().alias("_none"), "_id", "_th", F.lit(1).cast("long").alias("_one"))
+        places = with_prefix(ordered, ["_down", "_none", "_id", "_th", "_row"], "_one", "_before", "importance-order")
+        places = materialize(places.filter(F.col("_before") < drawn).select("_row", (F.col("_before") + 1).alias("rank")), "importance-ranks", keep=True)
+    return scored.join(places, "_row", "left").select(F.col("_id").alias("doc_id"), "n_features", "weight", "score", "rank", "words")
 
 
 #: The same rows in DuckDB, for tables whose ids are unique: one-word features, 10,000 buckets, 10 per cent of documents of 20 words.
