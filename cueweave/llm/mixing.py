@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from cueweave.llm.common import discard, materialize, packed, with_prefix
 
 WORD = r"[^\x20\x09-\x0D]+"
+AT_ONCE = 3  # Newton steps in a job
 _FIXED = 1 << 20  # rates are summed as whole numbers of this unit, so that no order of addition changes a result
 
 
@@ -55,7 +56,8 @@ def multipliers(hist: DataFrame, cap: float, tolerance: float = 1e-5, steps: int
                  (F.col("target") >= cap * F.col("source_size") * (1 - 1e-12)).alias("full"), F.lit(1.0).alias("gap")),
         "mix-state",
     )
-    for _ in range(steps):
+    stored = state
+    for step in range(steps):
         x = F.col("size") / F.col("mean")
         rate = _rate(F.col("lam"), x, cap)
         h = hist.select("source", "size", "n").alias("h").join(state.alias("s"), F.col("h.source").eqNullSafe(F.col("s.source")))
@@ -71,8 +73,12 @@ def multipliers(hist: DataFrame, cap: float, tolerance: float = 1e-5, steps: int
         inside = newton.isNotNull() & (newton > F.coalesce(F.col("lo"), F.col("lam") - 4)) & (newton < F.coalesce(F.col("hi"), F.col("lam") + 4))
         gap = F.when(F.col("full"), F.lit(0.0)).otherwise(F.abs(F.col("f") - F.col("target")) / F.greatest(F.col("target"), F.lit(1.0)))
         sums = sums.withColumn("gap", gap).withColumn("lam", F.when(F.col("gap") <= tolerance, F.col("lam")).otherwise(F.when(inside, newton).otherwise(half)))
-        state, old = materialize(sums.drop("f", "df"), "mix-state"), state
+        state = sums.drop("f", "df")
+        if (step + 1) % AT_ONCE and step + 1 < steps:
+            continue  # sources that have settled stay as they are, so a few steps make one job
+        state, old = materialize(state, "mix-state"), stored
         discard(old)
+        stored = state
         if (state.agg(F.max("gap")).first()[0] or 0.0) <= tolerance:
             return state
     raise ValueError(f"after {steps} Newton steps a source is still off its target by more than {tolerance} of it")
