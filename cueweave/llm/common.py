@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import gc
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -36,28 +37,43 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-_open_scratch: list[list[DataFrame]] = []
+class _Scratch(threading.local):
+    """Tables of the scopes that are open in this thread."""
+
+    def __init__(self) -> None:
+        self.open: list[list[DataFrame]] = []
+
+
+_scratch = _Scratch()
+_left: dict[str, SparkSession] = {}  # folders that lazy results may still read
 
 
 @contextlib.contextmanager
 def scratch() -> Iterator[None]:
-    """Tables materialized inside are deleted at the end, once their readers are done. Operators give lazy results that read
-    such tables, so what shall stay is written inside and read again: `materialize(result, name, keep=True)`."""
-    _open_scratch.append([])
+    """Tables materialized inside (by this thread) are deleted at the end, once their readers are done. Operators give lazy
+    results that read such tables, so what shall stay is written inside and read again: `materialize(result, name, keep=True)`."""
+    _scratch.open.append([])
     try:
         yield
     finally:
-        discard(*_open_scratch.pop())
+        discard(*_scratch.open.pop())
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, which `tidy` deletes."""
+    path = f"{shared_dir(spark)}/cueweave/{name}-{uuid.uuid4().hex}"
+    _left[path.rsplit("/", 1)[1]] = spark
+    return path
 
 
 def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write df to the shared folder and read it back: lineage is cut and lost executors cost only reads."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cueweave/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
-    if _open_scratch and not keep:
-        _open_scratch[-1].append(stored)
+    if _scratch.open and not keep:
+        _scratch.open[-1].append(stored)
     return stored
 
 
@@ -66,9 +82,22 @@ def discard(*stored: DataFrame) -> None:
     for df in stored:
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             if "/cueweave/" in folder:
-                spark = df.sparkSession
-                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+                _delete(df.sparkSession, folder)
+
+
+def tidy(spark: SparkSession) -> int:
+    """Delete all tables and files in the shared folder that operators of this session have left for their lazy results; to be called when these have
+    been written or shown. Returns how many there were."""
+    names = [n for n, s in list(_left.items()) if s.sparkContext is spark.sparkContext]
+    for n in names:
+        _delete(spark, f"{shared_dir(spark)}/cueweave/{n}")
+    return len(names)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _left.pop(folder.rstrip("/").rsplit("/", 1)[1], None)
 
 
 def release(spark: SparkSession) -> None:

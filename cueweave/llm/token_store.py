@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import io
 import struct
-import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cueweave.llm import bpe
-from cueweave.llm.common import shared_dir, sliced, small_batches
+from cueweave.llm.common import new_folder, sliced, small_batches
 
 # fixed values of the file format
 SEEK_MAGIC, SKIP_MAGIC, FOOT_MAGIC = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1
@@ -121,7 +120,7 @@ def open_file(uri: str) -> FileReader:
 def write_files(docs: DataFrame, path: str, folder: str | None = None, end_id: int = 2, file_bytes: int = FILE_BYTES, id_col: str = "doc_id", text_col: str = "text") -> str:
     """Encode whole texts and write them as files in ascending id order to a new folder, which is returned.
 
-    The folder is in the shared one unless it is given, and is the caller's to delete. File names rise with the ids
+    The folder is in the shared one unless it is given, and is the caller's to delete (`common.tidy`). File names rise with the ids
     (`file_place`). Rows are dealt into ranges of (id, text hash, row number), so that repeated rows need not stay together;
     each task encodes its range and closes a file whenever it holds file_bytes. Null ids come first. Only whole texts are
     shuffled, once, and nothing but the files is written.
@@ -148,7 +147,7 @@ def write_files(docs: DataFrame, path: str, folder: str | None = None, end_id: i
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     order = ["doc_id", "_hash", "_row"]
     dealt = rows.withColumn("_hash", F.xxhash64("_text")).withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
-    folder = folder or f"{shared_dir(docs.sparkSession)}/cueweave/token-files-{uuid.uuid4().hex}"
+    folder = folder or new_folder(docs.sparkSession, "token-files")
     files = dealt.select("doc_id", "_text").mapInArrow(work, "file binary").select(F.col("file").cast("string"))
     files.write.option("maxRecordsPerFile", 1).option("encoding", "ISO-8859-1").option("lineSep", FOOT.decode("latin-1")).text(folder)
     return folder
