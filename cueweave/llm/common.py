@@ -6,6 +6,7 @@ import contextlib
 import gc
 import tempfile
 import threading
+import time
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -102,10 +103,11 @@ def _delete(spark: SparkSession, folder: str) -> None:
 
 def release(spark: SparkSession) -> None:
     """Spark deletes the shuffle files of a finished job once nothing holds its plan any more; have both collectors look now, so
-    that the files of earlier steps do not lie beside those of later ones. What Python lets go reaches the JVM a step later,
-    so they look twice."""
+    that the files of earlier steps do not lie beside those of later ones. What Python lets go reaches the JVM a moment later,
+    so they look twice, with a pause."""
     for _ in range(2):
         gc.collect()
+        time.sleep(0.3)
         spark._jvm.System.gc()
 
 

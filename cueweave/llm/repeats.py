@@ -159,16 +159,24 @@ def _open(classes: DataFrame, by: list[str]) -> DataFrame:
     return classes.join(classes.groupBy(*by).agg(F.count("*").alias("_k")).filter("_k > 1").select(*by), by)
 
 
-def _blocks(texts: DataFrame, reps: DataFrame, min_bytes: int) -> DataFrame:
-    """_id, _th, j, lo, hi, core (place of the windows' common part), bytes: the runs of reps cut into blocks of windows at distances
-    BLOCK * j .. from their anchors."""
-    lists = reps.groupBy("_id", "_th").agg(F.collect_list(F.struct("a", "n", "s")).alias("runs"))
+def _beside_texts(texts: DataFrame, rows: DataFrame, *cols: str) -> DataFrame:
+    """_id, _th, _bytes and r (struct of cols) of the rows (_id, _th, cols), whose texts' bytes they are. Each text is shuffled once."""
+    lists = rows.groupBy("_id", "_th").agg(F.collect_list(F.struct(*cols)).alias("rows"))
     there = texts.alias("t").join(lists.hint("merge").alias("l"), F.col("t._id").eqNullSafe(F.col("l._id")) & (F.col("t._th") == F.col("l._th")))
-    cut = there.select("t._id", "t._th", F.encode("_text", "UTF-8").alias("_bytes"), F.explode("runs").alias("r"))
+    return there.select("t._id", "t._th", F.encode("_text", "UTF-8").alias("_bytes"), F.explode("rows").alias("r"))
+
+
+def _blocks(texts: DataFrame, reps: DataFrame, min_bytes: int) -> DataFrame:
+    """_none, _id, _th, lo, hi, and names of blocks: the runs of reps cut into windows lo to hi at distances BLOCK * j .. from their
+    anchors. c names the part that all of them have, g1 and g2 all their bytes, both with their place beside the anchor."""
+    cut = _beside_texts(texts, reps, "a", "n", "s")
     near, far = F.expr("r.s - r.a - r.n + 1"), F.expr("r.s - r.a")
     j = F.explode(F.sequence(F.floor(near / BLOCK).cast("int"), F.floor(far / BLOCK).cast("int")))
     cut = cut.withColumn("j", j).withColumn("lo", F.greatest(F.expr("r.a"), F.expr(f"r.s - {BLOCK} * j - {BLOCK - 1}"))).withColumn("hi", F.least(F.expr("r.a + r.n - 1"), F.expr(f"r.s - {BLOCK} * j")))
-    return cut.select("_id", "_th", "j", "lo", "hi", F.expr(f"r.s - {BLOCK} * j - lo").alias("core"), F.expr(f"substring(_bytes, lo + 1, hi - lo + {min_bytes})").alias("bytes"))
+    core, whole = F.expr(f"substring(_bytes, r.s - {BLOCK} * j + 1, {min_bytes - BLOCK + 1})"), F.expr(f"substring(_bytes, lo + 1, hi - lo + {min_bytes})")
+    beside = F.expr(f"r.s - {BLOCK} * j - lo")
+    names_of = [F.xxhash64("j", core).alias("c"), *[F.xxhash64(F.lit(k), "j", beside, whole).alias(f"g{k}") for k in (1, 2)]]
+    return cut.select(F.col("_id").isNull().alias("_none"), "_id", "_th", "lo", "hi", *names_of)
 
 
 def _ranked(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -186,22 +194,25 @@ def _paired(ranked: DataFrame, parts: int) -> DataFrame:
     return whole.select("w", pairs.alias("p")).select("w", "p.*")
 
 
-def doubled(numbered: DataFrame, min_bytes: int) -> DataFrame:
-    """w: the windows of numbered (no, lo, hi, bytes) that an equal one of smaller w precedes; w is no * BLOCK + its place from lo.
+def doubled(blocks: DataFrame, min_bytes: int) -> DataFrame:
+    """w: the windows of blocks (no, lo, hi, bytes) that an equal one of smaller w precedes; w is no * BLOCK + its place from lo.
+    Blocks that come more than once count once.
 
     Ranks of quarters, halves and wholes by sorting; quarters overlap where min_bytes is no multiple of four.
     """
     q = -(-min_bytes // 4)
     starts = [0, q, min_bytes - 2 * q, min_bytes - q]
-    windows = numbered.select("no", "bytes", F.explode(F.sequence(F.lit(0), F.col("hi") - F.col("lo"))).alias("k"))
+    windows = blocks.select("no", "bytes", F.explode(F.sequence(F.lit(0), F.col("hi") - F.col("lo"))).alias("k"))
     quarters = windows.select((F.col("no") * BLOCK + F.col("k")).alias("w"), "k", "bytes", F.posexplode(F.array(*map(F.lit, starts))).alias("i", "o")).select("w", "i", F.expr(f"substring(bytes, k + o + 1, {q})").alias("x"))
     fours = materialize(_ranked(quarters, ["x"], "quarters"), "quarters")
+    release(blocks.sparkSession)
     halves = materialize(_paired(fours, 4), "half-pairs")
+    discard(fours)
     twos = materialize(_ranked(halves, ["x", "y"], "halves"), "halves")
     wholes = materialize(_paired(twos, 2), "whole-pairs")
     first = wholes.groupBy("x", "y").agg(F.min("w").alias("first"))
     later = materialize(wholes.join(first, ["x", "y"]).filter("w > first").select("w"), "later-windows")
-    discard(fours, halves, twos, wholes)
+    discard(halves, twos, wholes)
     return later
 
 
@@ -220,25 +231,30 @@ def repeated_windows(texts: DataFrame, min_bytes: int = 100) -> DataFrame:
     joined = live.select("_id", "_th", "a", F.col("n").alias("windows"), "times", *keys).join(firsts.drop("n", "s"), keys)
     # of the first occurrence of a class all but the first of equal neighbours repeat; of the later ones all
     marks = joined.select("_id", "_th", (F.col("a") + F.when(_is_first("a"), 1).otherwise(0)).alias("lo"), F.expr("a + windows + times - 2").alias("hi"), (_is_first("a") & (F.col("times") == 1)).alias("kept")).filter("not kept")
+    release(spark)
     coarse = materialize(marks.drop("kept"), "repeats-coarse")
+    discard(live)
+    release(spark)
     reps = _open(firsts, ["h"]).select(F.col("f_id").alias("_id"), F.col("f_th").alias("_th"), F.col("f_at").alias("a"), "n", "s")
     blocks = materialize(_blocks(texts, reps, min_bytes), "repeats-blocks")
-    discard(live, firsts)
+    discard(firsts)
     release(spark)
 
-    two = lambda x, p, q: [F.xxhash64(F.lit(k), F.col("j"), x).alias(c) for k, c in ((1, p), (2, q))]
-    common = F.expr(f"substring(bytes, core + 1, {min_bytes - BLOCK + 1})")
-    hashed = blocks.select("_id", "_th", F.col("_id").isNull().alias("_none"), "lo", "hi", *two(common, "c1", "c2"), *two(F.concat(F.col("core").cast("string").cast("binary"), F.lit(b":"), "bytes"), "g1", "g2"))
-    keys = ["c1", "c2", "g1", "g2"]
-    firsts = materialize(_first(hashed, keys, "lo"), "repeats-classes")
-    fine = materialize(hashed.join(firsts, keys).filter(~_is_first("lo")).select("_id", "_th", "lo", "hi"), "repeats-fine")
-    left = _open(firsts, ["c1", "c2"]).select(F.col("f_none").alias("_none"), F.col("f_id").alias("_id"), F.col("f_th").alias("_th"), F.col("f_at").alias("lo"))
-    left = blocks.alias("b").join(left.alias("o"), F.col("b._id").eqNullSafe(F.col("o._id")) & (F.col("b._th") == F.col("o._th")) & (F.col("b.lo") == F.col("o.lo"))).select("o._none", "b._id", "b._th", "b.lo", "b.hi", "b.bytes")
-    left = left.dropDuplicates(["_id", "_th", "lo"])  # of rows that repeat id and text
+    keys = ["c", "g1", "g2"]
+    firsts = materialize(_first(blocks, keys, "lo", "hi"), "repeats-classes")
+    release(spark)
+    fine = materialize(blocks.join(firsts.drop("hi"), keys).filter(~_is_first("lo")).select("_id", "_th", "lo", "hi"), "repeats-fine")
+    discard(blocks)
+    release(spark)
+    left = _open(firsts, ["c"]).select(F.col("f_none").alias("_none"), F.col("f_id").alias("_id"), F.col("f_th").alias("_th"), F.col("f_at").alias("lo"), "hi")
     numbered = materialize(with_prefix(left.withColumn("_one", F.lit(1).cast("long")), [*_PLACE, "lo"], "_one", "no", "repeats-order").drop("_one", "_total"), "repeats-numbered")
-    discard(blocks, firsts)
+    discard(firsts)
+    release(spark)
+    strings = _beside_texts(texts, numbered, "no", "lo", "hi").select("r.no", "r.lo", "r.hi", F.expr(f"substring(_bytes, r.lo + 1, r.hi - r.lo + {min_bytes})").alias("bytes"))
+    strings = materialize(strings, "repeats-strings")
     release(spark)
-    later = doubled(numbered.select("no", "lo", "hi", "bytes"), min_bytes)
+    later = doubled(strings, min_bytes)
+    discard(strings)
     release(spark)
     at = (F.col("lo") + F.pmod("w", F.lit(BLOCK)).cast("int")).alias("at")
     exact = later.withColumn("no", F.expr(f"w div {BLOCK}")).join(numbered.select("no", "_id", "_th", "lo"), "no").select("_id", "_th", at)
