@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cueweave.functions import text
+from cueweave.functions.timecode import srt_time
 from cueweave.schema import STATUSES
 
 
@@ -64,3 +66,27 @@ def markdown(report: DataFrame) -> DataFrame:
     rows = report.groupBy("layer").agg(F.transform(F.sort_array(F.collect_list(F.struct("ep", "time", "original", line.alias("line")))), lambda x: x["line"]).alias("lines"))
     head = F.concat(F.lit("## L"), F.col("layer"), F.lit("\n\n| ep | time | original | corrected | status |\n| --- | --- | --- | --- | --- |\n"))
     return rows.select("layer", F.concat(head, F.array_join("lines", "\n"), F.lit("\n")).alias("section"))
+
+
+def foreign_kind(c: Column) -> Column:
+    """What is wrong with a garbled Chinese line: cyrillic, kana, mixed (Latin beside han), or foreign."""
+    return F.when(text.has(c, text.CYRILLIC_BLOCK), "cyrillic").when(text.has(c, text.KANA), "kana").when(text.has(c, text.LATIN) & text.has(c, text.HAN), "mixed").otherwise("foreign")
+
+
+# fixed values: how the kinds are called in reports, and their heads
+KINDS = {"cyrillic": "俄语残留", "kana": "日语残留", "mixed": "双语混合", "foreign": "纯外语"}
+DEGRADED_HEAD = "# 问题解决报告\n\n> 生成时间: {day}\n> 模式: 残血运行（无 Whisper）— 以下问题需手动/AI 处理\n> 乱码总数: "
+DEGRADED_TABLE = "\n\n---\n\n## ⬜ 未修复乱码（扫描发现，待手动处理）\n\n| # | 文件 | 行号 | 时间码 | 原文 | 问题类型 |\n|---|------|------|--------|------|---------|\n"
+
+
+def degraded(garbled: DataFrame, day: str, shown: int | None = 60) -> DataFrame:
+    """file, content: a Markdown report an episode of garbled cues (ep, file, line, start_ms, text) that nobody can hear again, for
+    people to mend. Texts are cut to `shown` characters (None: whole), their bars escaped and line breaks made spaces."""
+    cut = F.col("text") if shown is None else F.substring("text", 1, shown)
+    names = F.element_at(F.create_map(*[F.lit(x) for kv in KINDS.items() for x in kv]), foreign_kind(cut))
+    clean = F.replace(F.regexp_replace(F.coalesce(cut, F.lit("")), "[\\r\\n]+", " "), F.lit("|"), F.lit("\\|"))
+    row = F.struct("start_ms", "file", "line", F.concat_ws(" | ", F.coalesce("file", F.lit("?")), F.coalesce(F.col("line").cast("string"), F.lit("?")), F.when(F.col("start_ms").isNull(), "?").otherwise(srt_time(F.col("start_ms"))), clean, F.coalesce(names, F.lit(KINDS["foreign"]))).alias("cells"))
+    per = garbled.groupBy("ep").agg(F.sort_array(F.collect_list(row)).alias("l"))
+    lines = F.array_join(F.transform("l", lambda x, i: F.concat(F.lit("| "), (i + 1).cast("string"), F.lit(" | "), x["cells"], F.lit(" |"))), "\n")
+    content = F.concat(F.lit(DEGRADED_HEAD.format(day=day)), F.size("l").cast("string"), F.lit(DEGRADED_TABLE), lines, F.lit("\n"))
+    return per.select(F.concat("ep", F.lit("_degraded.md")).alias("file"), content.alias("content"))

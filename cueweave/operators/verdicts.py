@@ -144,3 +144,29 @@ def append_names(candidates: DataFrame, existing: DataFrame, common: DataFrame,
     new = candidates.filter("name is not null and name != ''").join(existing.select(F.col(existing.columns[0]).alias("name")).distinct(), "name", "left_anti")
     valid = flagged(new, common, "name", "_common").filter(append_reason(F.col("name"), F.col("_common"), lang).isNull())
     return first_wins(valid.drop("_common"), ["name"], ["seq"]).select("seq", "name", "n")
+
+
+def glossary_terms(freqs: DataFrame, common: DataFrame, whitelist: DataFrame | None = None, dictionary: DataFrame | None = None, labels: DataFrame | None = None, lang: str = "ja", least: int = 3, rare: int = 10, shortest: int = 2) -> DataFrame:
+    """(term, freq, kind) of the terms that a glossary takes from (term, freq), kind katakana or kanji.
+
+    Terms of `least` occurrences that are words, no labels, and, unless whitelisted, neither common nor in the dictionary (term, and for zh
+    freq: only entries more frequent than `rare` count). ja: katakana without kanji of `shortest` characters, kanji terms of two; a common word
+    is none even if whitelisted. Other languages: kanji terms of two characters. Word lists of any length are joined by equality; of
+    repeated dictionary entries the most frequent counts.
+    """
+    words = lambda df: df.select(F.col(df.columns[0]).alias("term"))
+    rows = freqs.select("term", "freq").filter((F.col("freq") >= least) & ~is_non_word(F.col("term"), lang))
+    if labels is not None:
+        rows = rows.join(words(labels), "term", "left_anti")
+    rows = flagged(rows, words(common), "term", "_common")
+    rows = flagged(rows, words(whitelist), "term", "_listed") if whitelist is not None else rows.withColumn("_listed", F.lit(False))
+    if dictionary is not None and lang in ("ja", "zh"):
+        entries = words(dictionary) if lang == "ja" else dictionary.filter(F.col("freq") > rare).select("term")
+        rows = flagged(rows, entries, "term", "_known")
+    else:
+        rows = rows.withColumn("_known", F.lit(False))
+    katakana, kanji, n = text.has(F.col("term"), text.KATAKANA), text.has(F.col("term"), text.HAN), F.length("term")
+    ja = F.lit(lang == "ja")
+    kind = F.when(ja & katakana & ~kanji, F.when(~F.col("_common") & (n >= shortest), "katakana")).when(kanji & (n >= 2) & ~(ja & F.col("_common")), "kanji")
+    kept = rows.filter(F.col("_listed") | ~(F.col("_common") | F.col("_known"))).withColumn("kind", kind)
+    return kept.filter("kind is not null").select("term", "freq", "kind")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cueweave.functions import lexicon as lex
 from cueweave.functions import text as T
-from cueweave.operators import nouns, review, segmentation, summary, verdicts
+from cueweave.operators import nouns, report, review, segmentation, summary, verdicts
 from cueweave.plans.catalogue import TIMELINE, corpus, cues, query, table, timeline
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -300,3 +300,45 @@ def natural_lines(spark, sf):
         c = F.replace(c, F.lit(a), F.lit(b))
     d = table(spark, sf, "documents").select("doc_id", F.translate(c, LETTERS, HANZI).alias("t"))
     return d.select("doc_id", T.natural_zh(F.col("t")).alias("x")).select("doc_id", F.md5("x.text").alias("digest"), F.col("x.n").cast("long").alias("n"))
+
+
+# the chain that leads from frequencies to a glossary
+
+
+def chain_sql(lang: str) -> str:
+    known = "term IN (SELECT term FROM d)" if lang == "ja" else "term IN (SELECT term FROM d WHERE freq > 10)"
+    katakana = "regexp_matches(term, '[゠-ヿ]') AND NOT regexp_matches(term, '[一-鿿]')" if lang == "ja" else "false"
+    listed_too = "AND term NOT IN (SELECT term FROM k)" if lang == "ja" else ""
+    return f"""WITH {words_sql(BY_LANG)}, {listed_sql(KANJI, KATAKANA)}, t AS (SELECT term, count(*) AS freq FROM w GROUP BY term HAVING count(*) >= 3),
+b AS (SELECT item_id, unnest(regexp_extract_all(translate(text, '{LETTERS}', '{KANJI}'), '{SEP}')) AS term FROM benchmark), l AS (SELECT DISTINCT term FROM b WHERE item_id % 4 = 0), d AS (SELECT term, count(*) AS freq FROM b WHERE item_id % 2 = 1 GROUP BY term),
+x AS (SELECT * FROM t WHERE NOT {non_word_sql(lang)} AND (term IN (SELECT term FROM l) OR NOT (term IN (SELECT term FROM k) OR {known})))
+SELECT term, freq, kind FROM (SELECT *, CASE WHEN {katakana} THEN CASE WHEN length(term) >= 2 {listed_too} THEN 'katakana' END WHEN regexp_matches(term, '[一-鿿]') AND length(term) >= 2 {listed_too} THEN 'kanji' END AS kind FROM x) WHERE kind IS NOT NULL"""
+
+
+def chained(spark, sf, lang):
+    freqs = words(spark, sf, BY_LANG).groupBy("term").agg(F.count("*").alias("freq"))
+    b = table(spark, sf, "benchmark").select("item_id", F.explode(F.regexp_extract_all(F.translate("text", LETTERS, KANJI), F.lit(SEP), F.lit(0))).alias("term"))
+    dictionary = b.filter("item_id % 2 = 1").groupBy("term").agg(F.count("*").alias("freq"))
+    common = listed(spark, sf, KANJI).union(listed(spark, sf, KATAKANA))
+    return verdicts.glossary_terms(freqs, common, b.filter("item_id % 4 = 0").select("term"), dictionary, lang=lang)
+
+
+@query(chain_sql("ja"))
+def glossary_terms_ja(spark, sf):
+    return chained(spark, sf, "ja")
+
+
+@query(chain_sql("zh"))
+def glossary_terms_zh(spark, sf):
+    return chained(spark, sf, "zh")
+
+
+# S14: kinds of foreign lines
+
+
+@query(f"""WITH x AS (SELECT doc_id, {carried_sql('text', f'CAST({NUMBER} AS VARCHAR)', FILE_SCRIPT)} AS t FROM documents)
+SELECT CASE WHEN regexp_matches(t, '[Ѐ-ӿ]') THEN 'cyrillic' WHEN regexp_matches(t, '[぀-ヿ]') THEN 'kana' WHEN regexp_matches(t, '[a-zA-Z]') AND regexp_matches(t, '[一-鿿]') THEN 'mixed' ELSE 'foreign' END AS kind, count(*) AS n FROM x GROUP BY 1""")
+def foreign_kinds(spark, sf):
+    n = F.expr("cast(cast(coalesce(nullif(regexp_extract(source, '[0-9]+', 0), ''), '0') as int) % 5 as string)")
+    d = table(spark, sf, "documents").select(carried(F.col("text"), n, FILE_SCRIPT).alias("t"))
+    return d.groupBy(report.foreign_kind(F.col("t")).alias("kind")).agg(F.count("*").alias("n"))

@@ -135,9 +135,21 @@ def formats(files: DataFrame) -> DataFrame:
     return c.withColumn("primary", F.when((F.col("n_srt") > 0) & (F.col("n_ass") > 0), "mixed").when(F.col("n_srt") > 0, "srt").when(F.col("n_ass") > 0, "ass"))
 
 
-def ass_statistics(ass: DataFrame, by: str = "style") -> DataFrame:
-    """Dialogue lines by style or name: n, n_files, and the first text that is not empty."""
+def visible_texts(ass: DataFrame, styles: list[str] | None = None) -> DataFrame:
+    """file, line, text of dialogue lines (of these styles, if any are given) that show something, without tags."""
+    rows = ass.filter("kind = 'dialogue'")
+    rows = rows.filter(F.col("style").isin(styles)) if styles else rows
+    return rows.select("file", "line", text.strip_ass_tags(F.col("text")).alias("text")).filter(text.strip(F.col("text")) != "")
+
+
+def speaker_names(ass: DataFrame) -> DataFrame:
+    """The distinct names of dialogue lines."""
+    return ass.filter("kind = 'dialogue' and name != ''").select("name").distinct()
+
+
+def ass_statistics(ass: DataFrame, by: str = "style", shown: int | None = 30) -> DataFrame:
+    """Dialogue lines by style or name: n, n_files, and the first `shown` characters (None: all) of the first text that is not empty."""
     t = text.strip_ass_tags(F.col("text"))
     return ass.filter("kind = 'dialogue'").groupBy(by).agg(
-        F.count("*").alias("n"), F.countDistinct("file").alias("n_files"), F.min_by(F.when(t != "", F.substring(t, 1, 30)), F.when(t != "", F.struct("file", "line"))).alias("sample")
+        F.count("*").alias("n"), F.countDistinct("file").alias("n_files"), F.min_by(F.when(t != "", t if shown is None else F.substring(t, 1, shown)), F.when(t != "", F.struct("file", "line"))).alias("sample")
     )

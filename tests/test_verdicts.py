@@ -72,3 +72,30 @@ def test_neighbours_at_any_distance(spark):
     clusters = spark.createDataFrame([("e", 1, 1_000_000), ("e", 2, 0), ("e", 3, 9_000_000), ("f", 4, 5), ("g", 5, 5)], "ep string, _id long, start_ms long")
     got = {r["_id"]: (r["before"], r["after"]) for r in review.beside(clusters, cues, ["ep"]).collect()}
     assert got == {1: (1, 4), 2: (None, 2), 3: (4, None), 4: (None, None), 5: (None, None)}
+
+
+def test_chain_to_a_glossary(spark):
+    freqs = spark.createDataFrame([("アトム", 9), ("ア", 9), ("ロボット", 9), ("鉄腕", 5), ("今日", 9), ("天馬", 3), ("猫", 9), ("少", 2), ("ーー", 9), ("abc", 9), ("音楽", 9), ("アトム博士", 4), ("希少", 8)], "term string, freq int")
+    words = lambda *w: spark.createDataFrame([(x,) for x in w], "w string")
+    dictionary = spark.createDataFrame([("今日", 100), ("天馬", 100), ("希少", 3), ("希少", 4)], "term string, freq int")
+    args = (freqs, words("ロボット", "鉄腕", "鉄腕"), words("天馬", "鉄腕"), dictionary, words("音楽"))
+    assert {tuple(r) for r in verdicts.glossary_terms(*args, lang="ja").collect()} == {("アトム", 9, "katakana"), ("天馬", 3, "kanji"), ("アトム博士", 4, "kanji")}
+    assert {tuple(r) for r in verdicts.glossary_terms(*args, lang="zh").collect()} == {("天馬", 3, "kanji"), ("アトム博士", 4, "kanji"), ("鉄腕", 5, "kanji"), ("希少", 8, "kanji")}
+
+
+def test_degraded_reports(spark):
+    from cueweave.operators import report
+
+    rows = [("EP1", "a.srt", 7, 61_000, "Привет | x"), ("EP1", "a.srt", 3, 1_000, "你好 hello\nyou"), ("EP2", "b.srt", None, None, None), ("EP2", "b.srt", 1, 5, "こんにちは" * 30)]
+    got = {r["file"]: r["content"] for r in report.degraded(spark.createDataFrame(rows, "ep string, file string, line int, start_ms long, text string"), "2024-05-01 10:00").collect()}
+    assert got["EP1_degraded.md"].split("\n")[4] == "> 乱码总数: 2" and got["EP1_degraded.md"].endswith("| 1 | a.srt | 3 | 00:00:01,000 | 你好 hello you | 双语混合 |\n| 2 | a.srt | 7 | 00:01:01,000 | Привет \\| x | 俄语残留 |\n")
+    assert "| 1 | b.srt | ? | ? |  | 纯外语 |\n| 2 | b.srt | 1 | 00:00:00,005 | " + ("こんにちは" * 30)[:60] + " | 日语残留 |\n" in got["EP2_degraded.md"]
+
+
+def test_visible_texts_and_names(spark):
+    from cueweave.sources import subtitles
+
+    ass = "[Events]\nDialogue: 0,0:00:01.50,0:00:02.00,Default,Bob,0,0,0,,{\\i1}Hi\nDialogue: 0,0:00:01.50,0:00:02.00,Sign,,0,0,0,,{\\p1}\nDialogue: 0,0:00:01.50,0:00:02.00,Sign,Bob,0,0,0,,Shop\nComment: 0,0:00:01.50,0:00:02.00,Sign,Eve,0,0,0,,no\n"
+    lines = subtitles.parse_ass(spark.createDataFrame([("a.ass", ass)], "file string, content string"))
+    assert sorted(r["text"] for r in subtitles.visible_texts(lines).collect()) == ["Hi", "Shop"] and [r["text"] for r in subtitles.visible_texts(lines, ["Sign"]).collect()] == ["Shop"]
+    assert [r["name"] for r in subtitles.speaker_names(lines).collect()] == ["Bob"]
