@@ -451,10 +451,15 @@ SAMPLE, SAMPLE_CHARS = 400, 1 << 16
 
 
 def fit(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE, most_chars: int = SAMPLE_CHARS) -> tuple[float, ...]:
-    """Weights from at most `sample` pages of at most `most_chars` characters each that name an article or main element, those of least hash."""
+    """Weights from at most `sample` pages of at most `most_chars` characters each that name an article or main element, those of least
+    hash. Only about as many pages reach the driver, however many tasks there are: a first pass counts, and the hash picks that
+    share; copies count once."""
     c = F.col(html_col)
-    some = pages.filter((F.length(c) <= most_chars) & c.rlike("(?i)<(?:article|main)\\b")).select(c.alias("h")).distinct()
-    return fit_weights([r["h"] for r in some.orderBy(F.xxhash64("h"), F.md5("h")).limit(sample).collect()])
+    some = pages.filter((F.length(c) <= most_chars) & c.rlike("(?i)<(?:article|main)\\b")).select(F.xxhash64(c).alias("k"), c.alias("h"))
+    n = some.count()
+    if n > sample:
+        some = some.filter(F.col("k") < -(1 << 63) + (1 << 64) * sample // n)
+    return fit_weights([r["h"] for r in some.dropDuplicates(["k"]).orderBy("k").limit(sample).collect()])
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", weights: tuple[float, ...] | None = None) -> DataFrame:
