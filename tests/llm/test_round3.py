@@ -175,3 +175,12 @@ def test_op13_odd(spark):
     assert sorted(repr(tuple(r)) for r in got.collect()) == importance_brute(docs, ["word1 word2 ONE", None, ""], 60, 10_000, 1, 1)
     assert importance.resample(none(spark), target).count() == 0
     assert importance.resample(odd(spark), target.limit(0), least_words=1).count() == 12
+
+
+def test_op3_without_queries_or_candidates(spark):
+    from cueweave.llm import bit_codes
+
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, [2.0, 1.0]), (20, [1.0, 1.0])], "vec_id long, embedding array<float>")
+    assert bit_codes.search(df.filter("vec_id < 20")).count() == 0
+    assert [tuple(r) for r in bit_codes.search(df).orderBy("rank").collect()] == [(20, 1, 1, 3.0), (20, 2, 2, 3.0)]
+    assert bit_codes.search(df.filter("vec_id = 20")).count() == 0
