@@ -2,9 +2,10 @@
 
 Words and runs of words are hashed into buckets. A bucket's gain is the log-ratio of its smoothed shares in the target and
 in the documents; a document's weight is the mean gain of its features, and documents are drawn without replacement by
-weight plus Gumbel noise. Postings (bucket, document, count) are shuffled by bucket and a salt, so that a bucket that half of all
-documents have is spread over tasks; each part meets its bucket's totals of both corpora there, and what it adds to its documents is
-summed up within tasks before it is shuffled by document.
+weight plus Gumbel noise. Postings (bucket, document, count) are shuffled by group of buckets and a salt of the document: those of
+one document for one group travel together, and a bucket that half of all documents have is spread over the salts. Each
+part meets its buckets' gains there, which come from the totals of both corpora, and adds up what they give its documents; a
+document gets one sum from each group, however many tasks there are.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql.types import StructType
 
 from cueweave.llm.common import materialize, quoted, scratch, sliced, small_batches, with_prefix
 
-SALTS = 16
+GROUPS, SALTS = 64, 64
 #: Bytes of words: digits, letters and all of non-ASCII characters; A-Z become a-z and all others spaces.
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 
@@ -39,15 +40,21 @@ def features(text: str | None, buckets: int, longest: int) -> tuple[int, Counter
 def _featured(texts: DataFrame, buckets: int, longest: int) -> DataFrame:
     """The columns of texts but _text, with words, n, and postings (arrays of buckets and counts)."""
     kept = [f for f in texts.schema.fields if f.name != "_text"]
-    schema = StructType([*kept, *StructType.fromDDL("words long, n long, buckets array<int>, counts array<int>").fields])
+    schema = StructType([*kept, *StructType.fromDDL("words long, n long, posts array<struct<g: int, entries: array<long>>>").fields])
     at = texts.columns.index("_text")
+    kind = pa.list_(pa.struct([("g", pa.int32()), ("entries", pa.list_(pa.int64()))]))
+
+    def grouped(counts: Counter) -> list[dict]:
+        out: dict[int, list[int]] = {}
+        for bucket, n in sorted(counts.items()):
+            out.setdefault(bucket % GROUPS, []).append(bucket // GROUPS << 32 | n)
+        return [{"g": g, "entries": entries} for g, entries in out.items()]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches, 256):
             found = [features(t.as_py(), buckets, longest) for t in b.column(at)]
             yield pa.RecordBatch.from_arrays(
-                [*[b.column(i) for i in range(b.num_columns) if i != at], pa.array([w for w, _ in found], pa.int64()), pa.array([c.total() for _, c in found], pa.int64()),
-                 pa.array([list(c) for _, c in found], pa.list_(pa.int32())), pa.array([list(c.values()) for _, c in found], pa.list_(pa.int32()))],
+                [*[b.column(i) for i in range(b.num_columns) if i != at], pa.array([w for w, _ in found], pa.int64()), pa.array([c.total() for _, c in found], pa.int64()), pa.array([grouped(c) for _, c in found], kind)],
                 names=schema.names,
             )
 
@@ -55,8 +62,10 @@ def _featured(texts: DataFrame, buckets: int, longest: int) -> DataFrame:
     return texts.mapInArrow(work, schema)
 
 
-def _postings(featured: DataFrame, *keys: str) -> DataFrame:
-    return featured.select(*keys, F.explode(F.arrays_zip("buckets", "counts")).alias("p")).select(*keys, F.col("p.buckets").alias("bucket"), F.col("p.counts").alias("count"))
+def _totals(featured: DataFrame, name: str) -> DataFrame:
+    """g, i, and the occurrences of bucket i * GROUPS + g; tasks add up their own before the shuffle."""
+    entries = featured.select(F.explode("posts").alias("p")).select("p.g", F.explode("p.entries").alias("x"))
+    return entries.select("g", F.shiftright("x", 32).cast("int").alias("i"), F.col("x").bitwiseAND(F.lit(0xFFFFFFFF)).alias("n")).groupBy("g", "i").agg(F.sum("n").alias(name))
 
 
 def resample(docs: DataFrame, target: DataFrame, share: int = 10, buckets: int = 10_000, longest: int = 1, least_words: int = 20, seed: str = "2024", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -72,17 +81,19 @@ def resample(docs: DataFrame, target: DataFrame, share: int = 10, buckets: int =
         # rows are numbered as they are stored: a short key for postings, and rows that repeat id and text stay apart
         featured = materialize(_featured(texts, buckets, longest).withColumn("_row", F.monotonically_increasing_id()), "importance-features")
         aims = _featured(target.select(F.col(quoted(text_col)).alias("_text")), buckets, longest)
-        aims = materialize(_postings(aims).groupBy("bucket").agg(F.sum("count").alias("t")), "importance-target")
-        here = materialize(_postings(featured).groupBy("bucket").agg(F.sum("count").alias("s")), "importance-corpus")
-        s_all = here.agg(F.coalesce(F.sum("s"), F.lit(0))).first()[0]
-        t_all = aims.agg(F.coalesce(F.sum("t"), F.lit(0))).first()[0]
+        aims, here = materialize(_totals(aims, "t"), "importance-target"), materialize(_totals(featured, "s"), "importance-corpus")
+        s_all, t_all = (df.agg(F.coalesce(F.sum(c), F.lit(0))).first()[0] for df, c in ((here, "s"), (aims, "t")))
 
-        postings = _postings(featured, "_row").withColumn("salt", F.pmod(F.xxhash64("_row"), F.lit(SALTS)).cast("int"))
         d = lambda c, plus: F.coalesce(F.col(c), F.lit(0)).cast("double") + F.lit(float(plus))
         ratio = d("t", 1) * F.lit(float(s_all + buckets)) / (d("s", 1) * F.lit(float(t_all + buckets)))
-        gains = here.join(aims, "bucket", "left").select("bucket", F.floor(1000 * F.log(ratio)).alias("gain"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        gained = here.join(aims, ["g", "i"], "left").select("g", "i", F.floor(1000 * F.log(ratio)).alias("gain"))
+        by_place = F.map_from_entries(F.collect_list(F.struct("i", "gain")))  # as many as a group has buckets
+        gains = gained.groupBy("g").agg(by_place.alias("m")).select("g", F.transform(F.sequence(F.lit(0), F.lit(-(-buckets // GROUPS) - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0).cast("long"))).alias("gains"))
+        gains = gains.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        postings = featured.select("_row", F.pmod(F.xxhash64("_row"), F.lit(SALTS)).cast("int").alias("salt"), F.explode("posts").alias("p")).select("_row", "salt", "p.g", "p.entries")
+        given = F.expr("aggregate(entries, 0L, (sum, x) -> sum + (x & 4294967295L) * gains[cast(shiftright(x, 32) as int)])")
         none = lambda c: F.lit(None).cast(featured.schema[c].dataType).alias(c)
-        added = postings.join(gains.hint("shuffle_hash"), ["bucket", "salt"]).select("_row", (F.col("count") * F.col("gain")).alias("add"), *map(none, ("_id", "_th", "n", "words")))
+        added = postings.join(gains.hint("shuffle_hash"), ["g", "salt"]).select("_row", given.alias("add"), *map(none, ("_id", "_th", "n", "words")))
         own = featured.select("_row", F.lit(0).cast("long").alias("add"), "_id", "_th", "n", "words")
         weighed = added.unionByName(own).groupBy("_row").agg(F.sum("add").alias("add"), *[F.max(c).alias(c) for c in ("_id", "_th", "n", "words")])
 
