@@ -203,11 +203,12 @@ def doubled(blocks: DataFrame, min_bytes: int) -> DataFrame:
     q = -(-min_bytes // 4)
     starts = [0, q, min_bytes - 2 * q, min_bytes - q]
     windows = blocks.select("no", "bytes", F.explode(F.sequence(F.lit(0), F.col("hi") - F.col("lo"))).alias("k"))
-    quarters = windows.select((F.col("no") * BLOCK + F.col("k")).alias("w"), "k", "bytes", F.posexplode(F.array(*map(F.lit, starts))).alias("i", "o")).select("w", "i", F.expr(f"substring(bytes, k + o + 1, {q})").alias("x"))
+    quarters = windows.select((F.col("no") * BLOCK + F.col("k")).alias("w"), "k", "bytes", F.posexplode(F.array(*map(F.lit, starts))).alias("i", "o")).select("w", F.col("i").cast("byte").alias("i"), F.expr(f"substring(bytes, k + o + 1, {q})").alias("x"))
     fours = materialize(_ranked(quarters, ["x"], "quarters"), "quarters")
     release(blocks.sparkSession)
     halves = materialize(_paired(fours, 4), "half-pairs")
     discard(fours)
+    release(blocks.sparkSession)
     twos = materialize(_ranked(halves, ["x", "y"], "halves"), "halves")
     wholes = materialize(_paired(twos, 2), "whole-pairs")
     first = wholes.groupBy("x", "y").agg(F.min("w").alias("first"))
