@@ -104,10 +104,10 @@ def _delete(spark: SparkSession, folder: str) -> None:
 def release(spark: SparkSession) -> None:
     """Spark deletes the shuffle files of a finished job once nothing holds its plan any more; have both collectors look now, so
     that the files of earlier steps do not lie beside those of later ones. What Python lets go reaches the JVM a moment later,
-    and the cleaner's thread needs its time, so they look three times, with pauses."""
-    for _ in range(3):
+    so they look twice, with a pause."""
+    for _ in range(2):
         gc.collect()
-        time.sleep(0.7)
+        time.sleep(0.3)
         spark._jvm.System.gc()
 
 
