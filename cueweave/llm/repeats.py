@@ -6,8 +6,9 @@ documents and places. Names of windows are doubled: a string of 2n bytes is name
 1. Within a document names of 8, 16, 32 .. bytes are doubled in numpy (`names`). Of the `span` strings of `gram` bytes in a window the
    one of least name is its anchor, so equal windows have equal anchors at equal distances, and most windows share
    theirs with their neighbours. Windows whose anchor's name occurs once cannot repeat; that settles most of a corpus.
+   An anchor is a third of a window: shorter strings of plain text come again by chance, the more often the larger the corpus is.
 2. Runs of windows of one anchor whose whole strings are equal stay once, as equal rows would get equal ranks; the later ones
-   have repeated. The same is done with runs of `BLOCK` windows, and blocks whose common part occurs once cannot repeat.
+   have repeated. The same is done with runs of `BLOCK` windows, after blocks whose common part occurs once have left.
 3. What is still open are windows near the ends of repeats. Spark numbers them in the order of their places and doubles
    their ranks at growing offsets: the quarters of a window are sorted and ranked, then pairs of ranks of its halves,
    then of the whole; windows with a part that occurs once leave on the way.
@@ -28,45 +29,37 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from cueweave.llm.common import discard, materialize, packed, quoted, release, scratch, sliced, small_batches, with_prefix
 
 BLOCK = 8
-PIECE = 1 << 20  # windows of a text that numpy takes at a time
+PIECE = 1 << 16  # bytes that numpy takes at a time: many short texts or a part of a long one
 _ODD = ((0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 29), (0xC2B2AE3D27D4EB4F, 0x94D049BB133111EB, 31))
 _PLACE = ("_none", "_id", "_th")
 
 
 def shape(min_bytes: int) -> tuple[int, int, int]:
-    """gram, span, top: bytes of an anchor, anchors in a window, the longest doubled name in a window."""
-    gram = max(8, 1 << (min_bytes // 6).bit_length() - 1)
-    return gram, min_bytes - gram + 1, 1 << (min_bytes.bit_length() - 1)
-
-
-def names(data: np.ndarray, gram: int, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """64-bit names at each place by doubling: of the strings of gram bytes, and two independent ones of those of top bytes.
-    Up to eight bytes a name is the string itself."""
-    eight = data.astype(np.uint64)
-    for n in (1, 2, 4):
-        eight = eight[:-n] << np.uint64(8 * n) | eight[n:]
-    at_gram, tops = eight, []
-    for a, b, turn in (tuple(np.uint64(x) for x in k) for k in _ODD):
-        h, n = eight, 8
-        while n < top:
-            if n == gram and not tops:
-                at_gram = h
-            right = h[n:] >> turn
-            right ^= h[n:]
-            right *= a
-            left = h[: len(h) - n] ^ (h[: len(h) - n] >> turn)
-            left *= b
-            right += left
-            h, n = right, n * 2
-        tops.append(h)
-        if n == gram and len(tops) == 1:
-            at_gram = h
-    a, b, turn = (np.uint64(x) for x in _ODD[0])
-    mixed = at_gram ^ (at_gram >> turn)
+    """gram, span, word: bytes of an anchor, anchors in a window, bytes that are taken as they are."""
+    gram = max(8, 1 << (min_bytes // 3).bit_length() - 1)
+    return gram, min_bytes - gram + 1, 8
+
+
+def names(data: np.ndarray, gram: int, word: int) -> tuple[np.ndarray, np.ndarray]:
+    """At each place, by doubling: a 64-bit name of the string of gram bytes, and the string of word bytes itself."""
+    words, n = data.astype(np.uint64), 1
+    while n < word:
+        words = words[:-n] << np.uint64(8 * n) | words[n:]
+        n *= 2
+    h, (a, b, turn) = words, (np.uint64(x) for x in _ODD[0])
+    while n < gram:
+        right = h[n:] >> turn
+        right ^= h[n:]
+        right *= a
+        left = h[: len(h) - n] ^ (h[: len(h) - n] >> turn)
+        left *= b
+        right += left
+        h, n = right, n * 2
+    mixed = h ^ (h >> turn)
     mixed *= b
     mixed ^= mixed >> np.uint64(32)
     mixed *= a
-    return mixed, tops[0], tops[1]
+    return mixed, words
 
 
 def _least(h: np.ndarray, span: int) -> np.ndarray:
@@ -77,16 +70,24 @@ def _least(h: np.ndarray, span: int) -> np.ndarray:
     return np.minimum(m[: len(m) - (span - n)], m[span - n :]) if n < span else m
 
 
-def runs(data: np.ndarray, min_bytes: int) -> tuple[np.ndarray, ...]:
-    """Runs of windows that share an anchor: first window, windows, the anchor's place, occurrences, name, two names of the
-    whole string. Runs of one window that repeat at the next places are one with that many occurrences."""
-    gram, span, top = shape(min_bytes)
-    h, g1, g2 = names(data, gram, top)
+def anchors(data: np.ndarray, min_bytes: int, ends: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Runs of windows that share an anchor: first window, windows, the anchor's place, its name; and the words at all places.
+    data may be several strings, of min_bytes at least, that end at ends; no window lies in two."""
+    gram, span, word = shape(min_bytes)
+    ends = np.array([len(data)]) if ends is None else ends
+    h, words = names(data, gram, word)
     m = _least(h, span)
-    first = np.flatnonzero(np.concatenate(([True], m[1:] != m[:-1])))
+    new = np.concatenate(([True], m[1:] != m[:-1]))
+    starts = np.concatenate(([0], ends[:-1]))
+    new[starts] = new[ends[:-1] - min_bytes + 1] = True
+    first = np.flatnonzero(new)
     n = np.diff(np.append(first, len(m)))
+    inside = first <= (ends - min_bytes)[np.searchsorted(ends, first, "right")]
+    first, n = first[inside], n[inside]
     at = first + span - 1  # where the least name falls, it has just come in at the right end
-    other = np.flatnonzero(np.concatenate(([True], m[first[1:]] > m[first[1:] - 1])))
+    other = m[first] > m[first - 1]
+    other[np.searchsorted(first, starts)] = True
+    other = np.flatnonzero(other)
     for i in range(0, len(other), 4096):
         f = first[other[i : i + 4096]]
         at[other[i : i + 4096]] = f + h[f[:, None] + np.arange(span)].argmin(1)
@@ -100,17 +101,68 @@ def runs(data: np.ndarray, min_bytes: int) -> tuple[np.ndarray, ...]:
         first, n, at = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.argsort(first)
         first, n, at = first[order], n[order], at[order]
-    length = n - 1 + min_bytes
-    whole = []
-    for g, (a, b, turn) in zip((g1, g2), (tuple(np.uint64(x) for x in k) for k in _ODD), strict=True):
-        f = (n * 1024 + (at - first)).astype(np.uint64) * a
-        for k in range(-(-(span - 1 + min_bytes) // top)):
-            f = (f ^ (f >> turn)) * b + g[first + np.minimum(k * top, length - top)]
-        whole.append(((f ^ (f >> turn)) * a).view(np.int64))
+    return first, n, at, m[first].view(np.int64), words
+
+
+def _wholes(first: np.ndarray, n: np.ndarray, beside: np.ndarray, words: np.ndarray, min_bytes: int) -> list[np.ndarray]:
+    """Two independent 64-bit names of the whole strings of runs, with their anchors' places in them."""
+    _, span, word = shape(min_bytes)
+    out: list[list[np.ndarray]] = [[] for _ in _ODD]
+    places = np.arange(0, span - 1 + min_bytes, word)
+    for i in range(0, len(first), 4096):
+        f, k = first[i : i + 4096], n[i : i + 4096]
+        parts = words[f[:, None] + np.minimum(places, (k - 1 + min_bytes - word)[:, None])]
+        for o, (a, b, turn) in zip(out, (tuple(np.uint64(x) for x in c) for c in _ODD), strict=True):
+            x = parts + (places + 1).astype(np.uint64) * b
+            x ^= x >> turn
+            x *= a
+            x ^= x >> np.uint64(32)
+            x *= b
+            x ^= x >> turn
+            g = x.sum(1) + (k * span + beside[i : i + 4096]).astype(np.uint64) * a
+            o.append(((g ^ (g >> turn)) * b).view(np.int64))
+    return [np.concatenate(o) for o in out]
+
+
+def runs(data: np.ndarray, min_bytes: int, ends: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Runs of windows that share an anchor: first window, windows, the anchor's place, occurrences, name, two names of the
+    whole string. Runs of one window that repeat at the next places are one with that many occurrences."""
+    first, n, at, m, words = anchors(data, min_bytes, ends)
+    whole = _wholes(first, n, at - first, words, min_bytes)
     again = (n[1:] == 1) & (n[:-1] == 1) & (first[1:] == first[:-1] + 1) & (whole[0][1:] == whole[0][:-1]) & (whole[1][1:] == whole[1][:-1])
     keep = np.flatnonzero(np.concatenate(([True], ~again)))
     times = np.diff(np.append(keep, len(first)))
-    return first[keep], n[keep], at[keep], times, m[first[keep]].view(np.int64), whole[0][keep], whole[1][keep]
+    return first[keep], n[keep], at[keep], times, m[keep], whole[0][keep], whole[1][keep]
+
+
+def _pieces(texts: pa.Array, min_bytes: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Texts joined to about PIECE bytes, where they end, which ones they are, and how many bytes of them came before. Parts of long
+    texts overlap, so that each window is in one."""
+    parts: list[bytes] = []
+    of: list[tuple[int, int, int]] = []
+    held = 0
+    for i, t in enumerate(texts):
+        data = t.as_py().encode()
+        for c in range(0, len(data) - min_bytes + 1, PIECE):
+            parts.append(data[c : c + PIECE + min_bytes - 1])
+            held += len(parts[-1])
+            of.append((held, i, c))
+            if held >= PIECE:
+                yield np.frombuffer(b"".join(parts), np.uint8), *np.array(of).T
+                parts, of, held = [], [], 0
+    if of:
+        yield np.frombuffer(b"".join(parts), np.uint8), *np.array(of).T
+
+
+def _anchor_names(texts: DataFrame, min_bytes: int) -> DataFrame:
+    """h: the name of the anchor of each run of windows of each text."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for data, ends, *_ in _pieces(b.column(0), min_bytes):
+                yield pa.RecordBatch.from_arrays([pa.array(anchors(data, min_bytes, ends)[3])], names=["h"])
+
+    return texts.select("_text").mapInArrow(work, "h long")
 
 
 def _anchored(texts: DataFrame, min_bytes: int) -> DataFrame:
@@ -120,25 +172,13 @@ def _anchored(texts: DataFrame, min_bytes: int) -> DataFrame:
     kinds = [pa.int32()] * 4 + [pa.int64()] * 3
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(batches, 512):
-            of, out, held = [], [[] for _ in fields], 0
-            for i, t in enumerate(b.column(2)):
-                data = np.frombuffer(t.as_py().encode(), np.uint8)
-                for c in range(0, len(data) - min_bytes + 1, PIECE):
-                    found = runs(data[c : c + PIECE + min_bytes - 1], min_bytes)
-                    of.append(np.full(len(found[0]), i))
-                    for k, x in enumerate(found):
-                        out[k].append(x + c if fields[k] in "as" else x)
-                    held += len(found[0])
-                    if held > 50_000:
-                        yield _batch(b, of, out)
-                        of, out, held = [], [[] for _ in fields], 0
-            if of:
-                yield _batch(b, of, out)
-
-    def _batch(b: pa.RecordBatch, of: list, out: list) -> pa.RecordBatch:
-        at = pa.array(np.concatenate(of))
-        return pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), *[pa.array(np.concatenate(x)).cast(k) for x, k in zip(out, kinds, strict=True)]], names=["_id", "_th", *fields])
+        for b in batches:
+            for data, ends, of, before in _pieces(b.column(2), min_bytes):
+                first, n, at, *more = runs(data, min_bytes, ends)
+                k = np.searchsorted(ends, first, "right")
+                shift = before[k] - np.concatenate(([0], ends[:-1]))[k]
+                row = pa.array(of[k])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(row), b.column(1).take(row), *[pa.array(x).cast(t) for x, t in zip((first + shift, n, at + shift, *more), kinds, strict=True)]], names=["_id", "_th", *fields])
 
     return texts.mapInArrow(work, schema)
 
@@ -156,7 +196,12 @@ def _is_first(at: str) -> Column:
 
 def _open(classes: DataFrame, by: list[str]) -> DataFrame:
     """The classes that share `by` with another one."""
-    return classes.join(classes.groupBy(*by).agg(F.count("*").alias("_k")).filter("_k > 1").select(*by), by)
+    return classes.join(_often(classes, by).hint("shuffle_hash"), by)
+
+
+def _often(rows: DataFrame, by: list[str]) -> DataFrame:
+    """The values of `by` that come more than once."""
+    return rows.groupBy(*by).agg(F.count("*").alias("_k")).filter("_k > 1").select(*by)
 
 
 def _beside_texts(texts: DataFrame, rows: DataFrame, *cols: str) -> DataFrame:
@@ -183,7 +228,7 @@ def _ranked(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     """rows (w, i, keys) with the rank of their keys in sorted order in place of these. Windows with keys that occur once leave."""
     counted = rows.groupBy(*keys).agg(F.count("*").alias("_c")).filter("_c > 1")
     ranks = with_prefix(counted.withColumn("_one", F.lit(1).cast("long")), keys, "_one", "rank", f"{name}-ranks").select(*keys, "rank")
-    return rows.join(ranks.hint("merge"), keys).select("w", "i", "rank")
+    return rows.join(ranks.hint("shuffle_hash"), keys).select("w", "i", "rank")
 
 
 def _paired(ranked: DataFrame, parts: int) -> DataFrame:
@@ -220,16 +265,15 @@ def doubled(blocks: DataFrame, min_bytes: int) -> DataFrame:
 def repeated_windows(texts: DataFrame, min_bytes: int = 100) -> DataFrame:
     """_id, _th, lo, hi: ranges of starts of windows that an equal one precedes, from texts (_id, _th, _text) without nulls."""
     spark = texts.sparkSession
-    anchors = _anchored(texts, min_bytes)
-    often = materialize(anchors.groupBy("h").agg(F.sum("times").alias("_k")).filter("_k > 1").select("h"), "repeats-often")
+    often = materialize(_often(_anchor_names(texts, min_bytes), ["h"]), "repeats-often")
     release(spark)
     # from a table of its own, so that adaptive execution can split the rows of a hot name
-    live = materialize(anchors.join(often.hint("shuffle_hash"), "h").withColumn("_none", F.col("_id").isNull()), "repeats-live")
+    live = materialize(_anchored(texts, min_bytes).join(often.hint("shuffle_hash"), "h").withColumn("_none", F.col("_id").isNull()), "repeats-live")
     release(spark)
     discard(often)
     keys = ["h", "f1", "f2"]
     firsts = materialize(_first(live, keys, "a", "n", "s"), "repeats-firsts")
-    joined = live.select("_id", "_th", "a", F.col("n").alias("windows"), "times", *keys).join(firsts.drop("n", "s"), keys)
+    joined = live.select("_id", "_th", "a", F.col("n").alias("windows"), "times", *keys).join(firsts.drop("n", "s").hint("shuffle_hash"), keys)
     # of the first occurrence of a class all but the first of equal neighbours repeat; of the later ones all
     marks = joined.select("_id", "_th", (F.col("a") + F.when(_is_first("a"), 1).otherwise(0)).alias("lo"), F.expr("a + windows + times - 2").alias("hi"), (_is_first("a") & (F.col("times") == 1)).alias("kept")).filter("not kept")
     release(spark)
@@ -241,11 +285,15 @@ def repeated_windows(texts: DataFrame, min_bytes: int = 100) -> DataFrame:
     discard(firsts)
     release(spark)
 
-    keys = ["c", "g1", "g2"]
-    firsts = materialize(_first(blocks, keys, "lo", "hi"), "repeats-classes")
+    # few blocks share their common part with another one; only these are grouped by their strings
+    often = materialize(_often(blocks, ["c"]), "repeats-often-blocks")
+    shared = materialize(blocks.join(often.hint("shuffle_hash"), "c"), "repeats-shared")
+    discard(blocks, often)
     release(spark)
-    fine = materialize(blocks.join(firsts.drop("hi"), keys).filter(~_is_first("lo")).select("_id", "_th", "lo", "hi"), "repeats-fine")
-    discard(blocks)
+    keys = ["c", "g1", "g2"]
+    firsts = materialize(_first(shared, keys, "lo", "hi"), "repeats-classes")
+    fine = materialize(shared.join(firsts.drop("hi").hint("shuffle_hash"), keys).filter(~_is_first("lo")).select("_id", "_th", "lo", "hi"), "repeats-fine")
+    discard(shared)
     release(spark)
     left = _open(firsts, ["c"]).select(F.col("f_none").alias("_none"), F.col("f_id").alias("_id"), F.col("f_th").alias("_th"), F.col("f_at").alias("lo"), "hi")
     numbered = materialize(with_prefix(left.withColumn("_one", F.lit(1).cast("long")), [*_PLACE, "lo"], "_one", "no", "repeats-order").drop("_one", "_total"), "repeats-numbered")

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cueweave.llm import importance, queries, repeats, vector_codes
@@ -66,6 +67,36 @@ def test_op11_anchors_belong_to_their_windows():
             assert all(p + int(h[p : p + span].argmin()) == s for p in range(a, a + k))
 
 
+def test_op11_anchors_seldom_come_again_by_chance():
+    text = np.frombuffer(bytes(random.Random(5).choices(b"ab", k=400_000)), np.uint8)
+    found = repeats.runs(text, 100)[4]
+    assert len(found) > 5_000 and len(np.unique(found)) > 0.99 * len(found)
+
+
+def test_op11_joined_texts_keep_their_own_windows():
+    r = random.Random(6)
+    texts = ["".join(r.choices(["ab", "c", "é"], k=n)) for n in (60, 200, 5, 0, 90, 70_000, 100)] + ["x" * 100, "x" * 300, "xy" * 50]
+    one = [[np.append(x, 0) for x in repeats.runs(np.frombuffer(t.encode(), np.uint8), 100)] if 100 <= len(t.encode()) <= repeats.PIECE else None for t in texts]
+    windows = set()
+    for data, ends, of, before in repeats._pieces(pa.array(texts), 100):
+        first, n, at, times, *named = repeats.runs(data, 100, ends)
+        k = np.searchsorted(ends, first, "right")
+        shift = before[k] - np.concatenate(([0], ends[:-1]))[k]
+        windows |= {(int(of[d]), p) for d, a, m, t in zip(k, first + shift, n, times, strict=True) for p in range(a, a + m + t - 1)}
+        for d in set(k.tolist()):
+            if one[of[d]]:
+                for x, y in zip([first + shift, n, at + shift, times, *named], one[of[d]], strict=True):
+                    assert x[k == d].tolist() == y[:-1].tolist()
+    assert windows == {(i, p) for i, t in enumerate(texts) for p in range(len(t.encode()) - 99)}
+
+
+def test_op11_text_of_many_pieces(spark):
+    r = random.Random(7)
+    long = "".join(r.choices("abcd", k=160_000))
+    data = [(0, long[1_000:1_150]), (1, long), (2, long[70_000:] + long[: repeats.PIECE + 50]), (3, "x" * 140_000)]
+    assert digests(repeats.digest(repeats.remove_repeats(spark.createDataFrame(data, "doc_id long, text string")))) == repeats_brute(data, 100)
+
+
 def test_op11_odd(spark):
     got = repeats.remove_repeats(odd(spark)).collect()
     assert len(got) == 12 and set(odd(spark).columns) <= set(got[0].asDict())
